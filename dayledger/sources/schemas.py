@@ -51,6 +51,15 @@ LOAD_LOG = T.StructType(
     ]
 )
 
+QUARANTINE = T.StructType(
+    [
+        T.StructField("line", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("position", T.LongType()),
+        T.StructField("file_name", T.StringType()),
+    ]
+)
+
 STAGING = T.StructType(
     [T.StructField(name, T.StringType()) for name in ATTRIBUTES]
     + [
@@ -76,3 +85,59 @@ TRUTH = T.StructType(
         T.StructField("conversions", T.LongType()),
     ]
 )
+
+DIMENSION = T.StructType(
+    [T.StructField("creative_id", T.StringType())]
+    + [
+        T.StructField(name, T.StringType())
+        for name in ("campaign_id", "adset_id", "creative_format", "placement")
+    ]
+    + [
+        T.StructField("first_seen_date", T.DateType()),
+        T.StructField("last_seen_date", T.DateType()),
+    ]
+)
+
+FACT = T.StructType(
+    [T.StructField("creative_daily_id", T.StringType())]
+    + [T.StructField(name, T.StringType()) for name in ATTRIBUTES]
+    + [
+        T.StructField("impressions", T.LongType()),
+        T.StructField("clicks", T.LongType()),
+        T.StructField("spend", T.DoubleType()),
+        T.StructField("conversions", T.LongType()),
+        T.StructField("video_completion_rate", T.DoubleType()),
+        T.StructField("had_same_drop_duplicate", T.BooleanType()),
+    ]
+    + [
+        T.StructField(name, T.DoubleType())
+        for name in ("ctr", "cpc", "cpa", "conversion_rate", "spend_share")
+    ]
+    + [
+        T.StructField("meets_volume_floor", T.BooleanType()),
+        T.StructField("ctr_percentile_in_campaign_day", T.DoubleType()),
+        T.StructField("is_top_decile_creative", T.BooleanType()),
+        T.StructField("event_date", T.DateType()),
+    ]
+)
+
+DEFECT_LOG = T.StructType(
+    [
+        T.StructField("event_date", T.DateType()),
+        T.StructField("drop_date", T.DateType()),
+        T.StructField("campaign_id", T.StringType()),
+        T.StructField("adset_id", T.StringType()),
+        T.StructField("creative_id", T.StringType()),
+        T.StructField("detail", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("defect_type", T.StringType()),
+    ]
+)
+
+CHECK_RESULTS = T.StructType(
+    [
+        T.StructField("check_name", T.StringType()),
+        T.StructField("severity", T.StringType()),
+        T.StructField("failures", T.LongType()),
+        T.StructField("status", T.StringType()),
+    ]
+)
