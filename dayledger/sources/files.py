@@ -9,10 +9,13 @@ from __future__ import annotations
 import csv
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dayledger.config import DEFAULTS, Settings
+from dayledger.functions import text
 from dayledger.sources.schemas import LAYOUTS
 
 # A first line longer than this cannot be one of the accepted headers.
@@ -25,6 +28,13 @@ class DropFile:
     path: str
 
 
+@dataclass(frozen=True)
+class NewFile(DropFile):
+    # Named like a dated drop, and the date in the name if it exists.
+    dated: bool
+    drop_date: date | None
+
+
 @dataclass(frozen=True)
 class Header:
     columns: list[str]
@@ -45,13 +55,19 @@ def list_drops(spark: SparkSession, folder: str) -> list[DropFile]:
     return sorted((f for f in files if f.name[0] not in "._"), key=lambda f: f.name)
 
 
-def unseen(spark: SparkSession, files: list[DropFile], load_log: DataFrame) -> list[DropFile]:
+def unseen(spark: SparkSession, files: list[DropFile], load_log: DataFrame) -> list[NewFile]:
     """Files whose name the load log does not have, whether loaded or quarantined."""
     if not files:
         return []
     listed = spark.createDataFrame([(f.name, f.path) for f in files], "file_name string, path string")
-    new = listed.join(load_log.select("file_name"), "file_name", "left_anti")
-    return [DropFile(row.file_name, row.path) for row in new.orderBy("file_name").collect()]
+    new = listed.join(load_log.select("file_name"), "file_name", "left_anti").select(
+        "file_name",
+        "path",
+        text.has_drop_name(F.col("file_name")).alias("dated"),
+        text.drop_date(F.col("file_name")).alias("drop_date"),
+    )
+    found = [NewFile(row.file_name, row.path, row.dated, row.drop_date) for row in new.collect()]
+    return sorted(found, key=lambda f: f.name)
 
 
 def read_headers(
@@ -92,11 +108,11 @@ def _first_line(spark: SparkSession, path: str) -> str:
     stream = fs.open(hadoop_path)
     try:
         reader = jvm.org.apache.hadoop.util.LineReader(stream)
-        text = jvm.org.apache.hadoop.io.Text()
+        buffer = jvm.org.apache.hadoop.io.Text()
         consumed = 0
         while consumed < _LONGEST_HEADER:
-            size = reader.readLine(text, _LONGEST_HEADER, _LONGEST_HEADER)
-            line = text.toString().lstrip("\ufeff")
+            size = reader.readLine(buffer, _LONGEST_HEADER, _LONGEST_HEADER)
+            line = buffer.toString().lstrip("\ufeff")
             if size == 0 or line.strip():
                 return line
             consumed += size

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dayledger.config import DEFAULTS, Settings
 from dayledger.functions import text
 from dayledger.sources import files
-from dayledger.sources.files import DropFile, Header
+from dayledger.sources.files import DropFile, Header, NewFile
 from dayledger.sources.schemas import ATTRIBUTES, DELIVERED, LAYOUTS, LOAD_LOG, METRICS, RAW
 from dayledger.sources.tables import Store
 
@@ -59,7 +59,7 @@ def ingest(store: Store, folder: str, settings: Settings = DEFAULTS) -> RunSumma
 
 
 def ingest_files(
-    store: Store, new: list[DropFile], skipped: int = 0, settings: Settings = DEFAULTS
+    store: Store, new: list[NewFile], skipped: int = 0, settings: Settings = DEFAULTS
 ) -> RunSummary:
     """Load these files.
 
@@ -71,8 +71,7 @@ def ingest_files(
         return RunSummary(skipped)
     spark = store.spark
     headers = files.read_headers(spark, new, settings)
-    drop_dates = _drop_dates(spark, new)
-    rejected = {f.name: reason for f in new if (reason := _refusal(f, headers, drop_dates))}
+    rejected = {f.name: reason for f in new if (reason := _refusal(f, headers[f.name]))}
     readable = [f for f in new if f.name not in rejected]
 
     with store.scratch() as scratch:
@@ -85,7 +84,7 @@ def ingest_files(
             landed = spark.read.parquet(landed_path)
             _blocks(landed).write.parquet(blocks_path)
             blocks = spark.read.parquet(blocks_path)
-            for outcome in _outcomes(blocks, readable, headers, drop_dates):
+            for outcome in _outcomes(blocks, readable, headers):
                 outcomes[outcome.file_name] = outcome
             store.replace_partitions(
                 "raw",
@@ -211,34 +210,17 @@ def _blocks(landed: DataFrame) -> DataFrame:
     )
 
 
-def _drop_dates(spark: SparkSession, drops: list[DropFile]) -> dict[str, tuple[bool, date | None]]:
-    names = spark.createDataFrame([(f.name,) for f in drops], "file_name string")
-    rows = names.select(
-        "file_name",
-        text.has_drop_name(F.col("file_name")).alias("dated"),
-        text.drop_date(F.col("file_name")).alias("drop_date"),
-    ).collect()
-    return {row.file_name: (row.dated, row.drop_date) for row in rows}
-
-
-def _refusal(
-    drop: DropFile, headers: dict[str, Header], drop_dates: dict[str, tuple[bool, date | None]]
-) -> str | None:
+def _refusal(drop: NewFile, header: Header) -> str | None:
     """Why a file cannot be loaded, as far as its name and header tell."""
-    header = headers[drop.name]
     if header.layout is None:
         return f"unrecognized columns: {header.columns}"
-    dated, day = drop_dates[drop.name]
-    if dated and day is None:
+    if drop.dated and drop.drop_date is None:
         return "no such drop date"
     return None
 
 
 def _outcomes(
-    blocks: DataFrame,
-    readable: list[DropFile],
-    headers: dict[str, Header],
-    drop_dates: dict[str, tuple[bool, date | None]],
+    blocks: DataFrame, readable: list[NewFile], headers: dict[str, Header]
 ) -> list[Outcome]:
     # One row per file reaches the driver.
     totals = {
@@ -255,7 +237,7 @@ def _outcomes(
     outcomes = []
     for drop in readable:
         total = totals.get(drop.name)
-        known = {"drop_date": drop_dates[drop.name][1], "layout": headers[drop.name].layout}
+        known = {"drop_date": drop.drop_date, "layout": headers[drop.name].layout}
         if total is None:
             outcomes.append(Outcome(drop.name, LOADED, **known))
         elif total.unreadable_rows:
