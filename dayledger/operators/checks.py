@@ -12,6 +12,7 @@ from dayledger.sources.schemas import METRICS
 ERROR = "error"
 WARN = "warn"
 
+CREATIVE_DAY = ["event_date", "creative_id"]
 REQUIRED_IN_FACT = ["creative_daily_id", "event_date", "campaign_id", "creative_id"]
 
 
@@ -51,39 +52,45 @@ def reconciliation(
 ) -> DataFrame:
     """Truth rows of the lookback window that the fact lacks or contradicts.
 
-    Both issues come from one left join. Rows with a defect that upstream never
-    corrects are not compared. Rows that only the fact has are not reported here;
-    see ``unexpected_in_fact``.
+    Rows with a defect that upstream never corrects are not compared. Rows that only
+    the fact has are not reported here; see ``unexpected_in_fact``.
     """
     newest = fact.agg(F.max("event_date")).scalar()
     start = F.date_sub(newest, settings.lookback_days)
-    expected = _comparable(
-        truth.withColumn("event_date", F.col("date").cast("date")).filter(F.col("event_date") >= start)
-    ).select("event_date", "creative_id", F.struct(*METRICS).alias("expected"))
-    actual = (
-        _comparable(fact.filter(F.col("event_date") >= start))
-        .withColumn("uncorrected", _uncorrected_defect())
-        .select("event_date", "creative_id", F.struct("uncorrected", *METRICS).alias("actual"))
+    expected = _in_cents(_dated(truth).filter(F.col("event_date") >= start)).select(
+        *CREATIVE_DAY, F.struct(*METRICS).alias("expected")
     )
+    recent = fact.filter(F.col("event_date") >= start)
+    missing = lacking(expected, recent).select(*CREATIVE_DAY, F.lit("missing_from_fct").alias("issue"))
+
     differs = F.lit(False)
     for name in METRICS:
         differs = differs | ~F.col(f"actual.{name}").eqNullSafe(F.col(f"expected.{name}"))
-    issue = F.when(F.col("actual").isNull(), "missing_from_fct").when(
-        ~F.col("actual.uncorrected") & differs, "value_mismatch"
+    actual = _in_cents(recent.filter(~_uncorrected_defect())).select(
+        *CREATIVE_DAY, F.struct(*METRICS).alias("actual")
     )
-    return (
-        expected.join(actual, ["event_date", "creative_id"], "left")
-        .select("event_date", "creative_id", issue.alias("issue"))
-        .filter("issue is not null")
+    # An inner join, of which adaptive execution can split a skewed key on either side.
+    mismatched = (
+        actual.join(expected, CREATIVE_DAY)
+        .filter(differs)
+        .select(*CREATIVE_DAY, F.lit("value_mismatch").alias("issue"))
     )
+    return missing.unionByName(mismatched)
+
+
+def lacking(rows: DataFrame, fact: DataFrame) -> DataFrame:
+    """Rows whose creative-day ``fact`` does not have.
+
+    The fact is reduced to distinct creative-days first, on the map side too: an
+    identifier shared by very many fact rows is one row in the join.
+    """
+    known = fact.select(*CREATIVE_DAY).distinct()
+    return rows.join(known, CREATIVE_DAY, "left_anti")
 
 
 def unexpected_in_fact(fact: DataFrame, truth: DataFrame) -> DataFrame:
-    """Fact rows on a creative-day the truth does not know."""
-    known = truth.select(F.col("date").cast("date").alias("event_date"), "creative_id")
-    return fact.select("event_date", "creative_id").join(
-        known, ["event_date", "creative_id"], "left_anti"
-    )
+    """Creative-days of fact rows that the truth does not know."""
+    return lacking(fact.select(*CREATIVE_DAY), _dated(truth))
 
 
 def check_results(
@@ -127,7 +134,11 @@ def raise_on_errors(results: DataFrame) -> None:
         raise ChecksFailed(", ".join(f"{row.check_name}: {row.failures}" for row in failed))
 
 
-def _comparable(table: DataFrame) -> DataFrame:
+def _dated(truth: DataFrame) -> DataFrame:
+    return truth.withColumn("event_date", F.col("date").cast("date"))
+
+
+def _in_cents(table: DataFrame) -> DataFrame:
     return table.withColumn("spend", m.rounded(F.col("spend"), 2))
 
 

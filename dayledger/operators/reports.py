@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.config import DEFAULTS, Settings
+from dayledger.operators.checks import lacking
 from dayledger.operators.ranks import exact_percentile
 
 _LARGEST_IMPRESSIONS = 1e11
@@ -14,10 +15,7 @@ _LARGEST_IMPRESSIONS = 1e11
 def gap_split(fact: DataFrame, truth: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Truth rows the fact never got, on the outage day and on other days."""
     expected = truth.select(F.col("date").cast("date").alias("event_date"), "creative_id")
-    lost = expected.join(
-        fact.select("event_date", "creative_id"), ["event_date", "creative_id"], "left_anti"
-    )
-    return lost.groupBy(
+    return lacking(expected, fact).groupBy(
         (F.col("event_date") == F.lit(settings.outage_day)).alias("on_outage_day")
     ).agg(F.count("*").alias("lost_rows"))
 

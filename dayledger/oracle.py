@@ -194,6 +194,11 @@ drift as (
     before as from_layout, layout as to_layout
   from (select *, lag(layout) over (order by _drop_date) as before from layouts) where before <> layout)"""
 
+_ALL_DEFECTS = """select defect_type from late union all select defect_type from restated
+  union all select defect_type from exact union all select defect_type from near
+  union all select defect_type from blank union all select defect_type from impossible
+  union all select defect_type from absent union all select defect_type from drift"""
+
 _MID_HISTORY = """
 mid_raw as (select * from raw where _drop_date <= date '2026-03-25'),""" + _staged("staged", "mid_raw")
 
@@ -243,6 +248,16 @@ ORACLE: dict[str, str] = {
             from staged group by creative_id)
           where campaign_id_varies or adset_id_varies or creative_format_varies or placement_varies""",
     ),
+    "adset_conflicts": _with(
+        _STAGED,
+        select="""select * from (
+            select adset_id, count(distinct campaign_id) > 1 as campaign_id_varies,
+              false as adset_id_varies,
+              count(distinct creative_format) > 1 as creative_format_varies,
+              count(distinct placement) > 1 as placement_varies
+            from staged group by adset_id)
+          where campaign_id_varies or creative_format_varies or placement_varies""",
+    ),
     "entity_counts": _with(
         _STAGED,
         select="""select count(distinct campaign_id) as campaigns, count(distinct adset_id) as adsets,
@@ -308,15 +323,21 @@ ORACLE: dict[str, str] = {
     "reconciliation_mid_history": _with(_MID_HISTORY, _FACT, _RECON, select="select * from recon"),
     "unexpected_in_fact": _fact_query(
         """select event_date, creative_id from fact f where not exists (
-            select 1 from truth t where t.event_date = f.event_date and t.creative_id = f.creative_id)"""
+            select 1 from truth t where t.event_date = f.event_date and t.creative_id = f.creative_id
+              and t.event_date < date '2026-03-25')"""
     ),
     "unique_creative_days": _fact_query(
         """select creative_daily_id, count(*) as rows from fact where creative_daily_id is not null
           group by creative_daily_id having count(*) > 1"""
     ),
+    "repeated_deliveries": _with(
+        select="""select md5(cast(date as varchar) || '-' || creative_id) as creative_daily_id,
+            count(*) as rows
+          from raw group by 1 having count(*) > 1"""
+    ),
     "orphan_creatives": _fact_query(
         """select creative_id, count(*) as rows from fact where creative_id not in (
-            select creative_id from dim where first_seen_date < date '2026-03-12')
+            select creative_id from raw where _drop_date <= date '2026-01-03')
           group by creative_id"""
     ),
     "check_results": _with(
@@ -369,11 +390,45 @@ ORACLE: dict[str, str] = {
     "defect_missing_day": _defect_query("select * from absent"),
     "defect_schema_drift": _defect_query("select * from drift"),
     "defect_counts": _defect_query(
-        """select defect_type, count(*) as defects, replace(defect_type, '_', ' ') as label
-          from (select defect_type from late union all select defect_type from restated
-                union all select defect_type from exact union all select defect_type from near
-                union all select defect_type from blank union all select defect_type from impossible
-                union all select defect_type from absent union all select defect_type from drift)
-          group by defect_type"""
+        f"""select defect_type, count(*) as defects, replace(defect_type, '_', ' ') as label
+          from ({_ALL_DEFECTS}) group by defect_type"""
+    ),
+    "snapshot_document": _with(
+        _STAGED, _FACT, _CLOCK, _TOP, _DEFECTS,
+        select=f"""
+          select '{{"today":"' || today || '","latest_available_day":"' || (select max(event_date) from fact)
+            || '","latest_finalized_day":"' || final_day || '","lookback_days":7,"loaded_files":'
+            || (select count(distinct _source_file) from raw) || ',"quarantined_files":0,"defect_counts":{{'
+            || (select string_agg('"' || defect_type || '":' || n, ',' order by defect_type)
+                from (select defect_type, count(*) as n from ({_ALL_DEFECTS}) group by defect_type))
+            || '}}, "top_decile_by_campaign": [' as value
+          from clock
+          union all
+          select case when row_number() over (order by campaign_id, ctr desc nulls last, creative_id) = 1
+              then ' ' else ',' end
+            || '{{"campaign_id":"' || campaign_id || '","creative_id":"' || creative_id
+            || '","creative_format":"' || creative_format || '","placement":"' || placement
+            || '","impressions":' || impressions || ',"clicks":' || clicks || ',"ctr":' || ctr || '}}'
+          from top
+          union all select ']}}'""",
+    ),
+    "ingested_deliveries": _with(
+        select="""select date, campaign_id, adset_id, creative_id, creative_format, placement,
+            impressions, clicks, spend, conversions, video_completion_rate from raw"""
+    ),
+    "ingested_by_layout": _with(
+        select="""select 'loaded' as status,
+            case when _drop_date < date '2026-02-20' then 'early' else 'late' end as layout,
+            cast(count(*) as bigint) as rows, min(date) as first_event_date, max(date) as last_event_date
+          from raw group by 2
+          union all select 'quarantined', null, 0, null, null"""
+    ),
+    "quarantined_lines": _with(
+        select="""select cast(date as varchar) || ',' || creative_id || ',' || cast(clicks as varchar) as line
+          from raw where clicks > impressions"""
+    ),
+    "streamed_creative_days": _with(
+        select="""select date as event_date, count(*) as creative_days
+          from (select distinct date, campaign_id, adset_id, creative_id from raw) group by date"""
     ),
 }

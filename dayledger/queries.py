@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
@@ -11,18 +12,30 @@ from pyspark.sql import functions as F
 
 from dayledger.config import DEFAULTS
 from dayledger.functions import text
+from dayledger.functions.measures import creative_day_id
 from dayledger.operators import checks, defects, freshness, reports
 from dayledger.operators.dimension import attribute_conflicts, dim_creative, entity_counts
 from dayledger.operators.fact import creative_daily, with_ratios
-from dayledger.operators.latest import latest_deliveries, same_drop_repeats
+from dayledger.operators.latest import latest_deliveries, same_drop_repeats, typed
 from dayledger.plans.incremental import lookback_start, merged, within_lookback
+from dayledger.plans.snapshot import snapshot_head, snapshot_lines
 from dayledger.sources import lineitem
+from dayledger.sources.ingest import ingest
+from dayledger.sources.schemas import DELIVERED, EARLY_LAYOUT, LATE_LAYOUT
+from dayledger.sources.tables import Store, scratch_folder, settled
+from dayledger.streaming.arrivals import follow_drops
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The day up to which the target of the incremental queries was loaded.
 LOADED_UNTIL = date(2026, 3, 25)
 
+# The day after which the dimension of the orphan query was not refreshed.
+STALE_SINCE = date(2026, 1, 3)
+
+# The drop from which files carry the late layout.
+_LATE_FROM = date(2026, 2, 20)
+
 # Sends every campaign-day through the branch for hot groups.
 _ALL_HOT = replace(DEFAULTS, hot_group_min_rows=0, hot_group_fraction=0.0)
 
@@ -60,6 +73,12 @@ def dimension_conflicts(spark, folder):
     return attribute_conflicts(_staged(spark, folder))
 
 
+def adset_conflicts(spark, folder):
+    """The same check one level up: ad sets whose creatives differ."""
+    by_adset = _staged(spark, folder).withColumn("creative_id", F.col("adset_id"))
+    return attribute_conflicts(by_adset).withColumnRenamed("creative_id", "adset_id")
+
+
 def entities(spark, folder):
     return entity_counts(dim_creative(_staged(spark, folder)))
 
@@ -85,7 +104,8 @@ def ctr_percentile(spark, folder):
 
 
 def ctr_percentile_hot_groups(spark, folder):
-    return creative_daily(_staged(spark, folder), _ALL_HOT).select(
+    # As in a stored warehouse: this branch reads staging several times.
+    return creative_daily(settled(_staged(spark, folder)), _ALL_HOT).select(
         "event_date", "campaign_id", "adset_id", "creative_id", "spend_share",
         "ctr_percentile_in_campaign_day", "is_top_decile_creative",
     )
@@ -175,21 +195,29 @@ def reconciliation_mid_history(spark, folder):
 
 
 def unexpected_in_fact(spark, folder):
-    return checks.unexpected_in_fact(_rows(spark, folder), lineitem.truth(spark, folder))
+    known = lineitem.truth(spark, folder).filter(F.col("date") < F.lit(LOADED_UNTIL))
+    return checks.unexpected_in_fact(_rows(spark, folder), known)
 
 
 def unique_creative_days(spark, folder):
     return checks.repeated_values(_rows(spark, folder), "creative_daily_id")
 
 
+def repeated_deliveries(spark, folder):
+    delivered = typed(lineitem.deliveries(spark, folder))
+    return checks.repeated_values(
+        delivered.withColumn("creative_daily_id", creative_day_id()), "creative_daily_id"
+    )
+
+
 def orphan_creatives(spark, folder):
-    staged = _staged(spark, folder)
-    known = dim_creative(staged).filter(F.col("first_seen_date") < F.lit(DEFAULTS.outage_day))
-    return checks.orphans(with_ratios(staged), known, "creative_id")
+    raw = lineitem.deliveries(spark, folder)
+    stale = dim_creative(latest_deliveries(raw.filter(F.col("_drop_date") <= F.lit(STALE_SINCE))))
+    return checks.orphans(with_ratios(latest_deliveries(raw)), stale, "creative_id")
 
 
 def check_results(spark, folder):
-    staged = _staged(spark, folder)
+    staged = settled(_staged(spark, folder))
     return checks.check_results(
         with_ratios(staged), dim_creative(staged), lineitem.truth(spark, folder)
     )
@@ -257,16 +285,77 @@ def defect_schema_drift(spark, folder):
 
 
 def defect_counts(spark, folder):
-    counts = defects.defect_counts(defects.defect_log(lineitem.deliveries(spark, folder)))
+    raw = settled(lineitem.deliveries(spark, folder))
+    counts = defects.defect_counts(defects.defect_log(raw))
     return counts.withColumn("label", text.label_text(F.col("defect_type")))
 
 
+def snapshot_document(spark, folder):
+    raw = settled(lineitem.deliveries(spark, folder))
+    fact = creative_daily(latest_deliveries(raw))
+    counts = defects.defect_counts(defects.defect_log(raw))
+    head = snapshot_head(freshness.freshness(raw, fact, _files(raw)), counts)
+    top = freshness.finalized_top_creatives(fact, raw)
+    # The time of generation is the one field that cannot be compared.
+    return snapshot_lines(head.drop("generated_at"), top)
+
+
+def _write_drops(raw: DataFrame, drops: str) -> None:
+    """Deliveries as CSV files: both layouts, and rows of a layout nobody knows."""
+    early, late = raw.filter(F.col("_drop_date") < F.lit(_LATE_FROM)), raw.filter(
+        F.col("_drop_date") >= F.lit(_LATE_FROM)
+    )
+    early.select(*EARLY_LAYOUT).write.mode("append").csv(drops, header=True)
+    late.withColumnRenamed("spend", "cost").select(*LATE_LAYOUT).write.mode("append").csv(
+        drops, header=True
+    )
+    foreign = checks.impossible_clicks(raw).select("date", "creative_id", "clicks")
+    foreign.write.mode("append").csv(drops, header=True)
+
+
+def _delivered_files(spark: SparkSession, folder: str) -> tuple[Store, str]:
+    root = scratch_folder(spark) or tempfile.mkdtemp(prefix="dayledger-")
+    drops = f"{root}/drops"
+    _write_drops(settled(lineitem.deliveries(spark, folder)), drops)
+    return Store(spark, f"{root}/warehouse"), drops
+
+
+def _ingested(spark: SparkSession, folder: str) -> Store:
+    store, drops = _delivered_files(spark, folder)
+    ingest(store, drops)
+    return store
+
+
+def ingested_deliveries(spark, folder):
+    return _ingested(spark, folder).raw().select(*DELIVERED.fieldNames())
+
+
+def ingested_by_layout(spark, folder):
+    return _ingested(spark, folder).load_log().groupBy("status", "layout").agg(
+        F.sum("row_count").alias("rows"),
+        F.min("first_event_date").alias("first_event_date"),
+        F.max("last_event_date").alias("last_event_date"),
+    )
+
+
+def quarantined_lines(spark, folder):
+    lines = _ingested(spark, folder).quarantine()
+    return lines.filter("line <> 'date,creative_id,clicks'").select("line")
+
+
+def streamed_creative_days(spark, folder):
+    store, drops = _delivered_files(spark, folder)
+    follow_drops(store, drops, store.path("checkpoint")).awaitTermination()
+    return store.staging().groupBy("event_date").agg(F.count("*").alias("creative_days"))
+
+
 REGISTRY: dict[str, Query] = {
     "deliveries": deliveries,
     "staging_dedup": staging_dedup,
     "same_drop_duplicates": same_drop_duplicates,
     "dim_creative": dimension,
     "dimension_conflicts": dimension_conflicts,
+    "adset_conflicts": adset_conflicts,
     "entity_counts": entities,
     "creative_daily_metrics": creative_daily_metrics,
     "spend_share": spend_share,
@@ -286,6 +375,7 @@ REGISTRY: dict[str, Query] = {
     "reconciliation_mid_history": reconciliation_mid_history,
     "unexpected_in_fact": unexpected_in_fact,
     "unique_creative_days": unique_creative_days,
+    "repeated_deliveries": repeated_deliveries,
     "orphan_creatives": orphan_creatives,
     "check_results": check_results,
     "gap_split": gap_split,
@@ -300,4 +390,9 @@ REGISTRY: dict[str, Query] = {
     "defect_missing_day": defect_missing_day,
     "defect_schema_drift": defect_schema_drift,
     "defect_counts": defect_counts,
+    "snapshot_document": snapshot_document,
+    "ingested_deliveries": ingested_deliveries,
+    "ingested_by_layout": ingested_by_layout,
+    "quarantined_lines": quarantined_lines,
+    "streamed_creative_days": streamed_creative_days,
 }

@@ -90,8 +90,7 @@ class Store:
         On the shared storage the cluster names for checkpoints, so that executors that
         replace lost ones find it; under the store's root where none is named.
         """
-        shared = self.spark.conf.get("spark.checkpoint.dir", None) or self.path("_scratch")
-        folder = f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"
+        folder = scratch_folder(self.spark, default=self.path("_scratch"))
         try:
             yield folder
         finally:
@@ -105,6 +104,27 @@ class Store:
         return self.spark.read.schema(schema).parquet(self.path(table))
 
 
+def scratch_folder(spark: SparkSession, default: str | None = None) -> str | None:
+    """A new folder name on the storage the cluster shares for checkpoints, if it names any."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or default
+    return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}" if shared else None
+
+
+def settled(rows: DataFrame) -> DataFrame:
+    """``rows`` written once to the cluster's shared scratch storage and read back.
+
+    For a result that several consumers read: they share one computation, prune
+    columns, and lost executors cost a read instead of the lineage. Where the session
+    names no such storage, ``rows`` are returned as they are and computed per consumer.
+    """
+    spark = rows.sparkSession
+    folder = scratch_folder(spark)
+    if folder is None:
+        return rows
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def read_truth(spark: SparkSession, path: str) -> DataFrame:
     """The correct daily numbers, a CSV with a header."""
     return spark.read.schema(TRUTH).option("header", True).csv(path)
