@@ -1,6 +1,6 @@
 """The daily refresh driven by file arrival, with Structured Streaming.
 
-The file source finds new drops and its checkpoint remembers them; each micro-batch
+The file source finds new drops and its checkpoint remembers them; each batch
 runs the same ingestion and lookback refresh as the batch plan. Latest-wins needs
 ranks over late rows of a stored window, which a streaming aggregate cannot
 overwrite, hence ``foreachBatch``. Batches may be repeated after a failure: the load
@@ -23,31 +23,24 @@ _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content bi
 
 
 def follow_drops(
-    store: Store,
-    folder: str,
-    checkpoint: str,
-    settings: Settings = DEFAULTS,
-    max_files_per_batch: int | None = None,
+    store: Store, folder: str, checkpoint: str, settings: Settings = DEFAULTS
 ) -> StreamingQuery:
-    """Handle all drops present, in one or more batches, then stop.
+    """Handle all drops present and not yet seen, then stop.
 
     ``checkpoint`` has to lie on shared storage. Files are announced by path only;
-    their content is not read by the stream itself. Empty files are not announced:
-    the batch plan's listing finds and quarantines them.
+    their content is not read by the stream itself. A run takes its files as one batch:
+    several would let the lookback window move on between files that arrived together.
+    Empty files are not announced; the batch plan's listing finds and quarantines them.
     """
-    reader = (
-        store.spark.readStream.format("binaryFile")
-        .schema(_FILE_SCHEMA)
-        .option("pathGlobFilter", "*.csv")
-    )
-    if max_files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
 
     def handle(arrived: DataFrame, _batch: int) -> None:
         _handle(store, folder, arrived, settings)
 
     return (
-        reader.load(folder)
+        store.spark.readStream.format("binaryFile")
+        .schema(_FILE_SCHEMA)
+        .option("pathGlobFilter", "*.csv")
+        .load(folder)
         .select("path")
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
@@ -62,6 +55,7 @@ def _handle(store: Store, folder: str, arrived: DataFrame, settings: Settings) -
     present = [f for f in files.list_drops(store.spark, folder) if f.name in names]
     new = files.unseen(store.spark, present, store.load_log())
     ingest_files(store, new, skipped=len(present) - len(new), settings=settings)
-    if new:
+    # Also when nothing was new: a repeated batch may have died right here before.
+    if store.has("raw"):
         run = refresh_staging(store, settings)
         refresh_marts(store, settings, since=run.start)

@@ -15,7 +15,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.default.parallelism", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

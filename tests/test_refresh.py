@@ -21,7 +21,7 @@ from dayledger.plans.refresh import (
 from dayledger.plans.snapshot import write_snapshot
 from dayledger.sources import lineitem
 from dayledger.sources.ingest import ingest
-from dayledger.sources.tables import Store
+from dayledger.sources.tables import Store, read_truth
 from dayledger.streaming.arrivals import follow_drops
 
 SMALL = "/root/testdata/sf0.001"
@@ -199,8 +199,8 @@ def test_replaying_drop_by_drop_equals_one_full_build(spark, store, folder, drop
 def test_stream_equals_batch(spark, store, drops, folder, delivered):
     source, names = delivered
     copied(names[:50], source, drops)
-    first = follow_drops(store, drops, f"{folder}/checkpoint", max_files_per_batch=30)
-    first.awaitTermination()
+    follow_drops(store, drops, f"{folder}/checkpoint").awaitTermination()
+    assert store.load_log().count() == 50
     copied(names[50:], source, drops)
     follow_drops(store, drops, f"{folder}/checkpoint").awaitTermination()
     assert store.load_log().count() == len(names)
@@ -235,3 +235,10 @@ def test_failed_check_stops_before_publishing(store, drops):
         run_daily(store, drops)
     assert not store.has("snapshot")
     assert store.check_results().filter(F.col("status") == "fail").count() == 1
+
+
+def test_stored_truth_is_read_with_types(spark, folder):
+    lineitem.truth(spark, SMALL).coalesce(1).write.csv(f"{folder}/truth", header=True)
+    read = read_truth(spark, f"{folder}/truth")
+    assert read.schema["date"].dataType.simpleString() == "date"
+    assert comparable(read) == comparable(lineitem.truth(spark, SMALL))
