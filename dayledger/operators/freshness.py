@@ -10,20 +10,24 @@ from dayledger.functions import text
 from dayledger.functions.measures import rounded
 
 
-def today(raw: DataFrame) -> Column:
-    """The newest delivery date: the data's own clock, not the wall clock."""
-    return raw.agg(F.max("_drop_date")).scalar()
+def today(drops: DataFrame) -> Column:
+    """The newest delivery date: the data's own clock, not the wall clock.
 
+    ``drops`` is any table with a ``_drop_date`` per drop that delivered rows: the raw
+    table, or what the load log says about it.
+    """
+    return drops.agg(F.max("_drop_date")).scalar()
 
-def latest_finalized_day(raw: DataFrame, settings: Settings = DEFAULTS) -> Column:
-    return F.date_sub(today(raw), settings.lookback_days)
+
+def latest_finalized_day(drops: DataFrame, settings: Settings = DEFAULTS) -> Column:
+    return F.date_sub(today(drops), settings.lookback_days)
 
 
 def finalized_top_creatives(
-    fact: DataFrame, raw: DataFrame, settings: Settings = DEFAULTS
+    fact: DataFrame, drops: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Top performers of the latest finalized day, unordered."""
-    day = latest_finalized_day(raw, settings)
+    day = latest_finalized_day(drops, settings)
     return fact.filter((F.col("event_date") == day) & F.col("is_top_decile_creative")).select(
         "campaign_id",
         "creative_id",
@@ -56,17 +60,17 @@ def display_rows(top: DataFrame) -> DataFrame:
 
 
 def freshness(
-    raw: DataFrame, fact: DataFrame, files: DataFrame, settings: Settings = DEFAULTS
+    drops: DataFrame, fact: DataFrame, files: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """One row of dates and counts. ``files``: ``(file_name, status)``, one row per file."""
-    drops = raw.agg(F.max("_drop_date").alias("today"))
+    clock = drops.agg(F.max("_drop_date").alias("today"))
     days = fact.agg(F.max("event_date").alias("latest_available_day"))
     statuses = files.agg(
         F.count_if(F.col("status") == "loaded").alias("loaded_files"),
         F.count_if(F.col("status") == "quarantined").alias("quarantined_files"),
     )
-    top = finalized_top_creatives(fact, raw, settings).agg(F.count("*").alias("top_creatives"))
-    one_row = drops.select(
+    top = finalized_top_creatives(fact, drops, settings).agg(F.count("*").alias("top_creatives"))
+    one_row = clock.select(
         "today",
         days.scalar().alias("latest_available_day"),
         F.date_sub("today", settings.lookback_days).alias("latest_finalized_day"),

@@ -71,10 +71,12 @@ def snapshot_lines(head: DataFrame, top: DataFrame) -> DataFrame:
 
 def write_snapshot(store: Store, settings: Settings = DEFAULTS) -> None:
     """Publish the snapshot of the stored tables as text under ``snapshot``."""
-    raw, fact = store.raw(), store.fact()
-    summary = freshness.freshness(raw, fact, store.load_log(), settings)
+    fact, log = store.fact(), store.load_log()
+    # The log knows which drops brought rows; raw itself is not read.
+    drops = log.filter("row_count > 0").select(F.col("drop_date").alias("_drop_date"))
+    summary = freshness.freshness(drops, fact, log, settings)
     head = snapshot_head(summary, defects.defect_counts(store.defect_log()))
-    top = freshness.finalized_top_creatives(fact, raw, settings)
+    top = freshness.finalized_top_creatives(fact, drops, settings)
     snapshot_lines(head, top).write.mode("overwrite").text(store.path("snapshot"))
 
 
