@@ -44,8 +44,13 @@ def _staged(spark: SparkSession, folder: str) -> DataFrame:
     return latest_deliveries(lineitem.deliveries(spark, folder))
 
 
+def _stored_staging(spark: SparkSession, folder: str) -> DataFrame:
+    """Staging as a warehouse has it: deduplicated once, for consumers that read it repeatedly."""
+    return settled(_staged(spark, folder))
+
+
 def _fact(spark: SparkSession, folder: str) -> DataFrame:
-    return creative_daily(_staged(spark, folder))
+    return creative_daily(_stored_staging(spark, folder))
 
 
 def _rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,8 +109,7 @@ def ctr_percentile(spark, folder):
 
 
 def ctr_percentile_hot_groups(spark, folder):
-    # As in a stored warehouse: this branch reads staging several times.
-    return creative_daily(settled(_staged(spark, folder)), _ALL_HOT).select(
+    return creative_daily(_stored_staging(spark, folder), _ALL_HOT).select(
         "event_date", "campaign_id", "adset_id", "creative_id", "spend_share",
         "ctr_percentile_in_campaign_day", "is_top_decile_creative",
     )
@@ -163,8 +167,8 @@ def drop_file_names(spark, folder):
 
 
 def _loaded(spark, folder):
-    raw = lineitem.deliveries(spark, folder)
-    return raw, latest_deliveries(raw.filter(F.col("_drop_date") <= F.lit(LOADED_UNTIL)))
+    raw = settled(lineitem.deliveries(spark, folder))
+    return raw, settled(latest_deliveries(raw.filter(F.col("_drop_date") <= F.lit(LOADED_UNTIL))))
 
 
 def lookback_window(spark, folder):
@@ -186,7 +190,8 @@ def clicks_exceed_impressions(spark, folder):
 
 
 def reconciliation(spark, folder):
-    return checks.reconciliation(_rows(spark, folder), lineitem.truth(spark, folder))
+    fact = with_ratios(_stored_staging(spark, folder))
+    return checks.reconciliation(fact, lineitem.truth(spark, folder))
 
 
 def reconciliation_mid_history(spark, folder):
@@ -217,7 +222,7 @@ def orphan_creatives(spark, folder):
 
 
 def check_results(spark, folder):
-    staged = settled(_staged(spark, folder))
+    staged = _stored_staging(spark, folder)
     return checks.check_results(
         with_ratios(staged), dim_creative(staged), lineitem.truth(spark, folder)
     )
@@ -228,7 +233,7 @@ def gap_split(spark, folder):
 
 
 def floor_calibration(spark, folder):
-    return reports.floor_calibration(_rows(spark, folder))
+    return reports.floor_calibration(with_ratios(_stored_staging(spark, folder)))
 
 
 def flagged_share(spark, folder):
