@@ -47,7 +47,7 @@ _PIECE = 4096
 @dataclass(frozen=True)
 class Settings:
     order: int = 2
-    block_bytes: int = 24 << 20
+    block_bytes: int = 12 << 20
     shard_tokens: int = 2_000_000
 
 
