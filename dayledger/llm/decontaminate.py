@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 Benchmark items and documents are read as templates: numbers, units and names become typed
-placeholders, other words are lower-cased and lose the marks around them. Windows of eight
+placeholders, other words are lower-cased and lose the marks around them. A second reading takes names for
+words, for copies in other letter case. Windows of eight
 template tokens (all of an item, if it is shorter) meet in a hash join; the hash holds the
 template and which of its slots have equal values. Windows of one item on one
 diagonal (place in the document minus place in the item) are then checked together: the item's slot
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -142,6 +143,13 @@ def templates(texts: list[bytes]) -> Template:
     return Template(number, place, value, kind)
 
 
+def readings(template: Template) -> Iterator[Template]:
+    """The template, and the one that takes names for plain words: texts in other letter case have none."""
+    yield template
+    if (template.kind == _NAME).any():
+        yield replace(template, kind=np.where(template.kind == _NAME, _WORD, template.kind))
+
+
 def window_hashes(template: Template, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the windows that identify something, and their hashes."""
     n = len(template.hash) - width + 1
@@ -186,8 +194,9 @@ def _item_windows(settings: Settings):
                 if len(template.hash) < settings.least_tokens:
                     continue
                 width = min(settings.window, len(template.hash))
-                start, found = window_hashes(template, width)
-                rows += [(number, s, width, h, _slots(template, s, width), len(start)) for s, h in zip(start.tolist(), found.view(np.int64).tolist(), strict=True)]
+                for read in readings(template):
+                    start, found = window_hashes(read, width)
+                    rows += [(number, s, width, h, _slots(read, s, width), len(start)) for s, h in zip(start.tolist(), found.view(np.int64).tolist(), strict=True)]
             yield _window_batch(rows)
 
     return run
@@ -205,9 +214,9 @@ def _document_windows(widths: list[int], bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in pieces(batches, "text", _GATHERED):
             ids = table.column("id").to_pylist()
-            template = templates(payloads(table.column("text").combine_chunks()))
             rows = []
-            for width in widths:
+            whole = templates(payloads(table.column("text").combine_chunks()))
+            for template, width in ((t, w) for t in readings(whole) for w in widths):
                 start, found = window_hashes(template, width)
                 at = found & mask
                 passed = np.flatnonzero((bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1))

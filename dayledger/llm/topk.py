@@ -74,8 +74,7 @@ def blocks(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
 
 def _scores(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query ids, candidate ids, and the matrix of integer scores."""
-    q = np.frombuffer(row["q_data"], dtype=np.int64).reshape(-1, row["dim"])
-    c = np.frombuffer(row["c_data"], dtype=np.int64).reshape(-1, row["dim"])
+    q, c = (np.frombuffer(row[f"{side}_data"], dtype=np.int64).reshape(len(row[f"{side}_ids"]) // 8, row["dim"]) for side in "qc")
     most = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(c.astype(float)).max(initial=0)) * max(1, row["dim"])
     scores = (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64) if most < 2**53 else q @ c.T
     return np.frombuffer(row["q_ids"], dtype=np.int64), np.frombuffer(row["c_ids"], dtype=np.int64), scores
