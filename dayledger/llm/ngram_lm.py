@@ -47,7 +47,7 @@ _PIECE = 4096
 @dataclass(frozen=True)
 class Settings:
     order: int = 2
-    block_bytes: int = 12 << 20
+    block_bytes: int = 6 << 20
     shard_tokens: int = 2_000_000
 
 
@@ -110,9 +110,9 @@ class Grams:
 def grams(hashes: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, order: int) -> Grams:
     size = lengths + 2
     ends = np.cumsum(size)
-    doc = np.repeat(np.arange(len(lengths)), size)
-    step = np.arange(len(doc)) - np.repeat(ends - size, size)
-    words = np.ones(len(doc), dtype=np.int64)  # the end token
+    doc = np.repeat(np.arange(len(lengths), dtype=np.int32), size)
+    step = (np.arange(len(doc)) - np.repeat(ends - size, size)).astype(np.int32)
+    words = np.ones(len(doc), dtype=np.int32)  # the end token
     words[step == 0] = 0
     words[(step > 0) & (step < np.repeat(size, size) - 1)] = tokens
     value = hashes[words]
@@ -125,7 +125,7 @@ def grams(hashes: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, order: in
             gram ^= gram >> np.uint64(32)
         there = np.flatnonzero(step >= k - 1)
         found, place = np.unique(gram[there], return_inverse=True)
-        index = np.full(len(doc), -1, dtype=np.int64)
+        index = np.full(len(doc), -1, dtype=np.int32)
         index[there] = place
         distinct.append(found)
         at.append(index)
@@ -134,7 +134,7 @@ def grams(hashes: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, order: in
 
 def _of_row(row: dict, order: int) -> Grams:
     hashes = np.frombuffer(row["words"], dtype=np.uint64)
-    return grams(hashes, np.array(row["lengths"], dtype=np.int64), _expand(row["tokens"], "<u4").astype(np.int64), order)
+    return grams(hashes, np.array(row["lengths"], dtype=np.int64), _expand(row["tokens"], "<u4"), order)
 
 
 def _cuts(values: np.ndarray, shards: int) -> np.ndarray:
