@@ -19,11 +19,9 @@ class Settings:
     first_day: date = date(2026, 1, 1)
     outage_day_index: int = 70
 
-    # A campaign-day is "hot" when it holds more rows than both of these allow.
-    # The fraction bounds the number of hot groups (at most 1 / fraction), which
-    # is what makes the list of them safe to broadcast at any data size.
-    hot_group_min_rows: int = 1_000_000
-    hot_group_fraction: float = 0.00001
+    # Rows of a campaign-day above which it is not ranked in one task. It bounds a
+    # task's sort, so it does not depend on the size of the data.
+    hot_group_rows: int = 1_000_000
 
     # Threads that read the first line of new files.
     header_threads: int = 16

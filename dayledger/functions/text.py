@@ -16,6 +16,7 @@ NO_VALUE = (
 )
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_LARGEST = float(1 << 63)
 _DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 
@@ -35,8 +36,16 @@ def field(column: Column) -> Column:
 
 
 def number(column: Column) -> Column:
+    """A delivered number; null if it is none or too large for a bigint, infinity included."""
     text = field(column)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(_LARGEST), value)
+
+
+def has_open_quote(line: Column) -> Column:
+    """Whether the quotes of a line do not pair, as where a quoted field goes on in the next line."""
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return F.coalesce(quotes % 2 == 1, F.lit(False))
 
 
 def day(column: Column) -> Column:
@@ -55,7 +64,7 @@ def reversed_order(column: Column) -> Column:
 
 
 def percent_text(column: Column) -> Column:
-    return F.format_string("%.2f%%", column * 100)
+    return F.when(column.isNotNull(), F.format_string("%.2f%%", column * 100))
 
 
 def thousands_text(column: Column) -> Column:

@@ -11,7 +11,9 @@ from dayledger.operators.ranks import ranked_values
 
 GROUP = ["campaign_id", "event_date"]
 _LARGEST_CTR = 16.0
+_KEY = "_campaign_day"
 
+# The names and the order of the published columns.
 FACT_COLUMNS = [
     "creative_daily_id",
     "event_date",
@@ -58,18 +60,16 @@ def creative_daily(staged: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     """The fact table from staging rows.
 
     Campaign-days are small as a rule, and one shuffle by (campaign, day) serves both
-    windows. Where some are too large for a task, which one aggregated pass over two
-    columns tells first, those groups take another way: their spend comes from a partial
-    aggregation and their ranks from ``ranked_values``. The result is the same.
+    windows. Those above ``hot_group_rows``, a bound on what one task sorts whatever the
+    size of the data, take another way: their spend comes from a partial aggregation and
+    their ranks from ``ranked_values``. Which way a group takes is part of the plan, and
+    adaptive execution drops the second way where no group needs it.
     """
     hot = hot_groups(staged, settings)
-    if hot.isEmpty():
-        return _with_flag(_rank_in_window(with_ratios(staged, settings)), settings)
-    # Safe to broadcast at any size: fewer than 1 / hot_group_fraction rows.
-    hot = F.broadcast(hot)
-    is_hot = _same_group("hot_campaign", "hot_day")
-    small = _rank_in_window(with_ratios(staged.join(hot, is_hot, "left_anti"), settings))
-    large = _rank_by_value(with_ratios(staged.join(hot, is_hot, "left_semi"), settings))
+    keyed = staged.withColumn(_KEY, F.struct(*GROUP))
+    # Both joins and the windows are dealt by one key, so they share a shuffle.
+    small = _rank_in_window(with_ratios(keyed.join(hot, _KEY, "left_anti"), settings))
+    large = _rank_by_value(with_ratios(keyed.join(hot, _KEY, "left_semi"), settings))
     return _with_flag(small.unionByName(large), settings)
 
 
@@ -80,21 +80,9 @@ def _with_flag(ranked: DataFrame, settings: Settings) -> DataFrame:
 
 
 def hot_groups(rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Campaign-days too large for one task.
-
-    Hot means above ``hot_group_min_rows`` and above ``hot_group_fraction`` of all
-    rows; fewer than 1 / fraction groups can satisfy the second condition.
-    """
-    sizes = rows.groupBy(*GROUP).agg(F.count("*").alias("group_rows"))
-    limit = sizes.agg(
-        F.greatest(
-            F.lit(float(settings.hot_group_min_rows)),
-            F.sum("group_rows") * F.lit(settings.hot_group_fraction),
-        )
-    ).scalar()
-    return sizes.filter(F.col("group_rows") > limit).select(
-        F.col("campaign_id").alias("hot_campaign"), F.col("event_date").alias("hot_day")
-    )
+    """Campaign-days too large for one task, as structs: in these, nulls are equal."""
+    sizes = rows.groupBy(F.struct(*GROUP).alias(_KEY)).agg(F.count("*").alias("group_rows"))
+    return sizes.filter(F.col("group_rows") > F.lit(settings.hot_group_rows)).select(_KEY)
 
 
 def _same_group(campaign: str, day: str) -> Column:
@@ -104,8 +92,8 @@ def _same_group(campaign: str, day: str) -> Column:
 
 
 def _rank_in_window(rows: DataFrame) -> DataFrame:
-    group = Window.partitionBy(*GROUP)
-    ranking = Window.partitionBy(*GROUP, "meets_volume_floor").orderBy(F.desc("ctr"))
+    group = Window.partitionBy(_KEY)
+    ranking = Window.partitionBy(_KEY, "meets_volume_floor").orderBy(F.desc("ctr"))
     spend = F.sum(m.money("spend")).over(group).cast("double")
     percentile = F.when(F.col("meets_volume_floor"), F.percent_rank().over(ranking))
     return rows.select(
@@ -129,12 +117,11 @@ def _rank_by_value(rows: DataFrame) -> DataFrame:
         "ahead",
         "total",
     )
-    # One row per hot group, so bounded as the hot list is.
     spend = rows.groupBy(F.col("campaign_id").alias("s_campaign"), F.col("event_date").alias("s_day"))
     spend = spend.agg(F.sum(m.money("spend")).cast("double").alias("group_spend"))
     percent = F.when(F.col("total") > 1, F.col("ahead") / (F.col("total") - 1)).otherwise(0.0)
     return (
-        rows.join(F.broadcast(spend), _same_group("s_campaign", "s_day"))
+        rows.join(spend, _same_group("s_campaign", "s_day"))
         .join(ranks, _same_group("r_campaign", "r_day") & F.col("ctr").eqNullSafe(F.col("r_ctr")), "left")
         .select(
             *rows.columns,

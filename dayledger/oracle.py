@@ -19,8 +19,8 @@ truth as (
     'cmp_' || cast(pk % 25 as varchar) as campaign_id,
     'cmp_' || cast(pk % 25 as varchar) || '_adset_' || cast(pk % 3 as varchar) as adset_id,
     'cr_' || cast(pk as varchar) as creative_id,
-    case pk % 4 when 0 then 'video' when 1 then 'static_image' when 2 then 'carousel' else 'collection' end as creative_format,
-    case pk % 5 when 0 then 'feed' when 1 then 'stories' when 2 then 'reels' when 3 then 'audience_network' else 'in_stream' end as placement,
+    case pk % 4 when 0 then 'video' when 1 then 'still' when 2 then 'slides' else 'grid' end as creative_format,
+    case pk % 5 when 0 then 'main' when 1 then 'top' when 2 then 'side' when 3 then 'partner' else 'inline' end as placement,
     cast(case when h % 33 = 0 then 0 else q * 100 end as bigint) as impressions,
     cast(case when h % 33 = 0 then 0 else q * (1 + h % 7) end as bigint) as clicks,
     cast(price as double) as spend,

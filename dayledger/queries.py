@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
@@ -37,7 +36,7 @@ STALE_SINCE = date(2026, 1, 3)
 _LATE_FROM = date(2026, 2, 20)
 
 # Sends every campaign-day through the branch for hot groups.
-_ALL_HOT = replace(DEFAULTS, hot_group_min_rows=0, hot_group_fraction=0.0)
+_ALL_HOT = replace(DEFAULTS, hot_group_rows=0)
 
 
 def _staged(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,7 +318,7 @@ def _write_drops(raw: DataFrame, drops: str) -> None:
 
 
 def _delivered_files(spark: SparkSession, folder: str) -> tuple[Store, str]:
-    root = scratch_folder(spark) or tempfile.mkdtemp(prefix="dayledger-")
+    root = scratch_folder(spark)
     drops = f"{root}/drops"
     _write_drops(settled(lineitem.deliveries(spark, folder)), drops)
     return Store(spark, f"{root}/warehouse"), drops

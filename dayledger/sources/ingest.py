@@ -19,6 +19,8 @@ LOADED = "loaded"
 QUARANTINED = "quarantined"
 
 _EXTRA_FIELD = "_extra_field"
+# Where the CSV reader keeps the line of a row with more or fewer fields.
+_LINE = "_line"
 
 
 @dataclass(frozen=True)
@@ -157,13 +159,15 @@ def numbered(landed: DataFrame, blocks: DataFrame, loaded_at: datetime) -> DataF
 
 
 def _read_layout(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
-    schema = ", ".join(f"`{name}` string" for name in [*columns, _EXTRA_FIELD])
+    schema = ", ".join(f"`{name}` string" for name in [*columns, _EXTRA_FIELD, _LINE])
     # The header has been checked name by name, so reading by position is safe. Blocks
-    # are lines: a quoted line break would end a row early and be found unreadable.
+    # are lines: a quoted line break ends a row early. Its halves have too few fields, so
+    # the reader keeps their lines, and the quotes in these do not pair.
     delivered = (
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _LINE)
         .option("escape", '"')
         .csv(paths)
         .withColumns(
@@ -181,7 +185,7 @@ def _read_layout(spark: SparkSession, paths: list[str], columns: list[str]) -> D
 
     numbers = [*METRICS, "video_completion_rate"]
     parsed = {"date": text.day(F.col("date")), **{n: text.number(F.col(n)) for n in numbers}}
-    unreadable = F.col(_EXTRA_FIELD).isNotNull()
+    unreadable = F.col(_EXTRA_FIELD).isNotNull() | text.has_open_quote(F.col(_LINE))
     for name, value in parsed.items():
         unreadable = unreadable | (value.isNull() & text.field(F.col(name)).isNotNull())
     return delivered.select(

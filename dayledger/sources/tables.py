@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,23 +106,42 @@ class Store:
         return self.spark.read.schema(schema).parquet(self.path(table))
 
 
-def scratch_folder(spark: SparkSession, default: str | None = None) -> str | None:
-    """A new folder name on the storage the cluster shares for checkpoints, if it names any."""
+def scratch_folder(spark: SparkSession, default: str | None = None) -> str:
+    """A new folder name on storage that the cluster shares, removed when the process ends.
+
+    Shared storage is what ``spark.checkpoint.dir`` names, else ``default``, else the
+    session's warehouse; never a folder of one machine's own.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or default
-    return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}" if shared else None
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    folder = f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"
+    atexit.register(_forget, folder)
+    return folder
+
+
+def _forget(folder: str) -> None:
+    # The session may have ended by now, so this goes without it.
+    try:
+        if folder.startswith("file:"):
+            fs.LocalFileSystem().delete_dir("/" + folder.removeprefix("file:").lstrip("/"))
+        elif "://" in folder:
+            store, path = fs.FileSystem.from_uri(folder)
+            store.delete_dir(path)
+        else:
+            fs.LocalFileSystem().delete_dir(folder)
+    except OSError:
+        pass
 
 
 def settled(rows: DataFrame) -> DataFrame:
     """``rows`` written once to the cluster's shared scratch storage and read back.
 
     For a result that several consumers read: they share one computation, prune
-    columns, and lost executors cost a read instead of the lineage. Where the session
-    names no such storage, ``rows`` are returned as they are and computed per consumer.
+    columns, and lost executors cost a read instead of the lineage.
     """
     spark = rows.sparkSession
     folder = scratch_folder(spark)
-    if folder is None:
-        return rows
     rows.write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
 

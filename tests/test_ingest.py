@@ -3,12 +3,13 @@ import os
 import pytest
 from helpers import EARLY, LATE, write_drop
 
+from dayledger.plans.refresh import refresh_staging
 from dayledger.sources import files
 from dayledger.sources.ingest import ingest, run_summary
 from dayledger.sources.tables import Store
 
-EARLY_ROW = "2026-01-01,cmp_0001,a1,c1,video,feed,100,5,2.5,1"
-LATE_ROW = "2026-03-01,cmp_0001,a1,c1,video,feed,200,8,4.0,2,0.6"
+EARLY_ROW = "2026-01-01,camp-7,set-3,ad-9,video,main,640,16,8.25,3"
+LATE_ROW = "2026-03-01,camp-7,set-3,ad-9,video,main,910,21,13.5,4,0.35"
 
 
 @pytest.fixture
@@ -33,19 +34,19 @@ def test_loads_both_layouts(store, drops):
     summary = ingest(store, drops)
     assert (summary.loaded, summary.quarantined, summary.rows_loaded) == (2, 0, 2)
     rows = store.raw().orderBy("date").collect()
-    assert [(r.spend, r.video_completion_rate) for r in rows] == [(2.5, None), (4.0, 0.6)]
+    assert [(r.spend, r.video_completion_rate) for r in rows] == [(8.25, None), (13.5, 0.35)]
     assert [str(r["_drop_date"]) for r in rows] == ["2026-01-01", "2026-03-01"]
     assert [o.layout for o in summary.outcomes] == ["early", "late"]
 
 
 def test_quarantines_unknown_layout(store, drops):
     write_drop(drops, "drop_2026-01-01.csv", EARLY, [EARLY_ROW])
-    write_drop(drops, "drop_2026-01-02.csv", "date,foo,baz", ["2026-01-02,bar,123"])
+    write_drop(drops, "drop_2026-01-02.csv", "day,left,right", ["2026-01-02,x,77"])
     summary = ingest(store, drops)
     assert (summary.loaded, summary.quarantined) == (1, 1)
-    assert outcome(summary, "drop_2026-01-02.csv").reason == "unrecognized columns: ['date', 'foo', 'baz']"
+    assert outcome(summary, "drop_2026-01-02.csv").reason == "unrecognized columns: ['day', 'left', 'right']"
     kept = store.quarantine().orderBy("block", "position").collect()
-    assert [r.line for r in kept] == ["date,foo,baz", "2026-01-02,bar,123"]
+    assert [r.line for r in kept] == ["day,left,right", "2026-01-02,x,77"]
     assert os.path.exists(f"{drops}/drop_2026-01-02.csv")
     assert store.raw().count() == 1
     assert tuple(run_summary(store.load_log()).first()) == (1, 1, 1)
@@ -53,7 +54,7 @@ def test_quarantines_unknown_layout(store, drops):
 
 def test_second_run_changes_nothing(store, drops):
     write_drop(drops, "drop_2026-01-01.csv", EARLY, [EARLY_ROW])
-    write_drop(drops, "drop_2026-01-02.csv", "date,foo,baz", [])
+    write_drop(drops, "drop_2026-01-02.csv", "day,left,right", [])
     ingest(store, drops)
     write_drop(drops, "drop_2026-01-01.csv", EARLY, [EARLY_ROW, EARLY_ROW])
     again = ingest(store, drops)
@@ -122,7 +123,7 @@ def test_no_files(store, drops):
 
 @pytest.mark.parametrize("text", ["", "NA", "nan", "NULL", "None", " n/a "])
 def test_blank_texts_are_null(store, drops, text):
-    write_drop(drops, "drop_2026-01-01.csv", EARLY, [EARLY_ROW.replace("2.5", text)])
+    write_drop(drops, "drop_2026-01-01.csv", EARLY, [EARLY_ROW.replace("8.25", text)])
     assert ingest(store, drops).loaded == 1
     assert store.raw().first().spend is None
 
@@ -130,8 +131,8 @@ def test_blank_texts_are_null(store, drops, text):
 @pytest.mark.parametrize(
     "row",
     [
-        EARLY_ROW.replace("100", "many"),
-        EARLY_ROW.replace("100", "1d"),
+        EARLY_ROW.replace("640", "many"),
+        EARLY_ROW.replace("640", "1d"),
         EARLY_ROW.replace("2026-01-01", "yesterday"),
         EARLY_ROW.replace("2026-01-01", "2026-02-30"),
         EARLY_ROW + ",7",
@@ -162,7 +163,7 @@ def test_identifiers_keep_leading_zeros_and_quotes(store, drops):
 
 def test_positions_are_dense_and_in_file_order_over_many_blocks(store, drops, small_blocks):
     for name, size in (("drop_2026-01-01.csv", 90), ("drop_2026-01-02.csv", 41), ("x.csv", 1)):
-        write_drop(drops, name, EARLY, [EARLY_ROW.replace("100", str(i)) for i in range(size)])
+        write_drop(drops, name, EARLY, [EARLY_ROW.replace("640", str(i)) for i in range(size)])
     summary = ingest(store, drops)
     assert [o.row_count for o in summary.outcomes] == [90, 41, 1]
     rows = store.raw().collect()
@@ -193,3 +194,22 @@ def test_header_may_follow_blank_lines_and_a_byte_order_mark(spark, drops):
         file.write("\n\n﻿" + EARLY + "\n" + EARLY_ROW + "\n")
     found = files.read_headers(spark, files.list_drops(spark, drops))
     assert found["x.csv"].layout == "early"
+
+
+@pytest.mark.parametrize("spend", ["1e400", "1e30", "-1e19"])
+def test_a_number_out_of_range_quarantines_its_file_only(store, drops, spend):
+    write_drop(drops, "drop_2026-01-01.csv", EARLY, [EARLY_ROW])
+    write_drop(drops, "drop_2026-01-02.csv", EARLY, [EARLY_ROW, EARLY_ROW.replace("640", spend)])
+    assert outcome(ingest(store, drops), "drop_2026-01-02.csv").status == "quarantined"
+    refresh_staging(store)
+    assert store.staging().count() == 1
+
+
+def test_a_quoted_line_break_quarantines_its_file_only(store, drops):
+    write_drop(drops, "drop_2026-01-01.csv", EARLY, [EARLY_ROW, EARLY_ROW.replace("ad-9", '"ad-9, ""b"""')])
+    first, second = EARLY_ROW.split(",ad-9,")
+    for n, rest in enumerate((f'",{second}', f'",,{second}', f',",{second}')):
+        write_drop(drops, f"drop_2026-01-0{n + 2}.csv", EARLY, [EARLY_ROW, f'{first},"ad-9', rest])
+    summary = ingest(store, drops)
+    assert [o.status for o in summary.outcomes] == ["loaded"] + ["quarantined"] * 3
+    assert {r.creative_id for r in store.raw().collect()} == {"ad-9", 'ad-9, "b"'}

@@ -113,7 +113,7 @@ def random_deliveries(seed, size, hot_share=0.0):
             creative="cr_hot" if hot else f"cr_{dice.randint(0, 30)}",
             campaign="cmp" if hot else dice.choice(["cmp", "other", None]),
             file=None if drop else dice.choice(["x.csv", "y.csv"]),
-            creative_format=dice.choice(["video", "carousel"]),
+            creative_format=dice.choice(["video", "slides"]),
         ))
     return rows
 
