@@ -13,9 +13,12 @@ A document is contaminated if one item has ``least_windows`` consistent windows
 of them, if it has fewer).
 
 Documents are filtered by a bitmap of fixed size over the hashes of the benchmark's windows
-before the join; it passes more as the benchmark grows, and the join decides in any case. A
-window that several items have counts for the least item_id, so that neither side of the
-join multiplies.
+before the join; it passes more as the benchmark grows, and the join decides in any case.
+Items with one text are one item, the one with the least item_id. Otherwise every item keeps all
+its windows, also those it shares with others. A match needs ``least_windows`` of an item's windows, so it has one
+of them even if the ``least_windows - 1`` most common ones are left out: only the others are
+looked up in the join, and all windows of an item are then compared where one was met. A
+beginning that many items share thus meets nothing, unless it is long enough to be a match.
 
 Defined results: null and empty texts match nothing; items with fewer than ``least_tokens``
 tokens, and windows with fewer than half plain words, identify nothing. An empty benchmark
@@ -30,7 +33,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -47,6 +50,7 @@ NUMBER_WORDS = "two three four five six seven eight nine ten eleven twelve thirt
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,/:]*%?$")
 _WORD, _NUM, _UNIT, _NAME, _NOTHING = range(5)
+_READINGS = _TYPED, _PLAIN = 1, 2
 _CACHE = 400_000
 _GATHERED = 4 << 20
 _BITS = 24
@@ -143,29 +147,44 @@ def templates(texts: list[bytes]) -> Template:
     return Template(number, place, value, kind)
 
 
-def readings(template: Template) -> Iterator[Template]:
-    """The template, and the one that takes names for plain words: texts in other letter case have none."""
-    yield template
-    if (template.kind == _NAME).any():
-        yield replace(template, kind=np.where(template.kind == _NAME, _WORD, template.kind))
+def _counts(marked: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """How many of the tokens of each window are marked."""
+    total = np.concatenate([[0], np.cumsum(marked)])
+    return total[start + width] - total[start]
 
 
-def window_hashes(template: Template, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the windows that identify something, and their hashes."""
+def readings(template: Template, width: int) -> Iterator[tuple[Template, np.ndarray, np.ndarray]]:
+    """Readings of the windows: the template, starts of the windows that identify something, and their readings.
+
+    A window that several readings read alike comes once, with the bits of them all. The template as it is; names
+    taken for plain words, as texts in other letter case have none.
+    """
     n = len(template.hash) - width + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    start = np.flatnonzero(template.text[: max(0, n)] == template.text[width - 1 :])
+    names = _counts(template.kind == _NAME, start, width) > 0
     plain = template.kind == _WORD
-    sign = np.where(plain, template.hash, (template.kind.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    total, words = np.full(n, width, dtype=np.uint64), np.zeros(n, dtype=np.int64)
+    half = 2 * _counts(plain, start, width) >= width
+    yield template, start[half], (_TYPED + _PLAIN * ~names)[half]
+    if names.any():
+        read = replace(template, kind=np.where(template.kind == _NAME, _WORD, template.kind))
+        fresh = names & (2 * _counts(read.kind == _WORD, start, width) >= width)
+        yield read, start[fresh], np.full(fresh.sum(), _PLAIN)
+
+
+def outlines(template: Template, start: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each window's words and kinds of slots."""
+    sign = np.where(template.kind == _WORD, template.hash, (template.kind.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    total = np.full(len(start), width, dtype=np.uint64)
     for j in range(width):
-        total = (total ^ sign[j : j + n]) * np.uint64(0xFF51AFD7ED558CCD)
+        total = (total ^ sign[start + j]) * np.uint64(0xFF51AFD7ED558CCD)
         total ^= total >> np.uint64(32)
-        words += plain[j : j + n]
-    start = np.flatnonzero((template.text[:n] == template.text[width - 1 :]) & (2 * words >= width))
-    found = total[start]
-    # Which slots have equal values: pairs of slots in the window, told apart by their places.
-    slotted = np.flatnonzero(words[start] < width)
+    return total
+
+
+def window_hashes(template: Template, start: np.ndarray, width: int, outline: np.ndarray) -> np.ndarray:
+    """Hash of each window's outline and of which slots have equal values: pairs of slots, told apart by their places."""
+    found = outline.copy()
+    slotted = np.flatnonzero(_counts(template.kind != _WORD, start, width) > 1)
     if len(slotted):
         base = start[slotted]
         for i in range(width):
@@ -173,7 +192,7 @@ def window_hashes(template: Template, width: int) -> tuple[np.ndarray, np.ndarra
                 a, b = base + i, base + j
                 equal = (template.kind[a] != _WORD) & (template.kind[a] == template.kind[b]) & (template.hash[a] == template.hash[b])
                 found[slotted] += equal * np.uint64((i * 64 + j + 1) * 0x2545F4914F6CDD1D % (1 << 64))
-    return start, found
+    return found
 
 
 def _slots(template: Template, start: int, width: int) -> list[int]:
@@ -181,7 +200,7 @@ def _slots(template: Template, start: int, width: int) -> list[int]:
     return template.hash[part][template.kind[part] != _WORD].view(np.int64).tolist()
 
 
-_WINDOWS = "id long, place long, width int, hash long, slots array<long>, of long"
+_WINDOWS = "id long, place long, width int, outline long, hash long, slots array<long>, readings int, of array<int>"
 
 
 def _item_windows(settings: Settings):
@@ -194,18 +213,22 @@ def _item_windows(settings: Settings):
                 if len(template.hash) < settings.least_tokens:
                     continue
                 width = min(settings.window, len(template.hash))
-                for read in readings(template):
-                    start, found = window_hashes(read, width)
-                    rows += [(number, s, width, h, _slots(read, s, width), len(start)) for s, h in zip(start.tolist(), found.view(np.int64).tolist(), strict=True)]
+                own = []
+                for read, start, bits in readings(template, width):
+                    outline = outlines(read, start, width)
+                    found = window_hashes(read, start, width, outline)
+                    own += [(number, s, width, o, h, _slots(read, s, width), b) for s, o, h, b in zip(start.tolist(), outline.view(np.int64).tolist(), found.view(np.int64).tolist(), bits.tolist(), strict=True)]
+                of = [sum(row[6] & bit > 0 for row in own) for bit in _READINGS]
+                rows += [(*row, of) for row in own]
             yield _window_batch(rows)
 
     return run
 
 
 def _window_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [()] * 6
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["id", "place", "width", "hash", "slots", "of"])
+    columns = list(zip(*rows, strict=True)) or [()] * 8
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], [f.split()[0] for f in _WINDOWS.split(", ")])
 
 
 def _document_windows(widths: list[int], bitmap: np.ndarray):
@@ -216,45 +239,76 @@ def _document_windows(widths: list[int], bitmap: np.ndarray):
             ids = table.column("id").to_pylist()
             rows = []
             whole = templates(payloads(table.column("text").combine_chunks()))
-            for template, width in ((t, w) for t in readings(whole) for w in widths):
-                start, found = window_hashes(template, width)
-                at = found & mask
+            for width, (template, start, bits) in ((w, r) for w in widths for r in readings(whole, w)):
+                outline = outlines(template, start, width)
+                at = outline & mask
                 passed = np.flatnonzero((bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1))
-                for s, h in zip(start[passed].tolist(), found[passed].view(np.int64).tolist(), strict=True):
-                    rows.append((ids[template.text[s]], int(template.place[s]), width, h, _slots(template, s, width), 0))
+                start, outline = start[passed], outline[passed]
+                found = window_hashes(template, start, width, outline)
+                for s, o, h, b in zip(start.tolist(), outline.view(np.int64).tolist(), found.view(np.int64).tolist(), bits[passed].tolist(), strict=True):
+                    rows.append((ids[template.text[s]], int(template.place[s]), width, o, h, _slots(template, s, width), b, None))
             yield _window_batch(rows)
 
     return run
 
 
 def _bitmap(windows: DataFrame) -> np.ndarray:
-    """One bit per value of the hashes' low bits: 2 MB, whatever the benchmark's size."""
-    low = F.col("hash").bitwiseAND((1 << _BITS) - 1)
-    words = windows.groupBy(F.shiftright(low, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(hash & 63 as int))")).alias("bits")).collect()
+    """One bit per value of the outlines' low bits: 2 MB, whatever the benchmark's size."""
+    low = F.col("outline").bitwiseAND((1 << _BITS) - 1)
+    words = windows.groupBy(F.shiftright(low, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(outline & 63 as int))")).alias("bits")).collect()
     bitmap = np.zeros(1 << (_BITS - 6), dtype=np.uint64)
     for row in words:
         bitmap[row["word"]] = np.uint64(row["bits"] % (1 << 64))
     return bitmap
 
 
+def _looked_up(own: DataFrame, settings: Settings) -> DataFrame:
+    """(hash, width, item, place) of windows of which every match has one: all but an item's ``least_windows - 1`` most common ones.
+
+    Readings with fewer windows match with all of theirs; the least common one of each is among them.
+    """
+    sizes = own.groupBy("hash", "width").agg(F.count("*").alias("size"))
+    sized = own.join(sizes, ["hash", "width"])
+    places = sized.groupBy("item", "place").agg(F.max("size").alias("size"), F.bit_or("readings").alias("readings"))
+    item = Window.partitionBy("item")
+    order = item.orderBy("size", "place")
+    kept = F.row_number().over(order) <= F.count("*").over(item) - settings.least_windows + 1
+    for bit in _READINGS:
+        has = F.col("readings").bitwiseAND(bit) > 0
+        kept |= has & (F.count_if(has).over(order) == 1)
+    return sized.select("hash", "width", "item", "place").join(places.withColumn("kept", kept).filter("kept").select("item", "place"), ["item", "place"])
+
+
 def matches(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, item_id, n_windows, of_windows, reworded): consistent matches, best diagonal of each pair."""
-    own = items.select(F.col("item_id").cast("long").alias("id"), "text").mapInArrow(_item_windows(settings), _WINDOWS)
-    own = stored(own.groupBy("hash", "width").agg(F.min(F.struct("id", "place", "slots", "of")).alias("w")).select("hash", "width", "w.*"), "benchmark-windows")
+    items = items.select(F.col("item_id").cast("long").alias("id"), "text").groupBy("text").agg(F.min(F.struct("id")).alias("least"))
+    items = items.select(F.xxhash64("text").alias("item"), "least.id", "text")
+    own = items.select(F.col("item").alias("id"), "text").mapInArrow(_item_windows(settings), _WINDOWS)
+    own = stored(own.withColumnRenamed("id", "item"), "benchmark-windows")
     widths = sorted(row["width"] for row in own.select("width").distinct().collect())
     found = docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(_document_windows(widths, _bitmap(own)), _WINDOWS)
-    found = found.select("hash", "width", F.col("id").alias("doc_id"), F.col("place").alias("at"), F.col("slots").alias("values"))
-    met = found.join(own, ["hash", "width"])
+    found = stored(found.select("hash", "width", F.col("id").alias("doc_id"), F.col("place").alias("at"), F.col("slots").alias("values")), "document-windows")
+
+    # Where one of the windows looked up is met, all windows of the item are compared.
+    met = found.join(_looked_up(own, settings), ["hash", "width"]).select("doc_id", "item", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
+    wanted = met.join(own, "item").withColumn("at", F.col("place") + F.col("diagonal")).withColumnRenamed("doc_id", "in_doc")
+    met = wanted.join(found, ["hash", "width", "at"]).filter(F.col("in_doc").eqNullSafe(F.col("doc_id")))
     pairs = F.transform(F.arrays_zip("slots", "values"), lambda p: F.struct(p["slots"].alias("a"), p["values"].alias("b")))
-    met = met.select("doc_id", F.col("id").alias("item_id"), (F.col("at") - F.col("place")).alias("diagonal"), "at", "of", pairs.alias("pairs"))
-    grouped = met.groupBy("doc_id", "item_id", "diagonal").agg(F.count_distinct("at").alias("n"), F.max("of").alias("of"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("map"))
+    met = met.select("doc_id", "item", "diagonal", "at", "readings", "of", pairs.alias("pairs"))
+    counts = [F.size(F.collect_set(F.when(F.col("readings").bitwiseAND(bit) > 0, F.col("at")))).alias(f"n{bit}") for bit in _READINGS]
+    grouped = met.groupBy("doc_id", "item", "diagonal").agg(
+        F.size(F.collect_set("at")).alias("n"), *counts, F.max("of").alias("of"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("map")
+    )
     from_side = F.array_distinct(F.transform("map", lambda p: p["a"]))
     to_side = F.array_distinct(F.transform("map", lambda p: p["b"]))
     one_to_one = (F.size(from_side) == F.size("map")) & (F.size(to_side) == F.size("map"))
-    enough = F.col("n") >= F.least(F.lit(settings.least_windows), F.col("of"))
+    enough = F.col("n") >= settings.least_windows
+    for i, bit in enumerate(_READINGS):
+        enough |= (F.col("of")[i] > 0) & (F.col(f"n{bit}") >= F.col("of")[i])
     good = grouped.filter(one_to_one & enough).withColumn("reworded", F.exists("map", lambda p: p["a"] != p["b"]))
+    good = good.join(items.select("item", F.col("id").alias("item_id")), "item").withColumn("of", F.greatest(F.array_max("of"), "n"))
     best = good.groupBy("doc_id", "item_id").agg(F.max(F.struct("n", (~F.col("reworded")).alias("same"), "of")).alias("m"))
-    return best.select("doc_id", "item_id", F.col("m.n").alias("n_windows"), F.col("m.of").alias("of_windows"), (~F.col("m.same")).alias("reworded"))
+    return best.select("doc_id", "item_id", F.col("m.n").alias("n_windows"), F.col("m.of").cast("long").alias("of_windows"), (~F.col("m.same")).alias("reworded"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -206,6 +206,14 @@ def test_whole_items_in_long_texts_are_found_like_a_plain_search(spark):
     assert {(r["doc_id"], r["item_id"]) for r in collected(found) if r["contaminated"]} == {(i, i % 8) for i in range(0, 30, 3)}
 
 
+def test_items_keep_the_windows_they_share(spark):
+    start = "which of the following statements about the "
+    items = [(0, start + "lonus rimak telok basan firud"), (1, start + "gavon pirel dosik munat"), (2, "ka lo mi tu re sa ne vi " * 3), (3, start + "gavon pirel dosik munat")]
+    texts = [(i, "nen " * 9 + items[i][1] + " rus" * 9) for i in range(3)] + [(7, "nen " * 9 + start + "rus" * 9)]
+    found = decontaminate.decontaminate(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"]: r["item_id"] for r in collected(found)} == {0: 0, 1: 1, 2: 2, 7: None}
+
+
 # Packing
 
 
