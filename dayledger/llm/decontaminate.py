@@ -2,13 +2,17 @@
 
 Benchmark items and documents are read as templates: numbers, units and names become typed
 placeholders, other words are lower-cased and lose the marks around them. A second reading takes names for
-words, for copies in other letter case. Windows of eight
+words, for copies in other letter case; a third one takes capitalised words at the start of sentences for
+names. Windows of eight
 template tokens (all of an item, if it is shorter) meet in a hash join; the hash holds the
 template and which of its slots have equal values. Windows of one item on one
 diagonal (place in the document minus place in the item) are then checked together: the item's slot
 values must map to the document's one to one. So a question asked again with other numbers is
 found, and a text that only has the same outline with clashing values is not.
 
+A word that starts a sentence may stand for another only if it is a name: no function word, and in
+documents and benchmark not more often in lower case than capitalised within sentences.
+
 A document is contaminated if one item has ``least_windows`` consistent windows in it (all
 of them, if it has fewer).
 
@@ -47,10 +51,16 @@ UNITS = (
 )
 NUMBER_WORDS = "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million"
 
+OPENERS = (
+    "a an the this that these those if when while where what which who whom whose why how there here it he she they we i you "
+    "his her its their our my your is are was were be do does did can could will would shall should may might must has have had "
+    "in on at of for from to by with and or but not no so as than then let find given suppose each every all some any after before"
+)
+
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,/:]*%?$")
 _WORD, _NUM, _UNIT, _NAME, _NOTHING = range(5)
-_READINGS = _TYPED, _PLAIN = 1, 2
+_READINGS = _TYPED, _PLAIN, _BEGUN = 1, 2, 4
 _CACHE = 400_000
 _GATHERED = 4 << 20
 _BITS = 24
@@ -67,11 +77,12 @@ class Tokens:
     """What is known of each distinct word: its plain hash, its kind within and at the start of a sentence."""
 
     def __init__(self) -> None:
-        self.units, self.numbers = set(UNITS.split()), set(NUMBER_WORDS.split())
+        self.units, self.numbers, self.openers = set(UNITS.split()), set(NUMBER_WORDS.split()), set(OPENERS.split())
         self.place: dict[bytes, int] = {}
         self.hash = np.zeros(_CACHE, dtype=np.uint64)
         self.kind = np.zeros(_CACHE, dtype=np.int8)
         self.ends = np.zeros(_CACHE, dtype=bool)
+        self.opener = np.zeros(_CACHE, dtype=bool)
 
     def _learn(self, word: bytes) -> None:
         text = word.decode("utf-8", "replace")
@@ -90,6 +101,7 @@ class Tokens:
             kind = _WORD
         self.hash[at] = xxh3_64_intdigest(low.encode())
         self.kind[at] = kind
+        self.opener[at] = low in self.openers
         self.ends[at] = text[-1:] in ".!?:" or text[-2:-1] in ".!?"
         self.place[word] = at
 
@@ -101,7 +113,7 @@ class Tokens:
             if len(self.place) + len(distinct) > _CACHE:
                 self.place.clear()
                 if len(distinct) > len(self.hash):
-                    self.hash, self.kind, self.ends = (np.zeros(2 * len(distinct), dtype=a.dtype) for a in (self.hash, self.kind, self.ends))
+                    self.hash, self.kind, self.ends, self.opener = (np.zeros(2 * len(distinct), dtype=a.dtype) for a in (self.hash, self.kind, self.ends, self.opener))
             for word in distinct:
                 if word not in self.place:
                     self._learn(word)
@@ -119,15 +131,17 @@ def _tokens() -> Tokens:
 
 @dataclass(frozen=True)
 class Template:
-    """Tokens of several texts in a row: text number, place in the text, plain hash, kind."""
+    """Tokens of several texts in a row: text number, place in the text, plain hash, kind, capitalised at the start of a sentence."""
 
     text: np.ndarray
     place: np.ndarray
     hash: np.ndarray
     kind: np.ndarray
+    first: np.ndarray
 
 
-def templates(texts: list[bytes]) -> Template:
+def templates(texts: list[bytes]) -> tuple[Template, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The texts' tokens, and of each word within sentences its hash and how often it is in lower case and capitalised."""
     known = _tokens()
     split = [text.split() for text in texts]
     lengths = np.array([len(words) for words in split], dtype=np.int64)
@@ -137,14 +151,20 @@ def templates(texts: list[bytes]) -> Template:
     kind, ends, value = known.kind[at], known.ends[at], known.hash[at]
     starts = np.ones(len(at), dtype=bool)
     starts[1:] = ends[:-1] | (number[1:] != number[:-1])
-    kind = np.where((kind == _NAME) & starts, _WORD, kind)
+    size = len(known.place)
+    lower, upper = (np.bincount(at[mark], minlength=size) for mark in ((kind == _WORD) & ~starts, (kind == _NAME) & ~starts))
+    seen = np.flatnonzero(lower + upper)
+    words = known.hash[seen], lower[seen], upper[seen]
+    begins = (kind == _NAME) & starts
+    kind = np.where(begins, _WORD, kind)
+    begins &= ~known.opener[at]
     kept = kind != _NOTHING
-    number, kind, value = number[kept], kind[kept], value[kept]
+    number, kind, value, begins = number[kept], kind[kept], value[kept], begins[kept]
     first = np.ones(len(number), dtype=bool)
     first[1:] = number[1:] != number[:-1]
     begin = np.flatnonzero(first)
     place = np.arange(len(number)) - np.repeat(begin, np.diff(np.append(begin, len(number))))
-    return Template(number, place, value, kind)
+    return Template(number, place, value, kind, begins), words
 
 
 def _counts(marked: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
@@ -157,18 +177,23 @@ def readings(template: Template, width: int) -> Iterator[tuple[Template, np.ndar
     """Readings of the windows: the template, starts of the windows that identify something, and their readings.
 
     A window that several readings read alike comes once, with the bits of them all. The template as it is; names
-    taken for plain words, as texts in other letter case have none.
+    taken for plain words, as texts in other letter case have none; capitalised words at the start of sentences taken for names.
     """
     n = len(template.hash) - width + 1
     start = np.flatnonzero(template.text[: max(0, n)] == template.text[width - 1 :])
     names = _counts(template.kind == _NAME, start, width) > 0
     plain = template.kind == _WORD
     half = 2 * _counts(plain, start, width) >= width
-    yield template, start[half], (_TYPED + _PLAIN * ~names)[half]
+    begins = _counts(template.first, start, width) > 0
+    yield template, start[half], (_TYPED + _PLAIN * ~names + _BEGUN * ~begins)[half]
     if names.any():
         read = replace(template, kind=np.where(template.kind == _NAME, _WORD, template.kind))
         fresh = names & (2 * _counts(read.kind == _WORD, start, width) >= width)
         yield read, start[fresh], np.full(fresh.sum(), _PLAIN)
+    if begins.any():
+        read = replace(template, kind=np.where(template.first, _NAME, template.kind))
+        fresh = begins & (2 * _counts(read.kind == _WORD, start, width) >= width)
+        yield read, start[fresh], np.full(fresh.sum(), _BEGUN)
 
 
 def outlines(template: Template, start: np.ndarray, width: int) -> np.ndarray:
@@ -200,7 +225,17 @@ def _slots(template: Template, start: int, width: int) -> list[int]:
     return template.hash[part][template.kind[part] != _WORD].view(np.int64).tolist()
 
 
-_WINDOWS = "id long, place long, width int, outline long, hash long, slots array<long>, readings int, of array<int>"
+def _doubts(template: Template, start: int, width: int, bits: int) -> list[int] | None:
+    """The values of slots that are names only if words at the start of sentences are."""
+    part = slice(start, start + width)
+    return template.hash[part][template.first[part]].view(np.int64).tolist() if bits == _BEGUN else None
+
+
+# Rows of width 0 count words within sentences: hash, times in lower case, times capitalised.
+_WINDOWS = "id long, place long, width int, outline long, hash long, slots array<long>, doubts array<long>, readings int, of array<int>, lower long, upper long"
+
+
+_NAMES = tuple(field.split()[0] for field in _WINDOWS.split(", "))
 
 
 def _item_windows(settings: Settings):
@@ -209,7 +244,8 @@ def _item_windows(settings: Settings):
             ids = table.column("id").to_pylist()
             rows = []
             for number, text in zip(ids, payloads(table.column("text").combine_chunks()), strict=True):
-                template = templates([text])
+                template, words = templates([text])
+                yield _word_batch(words)
                 if len(template.hash) < settings.least_tokens:
                     continue
                 width = min(settings.window, len(template.hash))
@@ -217,8 +253,8 @@ def _item_windows(settings: Settings):
                 for read, start, bits in readings(template, width):
                     outline = outlines(read, start, width)
                     found = window_hashes(read, start, width, outline)
-                    own += [(number, s, width, o, h, _slots(read, s, width), b) for s, o, h, b in zip(start.tolist(), outline.view(np.int64).tolist(), found.view(np.int64).tolist(), bits.tolist(), strict=True)]
-                of = [sum(row[6] & bit > 0 for row in own) for bit in _READINGS]
+                    own += [(number, s, width, o, h, _slots(read, s, width), _doubts(read, s, width, b), b) for s, o, h, b in zip(start.tolist(), outline.view(np.int64).tolist(), found.view(np.int64).tolist(), bits.tolist(), strict=True)]
+                of = [sum(row[7] & bit > 0 for row in own) for bit in _READINGS]
                 rows += [(*row, of) for row in own]
             yield _window_batch(rows)
 
@@ -226,9 +262,18 @@ def _item_windows(settings: Settings):
 
 
 def _window_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [()] * 8
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int32())]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], [f.split()[0] for f in _WINDOWS.split(", ")])
+    return _batch(dict(zip(_NAMES, zip(*rows, strict=True), strict=False)), len(rows))
+
+
+def _word_batch(words: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    value, lower, upper = words
+    return _batch({"width": np.zeros(len(value), dtype=np.int32), "hash": value.view(np.int64), "lower": lower, "upper": upper}, len(value))
+
+
+def _batch(columns: dict, n: int) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
+    fields = [field.split() for field in _WINDOWS.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(columns[name], kinds[k]) if name in columns else pa.nulls(n, kinds[k]) for name, k in fields], list(_NAMES))
 
 
 def _document_windows(widths: list[int], bitmap: np.ndarray):
@@ -238,7 +283,8 @@ def _document_windows(widths: list[int], bitmap: np.ndarray):
         for table in pieces(batches, "text", _GATHERED):
             ids = table.column("id").to_pylist()
             rows = []
-            whole = templates(payloads(table.column("text").combine_chunks()))
+            whole, words = templates(payloads(table.column("text").combine_chunks()))
+            yield _word_batch(words)
             for width, (template, start, bits) in ((w, r) for w in widths for r in readings(whole, w)):
                 outline = outlines(template, start, width)
                 at = outline & mask
@@ -246,7 +292,7 @@ def _document_windows(widths: list[int], bitmap: np.ndarray):
                 start, outline = start[passed], outline[passed]
                 found = window_hashes(template, start, width, outline)
                 for s, o, h, b in zip(start.tolist(), outline.view(np.int64).tolist(), found.view(np.int64).tolist(), bits[passed].tolist(), strict=True):
-                    rows.append((ids[template.text[s]], int(template.place[s]), width, o, h, _slots(template, s, width), b, None))
+                    rows.append((ids[template.text[s]], int(template.place[s]), width, o, h, _slots(template, s, width), _doubts(template, s, width, b), b, None))
             yield _window_batch(rows)
 
     return run
@@ -279,22 +325,42 @@ def _looked_up(own: DataFrame, settings: Settings) -> DataFrame:
     return sized.select("hash", "width", "item", "place").join(places.withColumn("kept", kept).filter("kept").select("item", "place"), ["item", "place"])
 
 
+def _of_names(met: DataFrame, words: DataFrame) -> DataFrame:
+    """Without windows in which a word that starts a sentence stands for another and is no name."""
+    doubtful = lambda values, doubts: F.when(F.array_contains(doubts, values), F.array(values)).otherwise(F.array().cast("array<long>"))
+    changed = F.filter("pairs", lambda p: p["a"] != p["b"])
+    doubts = F.flatten(F.transform(changed, lambda p: F.concat(doubtful(p["a"], F.coalesce("doubts", F.array().cast("array<long>"))), doubtful(p["b"], F.coalesce("found_doubts", F.array().cast("array<long>"))))))
+    met = stored(met.withColumn("asked", doubts).drop("doubts", "found_doubts"), "met-windows")
+    asked = met.select(F.explode("asked").alias("hash")).distinct()
+    known = words.join(asked, "hash").groupBy("hash").agg(F.sum("lower").alias("lower"), F.sum("upper").alias("upper")).filter("lower > upper")
+    key = ["doc_id", "item", "diagonal", "at", "readings"]
+    no_names = met.select(*key, F.explode("asked").alias("hash")).join(known, "hash").select(*[F.col(c).alias(f"no_{c}") for c in key]).distinct()
+    same = F.lit(True)
+    for c in key:
+        same &= F.col(c).eqNullSafe(F.col(f"no_{c}"))
+    return met.join(no_names, same, "left_anti")
+
+
 def matches(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, item_id, n_windows, of_windows, reworded): consistent matches, best diagonal of each pair."""
     items = items.select(F.col("item_id").cast("long").alias("id"), "text").groupBy("text").agg(F.min(F.struct("id")).alias("least"))
     items = items.select(F.xxhash64("text").alias("item"), "least.id", "text")
     own = items.select(F.col("item").alias("id"), "text").mapInArrow(_item_windows(settings), _WINDOWS)
-    own = stored(own.withColumnRenamed("id", "item"), "benchmark-windows")
+    read = stored(own.withColumnRenamed("id", "item"), "benchmark-windows")
+    own, words = read.filter("width > 0"), read.filter("width = 0").select("hash", "lower", "upper")
     widths = sorted(row["width"] for row in own.select("width").distinct().collect())
     found = docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(_document_windows(widths, _bitmap(own)), _WINDOWS)
-    found = stored(found.select("hash", "width", F.col("id").alias("doc_id"), F.col("place").alias("at"), F.col("slots").alias("values")), "document-windows")
+    read = stored(found, "document-windows")
+    words = words.unionByName(read.filter("width = 0").select("hash", "lower", "upper"))
+    found = read.filter("width > 0").select("hash", "width", F.col("id").alias("doc_id"), F.col("place").alias("at"), F.col("slots").alias("values"), F.col("doubts").alias("found_doubts"))
 
     # Where one of the windows looked up is met, all windows of the item are compared.
     met = found.join(_looked_up(own, settings), ["hash", "width"]).select("doc_id", "item", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
     wanted = met.join(own, "item").withColumn("at", F.col("place") + F.col("diagonal")).withColumnRenamed("doc_id", "in_doc")
     met = wanted.join(found, ["hash", "width", "at"]).filter(F.col("in_doc").eqNullSafe(F.col("doc_id")))
     pairs = F.transform(F.arrays_zip("slots", "values"), lambda p: F.struct(p["slots"].alias("a"), p["values"].alias("b")))
-    met = met.select("doc_id", "item", "diagonal", "at", "readings", "of", pairs.alias("pairs"))
+    met = met.select("doc_id", "item", "diagonal", "at", "readings", "of", "doubts", "found_doubts", pairs.alias("pairs"))
+    met = _of_names(met, words)
     counts = [F.size(F.collect_set(F.when(F.col("readings").bitwiseAND(bit) > 0, F.col("at")))).alias(f"n{bit}") for bit in _READINGS]
     grouped = met.groupBy("doc_id", "item", "diagonal").agg(
         F.size(F.collect_set("at")).alias("n"), *counts, F.max("of").alias("of"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("map")

@@ -214,6 +214,19 @@ def test_items_keep_the_windows_they_share(spark):
     assert {r["doc_id"]: r["item_id"] for r in collected(found)} == {0: 0, 1: 1, 2: 2, 7: None}
 
 
+def test_names_at_the_start_of_sentences_are_slots(spark):
+    items = [(0, "Anna has 12 apples and gives 3 to Ben today."), (1, "Tom has 12 apples. Anna has 5 pears. Ben eats 3 of them. Tom gives 2 to Anna."), (2, "Tales are told in the old town of Brakel")]
+    texts = [
+        (0, "Carla has 30 apples and gives 7 to Dan today."),
+        (1, "So be it. Max has 30 apples. Eve has 8 pears. Dan eats 4 of them. Max gives 6 to Eve. Yes."),
+        (2, "Max has 30 apples. Eve has 8 pears. Dan eats 4 of them. Dan gives 6 to Eve."),
+        (3, "Nobody has 30 apples and gives 7 to Dan today. But nobody knows."),
+        (4, "Songs are told in the old town of Brakel. They sing songs."),
+    ]
+    found = decontaminate.decontaminate(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"]: (r["item_id"], r["reworded"]) for r in collected(found)} == {0: (0, True), 1: (1, True), 2: (None, None), 3: (None, None), 4: (None, None)}
+
+
 # Packing
 
 
