@@ -3,7 +3,8 @@
 Benchmark items and documents are read as templates: numbers, units and names become typed
 placeholders, other words are lower-cased and lose the marks around them. A second reading takes names for
 words, for copies in other letter case; a third one takes capitalised words at the start of sentences for
-names. Windows of eight
+names; a fourth one takes everything for words, numbers by their value and with the signs between them, so it finds exact copies
+only. Letters of scripts that are written without blanks are tokens each. Windows of eight
 template tokens (all of an item, if it is shorter) meet in a hash join; the hash holds the
 template and which of its slots have equal values. Windows of one item on one
 diagonal (place in the document minus place in the item) are then checked together: the item's slot
@@ -24,8 +25,8 @@ of them even if the ``least_windows - 1`` most common ones are left out: only th
 looked up in the join, and all windows of an item are then compared where one was met. A
 beginning that many items share thus meets nothing, unless it is long enough to be a match.
 
-Defined results: null and empty texts match nothing; items with fewer than ``least_tokens``
-tokens, and windows with fewer than half plain words, identify nothing. An empty benchmark
+Defined results: null and empty texts, and items of nothing but signs, match nothing; items with fewer than ``least_tokens``
+tokens, and windows with fewer than half plain words, are found in exact copies only. An empty benchmark
 contaminates nothing. Repeated rows get one result each. Further columns are ignored.
 """
 
@@ -60,7 +61,10 @@ OPENERS = (
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,/:]*%?$")
 _WORD, _NUM, _UNIT, _NAME, _NOTHING = range(5)
-_READINGS = _TYPED, _PLAIN, _BEGUN = 1, 2, 4
+_READINGS = _TYPED, _PLAIN, _BEGUN, _EXACT = 1, 2, 4, 8
+_MARKS = " .,;:!?\"'()[]{}`_“”‘’„«»…"  # around a token, without a value
+# Scripts without blanks between words: Thai to Tibetan, Burmese, Khmer, Japanese, Chinese and their marks.
+_UNSPACED = re.compile("([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u2e80-\u30ff\u3400-\u9fff\uf900-\ufaff\uff00-\uffef\U0001b000-\U0001b16f\U00020000-\U0003ffff])")
 _CACHE = 400_000
 _GATHERED = 4 << 20
 _BITS = 24
@@ -83,6 +87,7 @@ class Tokens:
         self.kind = np.zeros(_CACHE, dtype=np.int8)
         self.ends = np.zeros(_CACHE, dtype=bool)
         self.opener = np.zeros(_CACHE, dtype=bool)
+        self.exact = np.zeros(_CACHE, dtype=np.uint64)
 
     def _learn(self, word: bytes) -> None:
         text = word.decode("utf-8", "replace")
@@ -101,6 +106,7 @@ class Tokens:
             kind = _WORD
         self.hash[at] = xxh3_64_intdigest(low.encode())
         self.kind[at] = kind
+        self.exact[at] = self.hash[at] if kind in (_WORD, _NAME) else xxh3_64_intdigest(text.lower().strip(_MARKS).encode())
         self.opener[at] = low in self.openers
         self.ends[at] = text[-1:] in ".!?:" or text[-2:-1] in ".!?"
         self.place[word] = at
@@ -113,7 +119,7 @@ class Tokens:
             if len(self.place) + len(distinct) > _CACHE:
                 self.place.clear()
                 if len(distinct) > len(self.hash):
-                    self.hash, self.kind, self.ends, self.opener = (np.zeros(2 * len(distinct), dtype=a.dtype) for a in (self.hash, self.kind, self.ends, self.opener))
+                    self.hash, self.kind, self.ends, self.opener, self.exact = (np.zeros(2 * len(distinct), dtype=a.dtype) for a in (self.hash, self.kind, self.ends, self.opener, self.exact))
             for word in distinct:
                 if word not in self.place:
                     self._learn(word)
@@ -131,19 +137,27 @@ def _tokens() -> Tokens:
 
 @dataclass(frozen=True)
 class Template:
-    """Tokens of several texts in a row: text number, place in the text, plain hash, kind, capitalised at the start of a sentence."""
+    """Tokens of several texts in a row: text number, place in the text, plain hash, kind, capitalised at the start of a sentence,
+    hash with value, and of the signs before the token.
+    """
 
     text: np.ndarray
     place: np.ndarray
     hash: np.ndarray
     kind: np.ndarray
     first: np.ndarray
+    exact: np.ndarray
+    signs: np.ndarray
+
+
+def _spaced(text: bytes) -> bytes:
+    return text if text.isascii() else _UNSPACED.sub(r" \1 ", text.decode("utf-8", "replace")).encode()
 
 
 def templates(texts: list[bytes]) -> tuple[Template, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """The texts' tokens, and of each word within sentences its hash and how often it is in lower case and capitalised."""
     known = _tokens()
-    split = [text.split() for text in texts]
+    split = [_spaced(text).split() for text in texts]
     lengths = np.array([len(words) for words in split], dtype=np.int64)
     number = np.repeat(np.arange(len(texts)), lengths)
     # A text with more distinct words than the cache holds makes it grow, so one lookup serves all.
@@ -159,12 +173,23 @@ def templates(texts: list[bytes]) -> tuple[Template, tuple[np.ndarray, np.ndarra
     kind = np.where(begins, _WORD, kind)
     begins &= ~known.opener[at]
     kept = kind != _NOTHING
-    number, kind, value, begins = number[kept], kind[kept], value[kept], begins[kept]
+    signs = _signs_before(known.exact[at], kept)
+    number, kind, value, begins, exact = number[kept], kind[kept], value[kept], begins[kept], known.exact[at][kept]
     first = np.ones(len(number), dtype=bool)
     first[1:] = number[1:] != number[:-1]
     begin = np.flatnonzero(first)
     place = np.arange(len(number)) - np.repeat(begin, np.diff(np.append(begin, len(number))))
-    return Template(number, place, value, kind, begins), words
+    return Template(number, place, value, kind, begins, exact, signs), words
+
+
+def _signs_before(exact: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """For each token that is kept, a hash of the signs between it and the last one, in their order; 0 without any."""
+    at, signs = np.flatnonzero(kept), np.zeros(kept.sum(), dtype=np.uint64)
+    gap = np.diff(np.concatenate([[-1], at])) - 1
+    for step in range(int(gap.max(initial=0)), 0, -1):
+        has = np.flatnonzero(gap >= step)
+        signs[has] = (signs[has] ^ exact[at[has] - step]) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(step)
+    return signs
 
 
 def _counts(marked: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
@@ -173,34 +198,44 @@ def _counts(marked: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
     return total[start + width] - total[start]
 
 
-def readings(template: Template, width: int) -> Iterator[tuple[Template, np.ndarray, np.ndarray]]:
+def readings(template: Template, width: int, literal: bool) -> Iterator[tuple[Template, np.ndarray, np.ndarray]]:
     """Readings of the windows: the template, starts of the windows that identify something, and their readings.
 
     A window that several readings read alike comes once, with the bits of them all. The template as it is; names
-    taken for plain words, as texts in other letter case have none; capitalised words at the start of sentences taken for names.
+    taken for plain words, as texts in other letter case have none; capitalised words at the start of sentences taken for names; everything by its value.
     """
     n = len(template.hash) - width + 1
     start = np.flatnonzero(template.text[: max(0, n)] == template.text[width - 1 :])
+    # What numbers, units and signs make of a window is left to its exact reading.
+    valued = _counts((template.kind == _NUM) | (template.kind == _UNIT), start, width) > 0
+    if literal or valued.any():
+        fresh = np.ones(len(start), dtype=bool) if literal else valued
+        read = replace(template, hash=template.exact, kind=np.full(len(template.kind), _WORD, dtype=template.kind.dtype))
+        yield read, start[fresh], np.full(fresh.sum(), _EXACT)
+    if literal:
+        return
     names = _counts(template.kind == _NAME, start, width) > 0
     plain = template.kind == _WORD
     half = 2 * _counts(plain, start, width) >= width
     begins = _counts(template.first, start, width) > 0
-    yield template, start[half], (_TYPED + _PLAIN * ~names + _BEGUN * ~begins)[half]
+    yield template, start[half], (_TYPED + _PLAIN * ~names + _BEGUN * ~begins + _EXACT * ~(names | valued))[half]
     if names.any():
         read = replace(template, kind=np.where(template.kind == _NAME, _WORD, template.kind))
         fresh = names & (2 * _counts(read.kind == _WORD, start, width) >= width)
-        yield read, start[fresh], np.full(fresh.sum(), _PLAIN)
+        yield read, start[fresh], (_PLAIN + _EXACT * ~valued)[fresh]
     if begins.any():
         read = replace(template, kind=np.where(template.first, _NAME, template.kind))
         fresh = begins & (2 * _counts(read.kind == _WORD, start, width) >= width)
         yield read, start[fresh], np.full(fresh.sum(), _BEGUN)
 
 
-def outlines(template: Template, start: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each window's words and kinds of slots."""
+def outlines(template: Template, start: np.ndarray, width: int, bits: np.ndarray) -> np.ndarray:
+    """Hash of each window's words and kinds of slots; in exact readings also of the signs between its tokens."""
     sign = np.where(template.kind == _WORD, template.hash, (template.kind.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
     total = np.full(len(start), width, dtype=np.uint64)
     for j in range(width):
+        if j == 1 and (bits == _EXACT).any():
+            sign = sign + template.signs
         total = (total ^ sign[start + j]) * np.uint64(0xFF51AFD7ED558CCD)
         total ^= total >> np.uint64(32)
     return total
@@ -246,12 +281,12 @@ def _item_windows(settings: Settings):
             for number, text in zip(ids, payloads(table.column("text").combine_chunks()), strict=True):
                 template, words = templates([text])
                 yield _word_batch(words)
-                if len(template.hash) < settings.least_tokens:
+                if not len(template.hash):
                     continue
                 width = min(settings.window, len(template.hash))
                 own = []
-                for read, start, bits in readings(template, width):
-                    outline = outlines(read, start, width)
+                for read, start, bits in readings(template, width, width < settings.least_tokens):
+                    outline = outlines(read, start, width, bits)
                     found = window_hashes(read, start, width, outline)
                     own += [(number, s, width, o, h, _slots(read, s, width), _doubts(read, s, width, b), b) for s, o, h, b in zip(start.tolist(), outline.view(np.int64).tolist(), found.view(np.int64).tolist(), bits.tolist(), strict=True)]
                 of = [sum(row[7] & bit > 0 for row in own) for bit in _READINGS]
@@ -276,7 +311,7 @@ def _batch(columns: dict, n: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[name], kinds[k]) if name in columns else pa.nulls(n, kinds[k]) for name, k in fields], list(_NAMES))
 
 
-def _document_windows(widths: list[int], bitmap: np.ndarray):
+def _document_windows(widths: list[int], bitmap: np.ndarray, settings: Settings):
     mask = np.uint64((1 << _BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,8 +320,8 @@ def _document_windows(widths: list[int], bitmap: np.ndarray):
             rows = []
             whole, words = templates(payloads(table.column("text").combine_chunks()))
             yield _word_batch(words)
-            for width, (template, start, bits) in ((w, r) for w in widths for r in readings(whole, w)):
-                outline = outlines(template, start, width)
+            for width, (template, start, bits) in ((w, r) for w in widths for r in readings(whole, w, w < settings.least_tokens)):
+                outline = outlines(template, start, width, bits)
                 at = outline & mask
                 passed = np.flatnonzero((bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1))
                 start, outline = start[passed], outline[passed]
@@ -349,7 +384,7 @@ def matches(docs: DataFrame, items: DataFrame, settings: Settings = Settings())
     read = stored(own.withColumnRenamed("id", "item"), "benchmark-windows")
     own, words = read.filter("width > 0"), read.filter("width = 0").select("hash", "lower", "upper")
     widths = sorted(row["width"] for row in own.select("width").distinct().collect())
-    found = docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(_document_windows(widths, _bitmap(own)), _WINDOWS)
+    found = docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(_document_windows(widths, _bitmap(own), settings), _WINDOWS)
     read = stored(found, "document-windows")
     words = words.unionByName(read.filter("width = 0").select("hash", "lower", "upper"))
     found = read.filter("width > 0").select("hash", "width", F.col("id").alias("doc_id"), F.col("place").alias("at"), F.col("slots").alias("values"), F.col("doubts").alias("found_doubts"))

@@ -227,6 +227,22 @@ def test_names_at_the_start_of_sentences_are_slots(spark):
     assert {r["doc_id"]: (r["item_id"], r["reworded"]) for r in collected(found)} == {0: (0, True), 1: (1, True), 2: (None, None), 3: (None, None), 4: (None, None)}
 
 
+def test_items_of_numbers_short_items_and_texts_without_blanks_are_found_in_exact_copies(spark):
+    items = [(0, "What is 12 + 34 * 5 - 6 / 7?"), (1, "Define entropy."), (2, "中国的首都是哪里请从下面选择"), (3, "12 km = 12000 m, 3 h = 180 min, 5 kg = 5000 g")]
+    texts = [
+        (0, "Task: What is 12 + 34 * 5 - 6 / 7? Solve it."),
+        (1, "Task: What is 12 - 34 * 5 + 6 / 7? Solve it."),
+        (2, "Task: What is 12 + 34 * 5 - 6 / 8? Solve it."),
+        (3, "First define entropy, then go on."),
+        (4, "问题：中国的首都是哪里？请从下面选择。"),
+        (5, "中国的人口是多少？请从上面选择。"),
+        (6, "table 12 km = 12000 m, 3 h = 180 min, 5 kg = 5000 g end"),
+        (7, "define what entropy is"),
+    ]
+    found = decontaminate.decontaminate(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"]: (r["item_id"], r["reworded"]) for r in collected(found) if r["contaminated"]} == {0: (0, False), 3: (1, False), 4: (2, False), 6: (3, False)}
+
+
 # Packing
 
 
