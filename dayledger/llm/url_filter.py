@@ -43,7 +43,8 @@ class Rule:
 @dataclass(frozen=True)
 class Settings:
     damping: float = 0.85
-    rounds: int = 12
+    rounds: int = 12  # of the SQL twin, which cannot go on until ranks are settled
+    settled: float = 1e-6  # pages by which a rank may still grow in the end
     stored_every: int = 4  # rounds between two cuts of the lineage
     threshold: float = 0.5
 
@@ -85,7 +86,8 @@ def host_links(pages: DataFrame) -> DataFrame:
 def propagate(nodes: DataFrame, edges: DataFrame, seed: str, settings: Settings) -> DataFrame:
     """(host, rank): personalised PageRank from the column ``seed`` of ``nodes`` along ``edges`` (src, dst, n).
 
-    Ranks are in seed units: they sum to the number of seeds, less what leaves hosts without links
+    What hosts have of their own is passed on, less by the damping in each round, until all that can still
+    arrive anywhere is at most ``settled``. Ranks are in seed units: they sum to the number of seeds, less what leaves hosts without links
     (such a host keeps its rank).
     """
     base = nodes.select("host", F.col(seed).cast("double").alias("seed"))
@@ -94,15 +96,18 @@ def propagate(nodes: DataFrame, edges: DataFrame, seed: str, settings: Settings)
     base = stored(base.join(out.select(F.col("src").alias("host"), F.lit(True).alias("links")), "host", "left"), "seeds")
     if shares.isEmpty():  # every host keeps its seeds
         return base.select("host", F.col("seed").alias("rank"))
-    ranks = base.select("host", F.col("seed").alias("rank"))
-    for number in range(1, settings.rounds + 1):
-        flow = ranks.filter("rank > 0").withColumnRenamed("host", "src").join(shares, "src").groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("rank") * F.col("share")).alias("flow"))
-        joined = base.join(flow, "host", "left").join(ranks, "host")
-        stays = F.when(F.col("links").isNull(), F.col("seed")).otherwise((1 - settings.damping) * F.col("seed"))
-        ranks = joined.select("host", (stays + settings.damping * F.coalesce("flow", F.lit(0.0))).alias("rank"))
-        if number % settings.stored_every == 0 or number == settings.rounds:
+    stays = F.when(F.col("links").isNull(), F.col("seed")).otherwise((1 - settings.damping) * F.col("seed"))
+    ranks, number = base.select("host", stays.alias("rank"), stays.alias("moving")), 0
+    while True:
+        flow = ranks.filter("moving > 0").select(F.col("host").alias("src"), "moving").join(shares, "src")
+        flow = flow.groupBy(F.col("dst").alias("host")).agg((settings.damping * F.sum(F.col("moving") * F.col("share"))).alias("flow"))
+        joined = ranks.join(flow, "host", "left").withColumn("flow", F.coalesce("flow", F.lit(0.0)))
+        ranks, number = joined.select("host", (F.col("rank") + F.col("flow")).alias("rank"), F.col("flow").alias("moving")), number + 1
+        if number % settings.stored_every == 0:
             ranks = stored(ranks, "ranks")
-    return ranks
+            moving = ranks.agg(F.sum("moving")).first()[0] or 0.0
+            if moving * settings.damping / (1 - settings.damping) <= settings.settled:
+                return ranks.select("host", "rank")
 
 
 def judge_hosts(judged: DataFrame, links: DataFrame, settings: Settings = Settings()) -> DataFrame:

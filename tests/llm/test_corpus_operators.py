@@ -105,6 +105,20 @@ def test_trust_and_distrust_follow_links_like_a_plain_iteration(spark):
     assert got["worse.xx"][2] == "allow"
 
 
+def test_distrust_settles_on_long_chains_and_cycles(spark):
+    chain = ["bad.net", *(f"h{i}" for i in range(1, 21))]
+    links = [(b, a, 1) for a, b in zip(chain, chain[1:], strict=False)] + [("c1", "bad.net", 1), ("c1", "c2", 1), ("c2", "c1", 1)]
+    pages = {"bad.net": 2000, "h12": 100}
+    judged = [(h, "block" if h == "bad.net" else None) for h in [*chain, "c1", "c2"] for _ in range(pages.get(h, 1))]
+    judged = spark.createDataFrame(judged, "host string, rule_verdict string")
+    got = url_filter.judge_hosts(judged, spark.createDataFrame(links, "src string, dst string, n long"), url_filter.Settings(settled=0.01))
+    got = {r["host"]: (r["distrust"], r["host_verdict"]) for r in collected(got)}
+    expected = {f"h{i}": 150 * 0.85**i for i in range(1, 21)}
+    expected |= {"c1": 150 * 0.85 / (1 - 0.85**2), "c2": 150 * 0.85**2 / (1 - 0.85**2)}
+    assert all(abs(got[h][0] - d) <= 0.01 for h, d in expected.items())
+    assert all(got[h][1] == ("allow" if h == "h12" else "block") for h in expected)
+
+
 # Language-model scoring
 
 
