@@ -19,9 +19,10 @@ Digits longer than eight bytes are compared by hash: 64 bits each of gram and ru
 gram and block together. Before each shuffle a task settles what it sees repeated itself and sends one row for
 each gram, so a passage that sits in a third of all documents sends a row per task.
 
-Defined results: a null text is empty; texts shorter than ``length`` lose nothing. doc_id
-identifies a document: repeated rows of one doc_id with one text get the same result and do
-not count as copies of each other. A null doc_id counts as the least. Texts of any length are read in stretches.
+Defined results: a null text is empty; texts shorter than ``length`` lose nothing. Rows
+of one doc_id with one text are one document: they get the same result and do
+not count as copies of each other. Different texts of one doc_id are different documents, in the order of a hash
+of the text. A null doc_id counts as the least. Texts of any length are read in stretches.
 Further columns of the input are ignored.
 """
 
@@ -34,9 +35,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
+from xxhash import xxh3_64_intdigest, xxh64_intdigest
 
 from dayledger.llm.common import payloads, pieces, stored
 
@@ -199,7 +200,7 @@ def _judged(rows: DataFrame, length: int) -> DataFrame:
     return judged.withColumn("to", to).drop("route", "kind", "differ", "place")
 
 
-_BLOCKS = "route long, kind int, key long, whole long, doc long, at long, span int, low int, edge binary, out_doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+_BLOCKS = "route long, kind int, key long, whole long, doc long, at long, span int, low int, edge binary, out_doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, text_key long"
 
 
 def _unpacked(value: bytes) -> bytes:
@@ -264,9 +265,18 @@ def _second_visit(length: int, with_text: bool):
     return run
 
 
+def text_keys(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _text_key(text: bytes) -> int:
+    """What ``text_keys`` gives."""
+    return (xxh64_intdigest(text, 42) + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
 def _finished(doc: int, text: bytes, spans: list | None, with_text: bool) -> tuple:
     removed, count, kept = _cut(text, [(s["at"], s["to"]) for s in spans or []])
-    return doc, len(text), removed, count, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None
+    return doc, len(text), removed, count, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None, _text_key(text)
 
 
 def _block_batch(rows: list[tuple], done: list[tuple], length: int) -> pa.RecordBatch:
@@ -284,7 +294,7 @@ def _block_batch(rows: list[tuple], done: list[tuple], length: int) -> pa.Record
     front = [blank, blank, mark[0].tolist(), mark[1].tolist(), (mark[2] - mark[1]).tolist(), blank]
     values = [route.tolist(), kind.tolist(), *(f + v[rest].tolist() + tail for f, v in zip(front, found, strict=True))]
     values += [blank + [edge[i] for i in rest.tolist()] + tail]
-    values += [blank + [None] * len(rest) + list(c) for c in (zip(*done, strict=True) if done else [()] * 6)]
+    values += [blank + [None] * len(rest) + list(c) for c in (zip(*done, strict=True) if done else [()] * 7)]
     kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
     fields = [field.split() for field in _BLOCKS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(v, kinds[k]) for v, (_, k) in zip(values, fields, strict=True)], [name for name, _ in fields])
@@ -294,14 +304,14 @@ def _last_visit(length: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = [_finished(doc, _unpacked(value), spans, with_text) for doc, value, spans in zip(*(batch.column(c).to_pylist() for c in ("doc", "packed", "spans")), strict=True)]
-            columns = list(zip(*done, strict=True)) or [()] * 6
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            columns = list(zip(*done, strict=True)) or [()] * 7
+            kinds = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "text_key"])
 
     return run
 
 
-_RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+_RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, text_key long"
 
 
 def _per_document(marks: DataFrame) -> DataFrame:
@@ -310,12 +320,29 @@ def _per_document(marks: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row, and on demand
-    the text ``kept``, without characters that a cut has divided.
+    the text ``kept``, without characters that a cut has divided, and the ``text_key`` of the whole text.
+
+    Where rows of one doc_id, or without one, have different texts, documents are numbered in their order first.
     """
     if length != LENGTH and length < _GRAM + _BLOCK:
         raise ValueError("length too short")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-
+    key = text_keys(F.col("text"))
+    if slim.groupBy("doc_id").agg(F.min(key).alias("least"), F.max(key).alias("most")).filter("least <> most").isEmpty():
+        result = _remove(slim, length, with_text)
+    else:
+        rows = slim.select("doc_id", key.alias("key")).distinct()
+        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartitionByRange(n, "doc_id", "key").sortWithinPartitions("doc_id", "key").withColumn("number", F.monotonically_increasing_id())
+        rows = stored(rows.select(F.col("doc_id").alias("own_id"), "key", "number"), "documents")
+        numbered = slim.join(rows, F.col("doc_id").eqNullSafe(F.col("own_id")) & (key == F.col("key"))).select(F.col("number").alias("doc_id"), "text")
+        result = _remove(numbered, length, with_text).withColumnRenamed("doc_id", "number").join(rows.select("number", F.col("own_id").alias("doc_id")), "number")
+    result = result.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "text_key")
+    return result if with_text else result.drop("kept", "text_key")
+
+
+def _remove(slim: DataFrame, length: int, with_text: bool) -> DataFrame:
+    """The result for documents of which each has its own doc_id."""
     # First digit: the anchor's gram.
     first = stored(_judged(slim.mapInArrow(_first_pass(length), _FIRST), length), "grams")
     marks = first.filter("to is not null").select("doc", "at", "to")
@@ -331,7 +358,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     packed = slim.mapInArrow(_pack_texts, "doc long, packed binary")
     visited = packed.join(_per_document(marks), "doc", "left").join(undecided, "doc", "left")
     visited = stored(visited.mapInArrow(_second_visit(length, with_text), _BLOCKS), "blocks")
-    finished = visited.filter(F.col("kind") == _DONE).select(F.col("out_doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    finished = visited.filter(F.col("kind") == _DONE).select(F.col("out_doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "text_key")
     blocks = visited.filter(F.col("kind") < _DONE).select("route", "kind", "key", "whole", "doc", "at", "span", "low", "edge")
     third = stored(_judged(blocks, length), "judged")
     marks = marks.unionByName(third.filter("to is not null").select("doc", "at", "to"))
@@ -349,6 +376,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     open_docs = undecided.select("doc")
     rest = packed.join(open_docs, "doc", "left_semi").join(_per_document(marks.join(open_docs, "doc", "left_semi")), "doc", "left")
     result = finished.unionByName(rest.mapInArrow(_last_visit(length, with_text), _RESULT))
-    result = result.withColumn("doc_id", F.when(F.col("doc_id") != _NO_DOC, F.col("doc_id")))
-    return result if with_text else result.drop("kept")
+    return result.withColumn("doc_id", F.when(F.col("doc_id") != _NO_DOC, F.col("doc_id")))
 

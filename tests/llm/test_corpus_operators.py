@@ -384,6 +384,17 @@ def test_removal_equals_a_plain_search(spark, docs, empty, monkeypatch):
     assert sorted((r["doc_id"] or 0, r["kept"]) for r in got) == [(0, passage), (1, ""), (1, "")]
 
 
+def test_different_texts_of_one_doc_id_are_different_documents(spark):
+    passage, other = prose(7, 30), prose(8, 30)
+    rows = [(None, passage + " x " + prose(12, 20)), (None, other + " y " + passage), (5, other), (5, prose(13, 30)), (6, prose(14, 30)), (None, other + " y " + passage)]
+    key = lambda text: radix_dedup._text_key(text.encode())
+    order = sorted(set(rows), key=lambda r: (r[0] or 0, key(r[1])))
+    plain = plain_removal([(i, text.encode()) for i, (_, text) in enumerate(order)])
+    expected = sorted(((r[0] or 0, *plain[order.index(r)]) for r in rows), key=repr)
+    got = collected(radix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)))
+    assert sorted(((r["doc_id"] or 0, r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got), key=repr) == expected
+
+
 def test_runs_do_not_depend_on_stretches(monkeypatch):
     text = prose(11, 400).encode()
     cover = lambda found: sorted(p for s, n in zip(found[1].tolist(), found[2].tolist(), strict=True) for p in range(s, s + n + 1))
