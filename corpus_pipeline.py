@@ -3,7 +3,8 @@
 Each stage reads the Parquet table that the stage before has written. All but the last return the columns of documents.
 
 Defined results: null and empty texts are of no language and go in the first stage. Of a near-duplicate
-group the row with the least doc_id stays, once. A document that loses all its text to the
+group the row with the least doc_id stays, rows without one last, of equal ids that with the least hash of its text; rows equal to it
+in both go. Further stages tell rows apart by doc_id and text, so rows without a doc_id are documents like others. A document that loses all its text to the
 third stage stays with an empty one. Extra columns are carried along.
 """
 
@@ -28,25 +29,26 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    marked = simhash.near_duplicates(docs, simhash.SHINGLE, simhash.MAX_BITS)
-    first = marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    key = radix_dedup.text_keys(docs["text"])
+    first = simhash.representatives(docs, key).select(F.col("doc_id").alias("first_id"), F.col("key").alias("first_key"))
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(F.col("first_id")) & (key == F.col("first_key")), "left_semi")
+    return kept.withColumn("kept_key", radix_dedup.text_keys(F.col("text"))).dropDuplicates(["doc_id", "kept_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that start earlier in the corpus."""
-    cut = radix_dedup.remove_repeats(docs, with_text=True).select(F.col("doc_id").alias("cut_id"), F.col("kept").alias("cut_text"))
-    rest = docs.drop("text", "n_chars")
-    joined = rest.join(cut.dropDuplicates(["cut_id"]), rest["doc_id"].eqNullSafe(F.col("cut_id")))
+    cut = radix_dedup.remove_repeats(docs, with_text=True).select(F.col("doc_id").alias("cut_id"), F.col("kept").alias("cut_text"), F.col("text_key").alias("cut_key"))
+    rest = docs.withColumn("own_key", radix_dedup.text_keys(F.col("text"))).drop("text", "n_chars")
+    joined = rest.join(cut.dropDuplicates(["cut_id", "cut_key"]), rest["doc_id"].eqNullSafe(F.col("cut_id")) & (F.col("own_key") == F.col("cut_key")))
     changed = {"text": F.col("cut_text"), "n_chars": F.length("cut_text").cast("long")}
     return joined.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items."""
-    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak_id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["leak_id"]), "left_anti")
+    key = radix_dedup.text_keys(F.col("text"))
+    found = decontaminate.matches(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak_key")).distinct()
+    return docs.join(found, radix_dedup.text_keys(docs["text"]) == F.col("leak_key"), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,15 +61,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) of every row, and between them its long columns ``keys``; ``fp`` holds the 64 bits as a signed long."""
+    names = ["doc_id", *keys]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(text, shingle) for text in payloads(batch.column("text"))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(values.view(np.int64))], [*names, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, "text").mapInArrow(run, ", ".join(f"{name} long" for name in [*names, "fp"]))
 
 
 def syndromes(words: np.ndarray) -> np.ndarray:
@@ -228,6 +229,16 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def representatives(docs: DataFrame, key: Column, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, key) of one row of each component: the least doc_id, nulls last, then the least ``key``, a long from the text."""
+    marked = fingerprints(docs.select("doc_id", key.alias("text_key"), "text"), shingle, ("text_key",))
+    first = F.min(F.struct(F.isnull("doc_id").alias("without"), "doc_id", "text_key")).alias("first")
+    distinct = stored(marked.groupBy("fp").agg(first), "distinct")
+    roots = components(links(distinct.select("fp"), max_bits))
+    classes = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
+    return classes.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", F.col("first.text_key").alias("key"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row."""
     marked = stored(fingerprints(docs, shingle), "fingerprints")

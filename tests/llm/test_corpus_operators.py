@@ -514,3 +514,16 @@ def test_stages_keep_the_columns_and_what_is_clean(spark, tmp_path):
     assert ids[3] == ids[2] - {52}
     packed = collected(corpus_pipeline.run(spark, str(tmp_path)))
     assert {p["doc_id"] for p in packed} == ids[3]
+
+
+def test_stages_keep_different_texts_without_a_doc_id(spark, tmp_path):
+    benchmark = prose(500, 25)
+    texts = [prose(i, 120) for i in range(700, 706)] + [prose(60, 80) + " " + benchmark + " " + prose(61, 80)]
+    rows = [(None, t) for t in [*texts, texts[0]]] + [(3, texts[1]), (3, prose(710, 120)), (9, texts[2])]
+    frame = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    spark.createDataFrame([(0, benchmark)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept, expected = frame, {(None, t) for t in [texts[0], *texts[3:]]} | {(3, texts[1]), (3, prose(710, 120)), (9, texts[2])}
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        kept = spark.createDataFrame(stage(spark, kept, str(tmp_path)).collect(), frame.schema)
+        got = [(r["doc_id"], r["text"]) for r in collected(kept)]
+        assert set(got) == expected - ({(None, texts[6])} if stage is corpus_pipeline.drop_contaminated else set()) and len(got) == len(set(got))
