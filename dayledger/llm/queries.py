@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import decontaminate, language, ngram_lm, packing, radix_dedup, simhash, topk, toxicity, url_filter, warc
+from dayledger.llm import decontaminate, jaccard, language, ngram_lm, packing, periodic, radix_dedup, simhash, topk, toxicity, url_filter, warc
 from dayledger.llm.common import remainder, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,38 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return said.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join(table(spark, folder, "documents"))
+
+
+def rewritten(doc_id: Column, text: Column) -> Column:
+    """The text; for a tenth of the ids with a repetition of some of its words up to its end."""
+    draw = F.crc32(doc_id.cast("string"))
+    rest, every = F.floor(draw / 10), periodic.words(text)
+    n = F.size(every)
+    at = rest % n
+    period = 1 + F.floor((n - at) / (3 + rest % 8))
+    again = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(every, F.when(i < at, i).otherwise(at + (i - at) % period).cast("int")))
+    return F.when((draw % 10 == 0) & (n > 0), F.array_join(again, " ")).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = periodic.find_runs(docs.select("doc_id", rewritten(F.col("doc_id"), F.col("text")).alias("text")))
+    lines = F.transform("runs", lambda run: F.concat(run["start"].cast("string"), F.lit(","), run["length"].cast("string"), F.lit(","), run["period"].cast("string"), F.lit("\n")))
+    best = found.withColumn("best", periodic.strongest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 REGISTRY: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -92,5 +124,7 @@ REGISTRY: dict[str, Query] = {
         op8_suffix_dedup,
         op9_simhash_dedup,
         op10_toxicity,
+        op11_ngram_jaccard,
+        op12_periodic_runs,
     )
 }
