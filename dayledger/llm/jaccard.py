@@ -49,9 +49,9 @@ PERCENT = 80
 STARS = 2
 #: Rows of one n-gram that are compared in one block.
 BLOCK = 1024
-_GATHERED = 12 << 20
+_GATHERED = 8 << 20
 _STRETCH = 1 << 20
-_SHARD_GRAMS = 6_000_000
+_SHARD_GRAMS = 2_000_000
 _LOCAL = 40  # bits of a hash behind those of its shard
 _BITS = 24
 _BLANK = re.compile(rb"[ \t\n\r\x0b\f]")
@@ -213,8 +213,8 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    starts = np.flatnonzero(np.diff(keys, prepend=-1))
-    return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[starts], np.add.reduceat(counts, starts)
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +222,7 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for shard, rows in _runs(batches, "shard"):
         parts, held = [], 0
         for row in rows:
-            parts.append((decoded(row["a"]), np.frombuffer(row["b"], dtype="<u4").astype(np.int64)))
+            parts.append((decoded(row["a"]).astype(np.uint32), np.frombuffer(row["b"], dtype="<u4").astype(np.int64)))
             held += len(parts[-1][0])
             if len(parts) > 1 and held > 2 * len(parts[0][0]) + 500_000:
                 parts = [_added(parts)]

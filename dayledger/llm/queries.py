@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import decontaminate, jaccard, language, ngram_lm, packing, periodic, radix_dedup, simhash, topk, toxicity, url_filter, warc
-from dayledger.llm.common import remainder, scratch, table
+from dayledger.llm import decontaminate, jaccard, language, ngram_lm, packing, periodic, radix_dedup, simhash, topk, toxicity, turn_trie, url_filter, warc
+from dayledger.llm.common import remainder, scratch, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,6 +111,25 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(turns, conversations) in which every conversation begins with turns of the one whose id ends in 00."""
+    own = turns.groupBy("conv_id").agg(F.count("*").alias("n"))
+    head = F.crc32(F.col("conv_id").cast("string")) % 6
+    convs = own.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 100).alias("base"), head.alias("head"))
+    convs = convs.join(own.select(F.col("conv_id").alias("base"), "n"), "base", "left")
+    convs = convs.select("conv_id", "base", "head", F.least("head", F.coalesce("n", F.lit(0))).alias("taken"))
+    first = turns.filter((F.col("place") < 5) & (F.col("conv_id") % 100 == 0)).withColumnRenamed("conv_id", "base")
+    first = first.join(convs, "base").filter(F.col("place") < F.col("taken")).select("conv_id", "place", "turn_id", "chars")
+    rest = turns.join(convs, "conv_id").filter(F.col("place") >= F.col("head"))
+    rest = rest.select("conv_id", (F.col("place") - F.col("head") + F.col("taken")).alias("place"), "turn_id", "chars")
+    return first.unionByName(rest), convs.select("conv_id")
+
+
+def op13_turn_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = stored(turn_trie.encoded(table(spark, folder, "conversations")), "encoded")
+    return turn_trie.nodes(*rebuilt(turns))
+
+
 REGISTRY: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -126,5 +145,6 @@ REGISTRY: dict[str, Query] = {
         op10_toxicity,
         op11_ngram_jaccard,
         op12_periodic_runs,
+        op13_turn_trie,
     )
 }
