@@ -86,12 +86,17 @@ def op11_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 def rewritten(doc_id: Column, text: Column) -> Column:
     """The text; for a tenth of the ids with a repetition of some of its words up to its end."""
     draw = F.crc32(doc_id.cast("string"))
-    rest, every = F.floor(draw / 10), periodic.words(text)
-    n = F.size(every)
-    at = rest % n
-    period = 1 + F.floor((n - at) / (3 + rest % 8))
-    again = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(every, F.when(i < at, i).otherwise(at + (i - at) % period).cast("int")))
-    return F.when((draw % 10 == 0) & (n > 0), F.array_join(again, " ")).otherwise(text)
+    rest = F.floor(draw / 10)
+
+    def again(words: Column) -> Column:
+        n = F.size(words)
+        at = rest % n
+        period = 1 + F.floor((n - at) / (3 + rest % 8))
+        places = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, F.when(i < at, i).otherwise(at + (i - at) % period).cast("int")))
+        return F.when(n > 0, F.array_join(places, " ")).otherwise("")
+
+    # An array of one, so that the words are found once and not for each place.
+    return F.when(draw % 10 == 0, F.get(F.transform(F.array(periodic.words(text)), again), F.lit(0))).otherwise(text)
 
 
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
