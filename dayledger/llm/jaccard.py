@@ -129,14 +129,16 @@ def _wide(data: bytes) -> np.ndarray:
 # Texts
 
 
-def _repeated(bitmap: np.ndarray, want: bool):
+def _marked(batch: pa.RecordBatch, bitmap: np.ndarray, want: bool) -> pa.RecordBatch:
     """Rows whose text may occur again, or those whose text surely doesn't."""
+    at = batch.column("node").to_numpy(zero_copy_only=False) & ((1 << _BITS) - 1)
+    marked = (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+    return batch.filter(pa.array(marked == want))
 
+
+def _repeated(bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column("node").to_numpy(zero_copy_only=False) & ((1 << _BITS) - 1)
-            marked = (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
-            yield batch.filter(pa.array(marked == want))
+        return (_marked(batch, bitmap, True) for batch in batches)
 
     return run
 
@@ -151,17 +153,27 @@ def _bitmap(nodes: DataFrame) -> np.ndarray:
     return bitmap
 
 
-def _once(keyed: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """(node, text) of every distinct text; only those that may occur again are shuffled."""
-    schema = "node long, text string"
-    again = keyed.mapInArrow(_repeated(bitmap, True), schema).groupBy("node").agg(F.first("text").alias("text"))
-    return keyed.mapInArrow(_repeated(bitmap, False), schema).unionByName(again)
+class Once:
+    """Every distinct text once: rows of (node, text) of which only those that may occur again are shuffled."""
+
+    def __init__(self, keyed: DataFrame, bitmap: np.ndarray) -> None:
+        self.keyed, self.bitmap = keyed, bitmap
+        self.again = keyed.mapInArrow(_repeated(bitmap), "node long, text string").groupBy("node").agg(F.first("text").alias("text"))
+
+    def rows(self, make, width: int) -> DataFrame:
+        """What ``make`` gives for the keys and sets of the texts, a piece at a time."""
+
+        def run(skip: np.ndarray | None):
+            return lambda batches: (row for nodes, sets in _sets(batches, width, skip) for row in make(nodes, sets))
 
+        return self.keyed.mapInArrow(run(self.bitmap), _ROWS).unionByName(self.again.mapInArrow(run(None), _ROWS))
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """Keys and sets of the texts of one piece after another."""
+
+def _sets(batches: Iterator[pa.RecordBatch], width: int, skip: np.ndarray | None) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Keys and sets of the texts of one piece after another, without those marked in ``skip``."""
     known = _Hashes()
-    for table in pieces(batches, "text", _GATHERED):
+    left = batches if skip is None else (_marked(batch, skip, False) for batch in batches)
+    for table in pieces(left, "text", _GATHERED):
         sets = [shingles(text, width, known) for text in payloads(table.column("text").combine_chunks())]
         yield table.column("node").to_numpy().astype(np.int64), sets
 
@@ -177,19 +189,18 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [field.split()[0] for field in _ROWS.split(", ")])
 
 
-def _count_rows(width: int, bits: int):
+def _count_rows(bits: int):
     """For each piece and shard the distinct n-grams, 32 bits behind those of the shard, and in how many texts each is."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _sets(batches, width):
-            grams = np.concatenate([*sets, np.zeros(0, dtype=np.uint64)]) >> np.uint64(32 - bits)
-            grams, counts = np.unique(grams, return_counts=True)
-            shards, starts = np.unique(grams >> np.uint64(32), return_index=True)
-            ends = [*starts[1:].tolist(), len(grams)]
-            for shard, a, b in zip(shards.tolist(), starts.tolist(), ends, strict=True):
-                yield _batch([(shard, 0, 0, None, coded(grams[a:b] & np.uint64(0xFFFFFFFF)), counts[a:b].astype("<u4").tobytes())])
+    def make(nodes: np.ndarray, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        grams = np.concatenate([*sets, np.zeros(0, dtype=np.uint64)]) >> np.uint64(32 - bits)
+        grams, counts = np.unique(grams, return_counts=True)
+        shards, starts = np.unique(grams >> np.uint64(32), return_index=True)
+        ends = [*starts[1:].tolist(), len(grams)]
+        for shard, a, b in zip(shards.tolist(), starts.tolist(), ends, strict=True):
+            yield _batch([(shard, 0, 0, None, coded(grams[a:b] & np.uint64(0xFFFFFFFF)), counts[a:b].astype("<u4").tobytes())])
 
-    return run
+    return make
 
 
 def _runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, Iterator[dict]]]:
@@ -232,25 +243,24 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch([(shard, 0, 0, int(counts.sum()), coded(keys[more]), np.minimum(counts[more], (1 << 32) - 1).astype("<u4").tobytes())])
 
 
-def _posting_rows(width: int, bits: int, salts: dict[int, int]):
+def _posting_rows(bits: int, salts: dict[int, int]):
     """For each piece and shard the n-grams text by text, and one row with the texts' keys and sizes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for nodes, sets in _sets(batches, width):
-            sizes = np.array([len(s) for s in sets], dtype=np.int64)
-            piece = (xxh3_64_intdigest(nodes.tobytes()) >> 1) - (1 << 62)  # the same if the task runs again
-            yield _batch([((1 << bits) + piece % (1 << bits), 2, 0, piece, nodes.tobytes(), sizes.tobytes())])
-            grams = np.concatenate([*sets, np.zeros(0, dtype=np.uint64)])
-            owner, shard = np.repeat(np.arange(len(sets)), sizes), (grams >> np.uint64(64 - bits)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            grams, owner, shard = grams[order], owner[order], shard[order]
-            local = ((grams >> np.uint64(64 - _LOCAL - bits)) & np.uint64((1 << _LOCAL) - 1)).astype(np.int64)
-            shards, starts = np.unique(shard, return_index=True)
-            for s, a, b in zip(shards.tolist(), starts.tolist(), [*starts[1:].tolist(), len(grams)], strict=True):
-                counts = np.bincount(owner[a:b], minlength=len(sets)).astype("<u4")
-                yield _batch([(s, 1, piece % salts.get(s, 1), piece, _narrow(local[a:b]), counts.tobytes())])
+    def make(nodes: np.ndarray, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        piece = (xxh3_64_intdigest(nodes.tobytes()) >> 1) - (1 << 62)  # the same if the task runs again
+        yield _batch([((1 << bits) + piece % (1 << bits), 2, 0, piece, nodes.tobytes(), sizes.tobytes())])
+        grams = np.concatenate([*sets, np.zeros(0, dtype=np.uint64)])
+        owner, shard = np.repeat(np.arange(len(sets)), sizes), (grams >> np.uint64(64 - bits)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        grams, owner, shard = grams[order], owner[order], shard[order]
+        local = ((grams >> np.uint64(64 - _LOCAL - bits)) & np.uint64((1 << _LOCAL) - 1)).astype(np.int64)
+        shards, starts = np.unique(shard, return_index=True)
+        for s, a, b in zip(shards.tolist(), starts.tolist(), [*starts[1:].tolist(), len(grams)], strict=True):
+            counts = np.bincount(owner[a:b], minlength=len(sets)).astype("<u4")
+            yield _batch([(s, 1, piece % salts.get(s, 1), piece, _narrow(local[a:b]), counts.tobytes())])
 
-    return run
+    return make
 
 
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,19 +319,19 @@ def _prefixed(percent: int):
     return run
 
 
-def sets_of(once: DataFrame, bytes_of_text: int, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def sets_of(once: Once, bytes_of_text: int, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(node, n, own, grams) of every text, stored: its size, how many n-grams it alone has, the others if it can link."""
-    spark = once.sparkSession
+    spark = once.keyed.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = max(1, int(bytes_of_text / 6 / _SHARD_GRAMS).bit_length())
-    counts = once.mapInArrow(_count_rows(width, bits), _ROWS).repartition(parts, "shard").sortWithinPartitions("shard")
+    counts = once.rows(_count_rows(bits), width).repartition(parts, "shard").sortWithinPartitions("shard")
     counts = stored(counts.mapInArrow(_add_up, _ROWS), "frequencies")
     # Shards of more than four times their share, because of n-grams that are in a large part of all texts.
     large = counts.filter(F.col("piece") > 4 * _SHARD_GRAMS).select("shard", F.ceil(F.col("piece") / (2 * _SHARD_GRAMS)).cast("int").alias("salts"))
     salts = {row["shard"]: row["salts"] for row in large.collect()}
     known = counts.join(large, "shard", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
     known = known.select("shard", "kind", "salt", F.lit(None).cast("long").alias("piece"), "a", "b")
-    asked = once.mapInArrow(_posting_rows(width, bits, salts), _ROWS).unionByName(known)
+    asked = once.rows(_posting_rows(bits, salts), width).unionByName(known)
     asked = asked.repartition(parts, "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
     answers = asked.mapInArrow(_answers, _ROWS).repartition(parts, "piece").sortWithinPartitions("piece", "kind")
     return stored(answers.mapInArrow(_prefixed(percent), _NODES), "sets")
@@ -470,7 +480,7 @@ def join(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, stars: i
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
     texts = keyed.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"), F.max(F.octet_length("text")).alias("size"))
     texts = stored(texts, "texts")
-    once = _once(keyed.select("node", "text"), _bitmap(texts.filter(F.col("rows") > 1)))
+    once = Once(keyed.select("node", "text"), _bitmap(texts.filter(F.col("rows") > 1)))
     nodes = sets_of(once, int(texts.agg(F.sum("size")).first()[0] or 0), width, percent)
     members = texts.join(nodes.select("node", "n"), "node").join(linked(nodes, percent, stars, block), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = members.groupBy("root").agg(F.min("first").alias("component_id"))
