@@ -31,6 +31,7 @@ N-grams are told apart by hashes of over 40 bits, texts by 64.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -450,17 +451,14 @@ def linked(nodes: DataFrame, percent: int = PERCENT, stars: int = STARS, block:
 
     def verify(pairs: DataFrame) -> None:
         nonlocal roots
-        for before in tested:
-            pairs = pairs.join(before, ["u", "v"], "left_anti")
+        if tested:
+            pairs = pairs.join(functools.reduce(DataFrame.unionByName, tested), ["u", "v"], "left_anti")
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
             return
         tested.append(pairs)
         edges.append(stored(verified(pairs, nodes, percent), "links"))
-        every = edges[0]
-        for more in edges[1:]:
-            every = every.unionByName(more)
-        roots = components(every)
+        roots = components(functools.reduce(DataFrame.unionByName, edges))
 
     for turn in range(stars):
         # The row that the others of an n-gram are compared with: of its largest component, the first by a hash of the turn.
