@@ -10,7 +10,8 @@ Prediction uses the whole text, in stretches of bounded memory. As averaging is
 embeddings and softmax weights fold into one score per bucket and language.
 
 Defined results: null, empty and letterless texts are ``und`` with score 0 and rejected. Ties go to the language first in order. With no
-labelled row at all every text is ``und``. Further columns of the input are ignored.
+labelled row at all every text is ``und``. Repeated rows are judged alike, and each may be drawn for training, with the others of its key.
+Further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ class Settings:
     buckets: int = 8192
     dim: int = 16
     rows_per_language: int = 600  # the expected size of the training sample, per language
-    languages: int = 200  # the most frequent label values that can be learned
+    rows: int = 12_000  # and in all; with many languages each gets fewer rows
     epochs: int = 15
     batch: int = 32
     rate: float = 0.5
@@ -84,15 +85,11 @@ def has_letter(text: bytes) -> bool:
 
 
 def sample(labelled: DataFrame, key: str, settings: Settings) -> DataFrame:
-    """Rows drawn by hash, about ``rows_per_language`` from each language; the same on every run."""
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages).collect()
-    if not counts:
-        return labelled.limit(0)
+    """Rows drawn by hash, about as many from each language, at most ``rows_per_language``, and ``rows`` in all; the same on every run."""
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("of_lang"))
+    each = min(settings.rows_per_language, settings.rows / max(1, counts.count()))
     draw = F.pmod(F.xxhash64(F.col(key), F.lit(settings.seed)), F.lit(1 << 30)) / float(1 << 30)
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], min(1.0, settings.rows_per_language / row["count"])).otherwise(share)
-    return labelled.filter(draw < share)
+    return labelled.join(counts, "lang").filter(draw < F.lit(float(each)) / F.col("of_lang")).drop("of_lang")
 
 
 def _features(buckets: int):
@@ -102,25 +99,26 @@ def _features(buckets: int):
             for text in payloads(batch.column("text")):
                 seen = gram_counts(text, buckets)
                 at = np.flatnonzero(seen)
-                index.append(at.tolist())
-                count.append(seen[at].tolist())
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(index, pa.list_(pa.int32())), pa.array(count, pa.list_(pa.int64()))], ["lang", "index", "count"])
+                index.append(at.astype("<i4").tobytes())
+                count.append((seen[at] / max(1, seen.sum())).astype("<f4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(index, pa.binary()), pa.array(count, pa.binary())], ["lang", "index", "share"])
 
     return run
 
 
 def train(labelled: DataFrame, key: str = "doc_id", settings: Settings = Settings()) -> Model:
     """Learn from columns ``text`` and ``lang`` of labelled rows; ``key`` only draws the sample."""
-    rows = labelled.filter(F.col("lang").isNotNull() & (F.length("text") > 0)).select(key, "text", "lang")
-    drawn = sample(rows, key, settings).select("text", "lang").mapInArrow(_features(settings.buckets), "lang string, index array<int>, count array<bigint>").collect()
-    drawn = sorted((row for row in drawn if row["index"]), key=lambda row: (row["lang"], row["index"], row["count"]))
-    return fit([row["lang"] for row in drawn], [(row["index"], row["count"]) for row in drawn], settings)
+    rows = labelled.filter(F.col("lang").isNotNull() & (F.length("text") > 0)).select(F.col(key).alias("key"), "text", "lang")
+    drawn = sample(rows, "key", settings).select("text", "lang").mapInArrow(_features(settings.buckets), "lang string, index binary, share binary").collect()
+    drawn = sorted((row["lang"], bytes(row["index"]), bytes(row["share"])) for row in drawn if row["index"])
+    return fit([row[0] for row in drawn], [row[1:] for row in drawn], settings)
 
 
 def _dense(rows: list, buckets: int) -> np.ndarray:
+    """Shares of the buckets in some of the rows; all of them are never laid out at once."""
     x = np.zeros((len(rows), buckets), dtype=np.float32)
-    for i, (index, count) in enumerate(rows):
-        x[i, index] = np.asarray(count, dtype=np.float64) / sum(count)
+    for i, (index, share) in enumerate(rows):
+        x[i, np.frombuffer(index, dtype="<i4")] = np.frombuffer(share, dtype="<f4")
     return x
 
 
@@ -138,8 +136,8 @@ def fit(labels: list[str], rows: list, settings: Settings) -> Model:
     order = rng.permutation(len(labels))
     apart = order[: len(order) // 4]
     learn = order[len(order) // 4 :]
-    y = np.array([languages.index(label) for label in labels])
-    x = _dense(rows, settings.buckets)
+    number = {language: i for i, language in enumerate(languages)}
+    y = np.array([number[label] for label in labels])
     share = 1.0 / np.maximum(1, np.bincount(y[learn], minlength=len(languages)))
     weight = (share / share.mean())[y]  # every language counts alike
     embed = rng.normal(0, 0.1, (settings.buckets, settings.dim))
@@ -148,18 +146,20 @@ def fit(labels: list[str], rows: list, settings: Settings) -> Model:
         rate = settings.rate * (1 - epoch / settings.epochs)
         for at in range(0, len(learn), settings.batch):
             i = learn[at : at + settings.batch]
-            hidden = x[i] @ embed * settings.scale
+            x = _dense([rows[j] for j in i], settings.buckets)
+            hidden = x @ embed * settings.scale
             off = _softmax(hidden @ soft + bias)
             off[np.arange(len(i)), y[i]] -= 1
             off *= weight[i, None] / len(i)
             back = off @ soft.T
             soft -= rate * hidden.T @ off
             bias -= rate * off.sum(axis=0)
-            embed -= rate * settings.scale * (x[i].T @ back)
+            embed -= rate * settings.scale * (x.T @ back)
         learn = rng.permutation(learn)
     scores = embed @ soft * settings.scale
     checked = apart if len(apart) else learn
-    z, true = x[checked] @ scores + bias, y[checked]
+    parts = [_dense([rows[j] for j in checked[at : at + 256]], settings.buckets) @ scores for at in range(0, len(checked), 256)]
+    z, true = np.concatenate(parts) + bias, y[checked]
     loss = lambda t: -np.log(np.maximum(1e-12, _softmax(z / t)[np.arange(len(true)), true])).mean()
     temperature = min(np.geomspace(0.5, 5, 33), key=loss)
     sure = np.sort(_softmax(z / temperature).max(axis=1))
@@ -182,29 +182,24 @@ def score_texts(model: Model, texts: list[bytes]) -> tuple[list[str], np.ndarray
     return names, sure
 
 
-def _predicted(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``k0``, ``k1``, ... for the columns kept, whatever their names, and what the model says."""
-    kept = [f"k{i}" for i in range(len(keep))]
-    frame = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True)], F.col("text").alias("whole"))
+def _said(model: Model):
+    """A function of a text column: the language, how sure, whether rejected. Other columns stay where they are."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, sure = score_texts(model, payloads(batch.column("whole")))
-            out = [batch.column(c) for c in kept]
-            out += [pa.array(names, pa.string()), pa.array(sure), pa.array(sure < model.threshold)]
-            yield pa.RecordBatch.from_arrays(out, [*kept, "lang_pred", "score", "rejected"])
+    @F.arrow_udf("struct<lang_pred:string,score:double,rejected:boolean>")
+    def said(texts: pa.Array) -> pa.Array:
+        names, sure = score_texts(model, payloads(texts))
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(sure), pa.array(sure < model.threshold)], ["lang_pred", "score", "rejected"])
 
-    schema = frame.drop("whole").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return frame.mapInArrow(run, schema)
+    return said
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of every row, with ``lang_pred``, ``score`` and ``rejected``."""
-    said = _predicted(docs, model, keep)
-    return said.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score", "rejected")
+    kept = [F.col(f"`{c}`") for c in keep]
+    both = docs.select(F.struct(*kept).alias("kept"), _said(model)(F.col("text")).alias("said"))
+    return both.select(*[F.col(f"kept.`{c}`") for c in keep], "said.lang_pred", "said.score", "said.rejected")
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The rows that are not rejected, with all their columns."""
-    said = _predicted(docs, model, docs.columns).filter(~F.col("rejected"))
-    return said.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return docs.filter(~_said(model)(F.col("text"))["rejected"])
