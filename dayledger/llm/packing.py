@@ -1,12 +1,12 @@
 """Packing: first-fit decreasing with a tournament tree of bin capacities, in random groups.
 
 Texts become token ids with a public tokenizer and one end id. A document is cut into pieces of
-at most ``capacity`` ids: full ones, and a rest. Pieces are dealt by a hash to groups of about
+at most ``capacity`` ids: full ones, and a rest. The stored pieces are numbered and dealt by a hash of the number to groups of about
 ``group_pieces``, and every group is packed on its own: pieces by falling length, each into
 the first sequence with room. A tournament tree over the sequences, whose inner nodes hold the
 greatest room below them, finds that sequence in a logarithmic number of steps.
 
-Groups grow in number, not in size, and no document weighs on one group, as its pieces are
+Groups grow in number, not in size, and no document or doc_id, not even none, weighs on one group, as pieces are
 dealt one by one. All that is lost to padding is the open end of each group's last sequences.
 
 Defined results: a null or empty text is one piece, the end id. Repeated rows are packed once
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from dayledger.llm.common import payloads, stored
 
 CAPACITY = 4096
-_CACHE = 600_000
+_CACHE = 100_000
 # The tokenizer's own rule for words, over plain characters in lower case (fixed values).
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 _PLAIN = re.compile(r"[ \t\n\r!-~À-ÖØ-öø-ÿ]*")
@@ -96,18 +96,12 @@ class Encoder:
         return b"".join(self._plain(part) if _PLAIN.fullmatch(part) and "<|" not in part else self._other(part) for part in parts)
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> Encoder:
-    """One per Python worker: its caches serve all tasks that run there."""
-    return Encoder(path)
-
-
 def tokenised(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: where it starts in its document, its length and the crc32 of its ids."""
     end, step = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path)
+        encode = Encoder(path)  # its caches end with the task
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), payloads(batch.column("text")), strict=True):
@@ -157,20 +151,21 @@ def first_fit_decreasing(lengths: Iterable[int], capacity: int) -> tuple[list[in
 
 def _pack_group(capacity: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
+        group = group.sort_values(["length", "doc_id", "start", "number"], ascending=[False, True, True, True], kind="stable")
         sequence, offset = first_fit_decreasing(group["length"], capacity)
-        return group.assign(sequence_id=group["bin_group"] * (1 << 32) + np.array(sequence, dtype=np.int64), offset=offset).drop(columns="bin_group")
+        return group.assign(sequence_id=group["bin_group"] * (1 << 32) + np.array(sequence, dtype=np.int64), offset=offset).drop(columns=["bin_group", "number"])
 
     return run
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = 4096, seed: int = 5) -> DataFrame:
-    """Give every piece its sequence and its offset in it."""
+    """Give every piece its sequence and its offset in it; ``number`` tells the pieces apart."""
     groups = max(1, round(pieces.count() / group_pieces))
-    dealt = pieces.withColumn("bin_group", F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups)))
+    dealt = pieces.withColumn("bin_group", F.pmod(F.xxhash64("number", F.lit(seed)), F.lit(groups)))
     return dealt.groupBy("bin_group").applyInPandas(_pack_group(capacity), _PACKED)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
     """Tokenise, cut and pack all documents."""
-    return pack(stored(tokenised(docs, tokenizer, end_id, capacity), "pieces"), capacity)
+    pieces = tokenised(docs, tokenizer, end_id, capacity).withColumn("number", F.monotonically_increasing_id())
+    return pack(stored(pieces, "pieces"), capacity)
