@@ -75,6 +75,11 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def text_keys(text: Column) -> Column:
+    """A 64-bit key for each text; null counts as the empty one."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def payloads(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is the empty text."""
     return [value or b"" for value in column.cast(pa.large_binary()).to_pylist()]

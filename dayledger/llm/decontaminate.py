@@ -12,7 +12,8 @@ values must map to the document's one to one. So a question asked again with oth
 found, and a text that only has the same outline with clashing values is not.
 
 A word that starts a sentence may stand for another only if it is a name: no function word, and in
-documents and benchmark not more often in lower case than capitalised within sentences.
+documents and benchmark not more often in lower case than capitalised within sentences. Only words that the windows met ask
+about are counted, in a second pass over the texts.
 
 A document is contaminated if one item has ``least_windows`` consistent windows in it (all
 of them, if it has fewer).
@@ -27,12 +28,14 @@ beginning that many items share thus meets nothing, unless it is long enough to
 
 Defined results: null and empty texts, and items of nothing but signs, match nothing; items with fewer than ``least_tokens``
 tokens, and windows with fewer than half plain words, are found in exact copies only. An empty benchmark
-contaminates nothing. Repeated rows get one result each. Further columns are ignored.
+contaminates nothing. Repeated rows get one result each; documents are told apart by their whole text, so different texts of one doc_id, or of
+none, are different documents. A long text is read as a whole, in one piece. Further columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -42,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from dayledger.llm.common import payloads, pieces, stored
+from dayledger.llm.common import payloads, pieces, stored, text_keys
 
 UNITS = (
     "mm cm m km inch inches ft foot feet yard yards mile miles meter meters metre metres "
@@ -65,7 +68,7 @@ _READINGS = _TYPED, _PLAIN, _BEGUN, _EXACT = 1, 2, 4, 8
 _MARKS = " .,;:!?\"'()[]{}`_“”‘’„«»…"  # around a token, without a value
 # Scripts without blanks between words: Thai to Tibetan, Burmese, Khmer, Japanese, Chinese and their marks.
 _UNSPACED = re.compile("([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u2e80-\u30ff\u3400-\u9fff\uf900-\ufaff\uff00-\uffef\U0001b000-\U0001b16f\U00020000-\U0003ffff])")
-_CACHE = 400_000
+_CACHE = 150_000
 _GATHERED = 4 << 20
 _BITS = 24
 
@@ -77,62 +80,56 @@ class Settings:
     least_windows: int = 5
 
 
-class Tokens:
-    """What is known of each distinct word: its plain hash, its kind within and at the start of a sentence."""
+class Tokens(dict):
+    """What is known of each distinct word: its plain hash, its kind within and at the start of a sentence. Lasts for a task."""
 
     def __init__(self) -> None:
-        self.units, self.numbers, self.openers = set(UNITS.split()), set(NUMBER_WORDS.split()), set(OPENERS.split())
-        self.place: dict[bytes, int] = {}
-        self.hash = np.zeros(_CACHE, dtype=np.uint64)
-        self.kind = np.zeros(_CACHE, dtype=np.int8)
-        self.ends = np.zeros(_CACHE, dtype=bool)
-        self.opener = np.zeros(_CACHE, dtype=bool)
-        self.exact = np.zeros(_CACHE, dtype=np.uint64)
-
-    def _learn(self, word: bytes) -> None:
+        super().__init__()
+        self.openers = set(OPENERS.encode().split())
+        self.kinds = dict.fromkeys(UNITS.encode().split(), _UNIT) | dict.fromkeys(NUMBER_WORDS.encode().split(), _NUM)
+        self.fresh: list[bytes] = []
+        self.hash, self.exact = (np.zeros(0, dtype=np.uint64) for _ in range(2))
+        self.kind = np.zeros(0, dtype=np.int8)
+        self.ends, self.opener = (np.zeros(0, dtype=bool) for _ in range(2))
+
+    def __missing__(self, word: bytes) -> int:
+        at = len(self)
+        self[word] = at
+        self.fresh.append(word)
+        return at
+
+    def _read(self, word: bytes) -> tuple[int, int, int, bool, bool]:
+        """Plain hash, hash with value, kind, whether it ends a sentence, whether it is a function word."""
+        core = word.rstrip(b".,;:!?")
+        if len(word) > 1 and core.isalpha():  # plain letters and marks behind them
+            low = core.lower()
+            value = xxh3_64_intdigest(low)
+            return value, value, self.kinds.get(low, _WORD if core[0] >= 97 else _NAME), word[-1:] in b".!?:" or word[-2:-1] in b".!?", low in self.openers
         text = word.decode("utf-8", "replace")
         core = _EDGES.sub("", text)
         low = core.lower()
-        at = len(self.place)
+        value = xxh3_64_intdigest(low.encode())
         if not core:
             kind = _NOTHING
-        elif _NUMBER.match(core) or low in self.numbers:
+        elif _NUMBER.match(core):
             kind = _NUM
-        elif low in self.units:
-            kind = _UNIT
-        elif core[0].isupper():
-            kind = _NAME  # unless it starts a sentence
         else:
-            kind = _WORD
-        self.hash[at] = xxh3_64_intdigest(low.encode())
-        self.kind[at] = kind
-        self.exact[at] = self.hash[at] if kind in (_WORD, _NAME) else xxh3_64_intdigest(text.lower().strip(_MARKS).encode())
-        self.opener[at] = low in self.openers
-        self.ends[at] = text[-1:] in ".!?:" or text[-2:-1] in ".!?"
-        self.place[word] = at
+            kind = self.kinds.get(low.encode(), _NAME if core[0].isupper() else _WORD)  # a name, unless it starts a sentence
+        exact = value if kind in (_WORD, _NAME) else xxh3_64_intdigest(text.lower().strip(_MARKS).encode())
+        return value, exact, kind, text[-1:] in ".!?:" or text[-2:-1] in ".!?", low.encode() in self.openers
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        try:
-            return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
-        except KeyError:
-            distinct = set(words)
-            if len(self.place) + len(distinct) > _CACHE:
-                self.place.clear()
-                if len(distinct) > len(self.hash):
-                    self.hash, self.kind, self.ends, self.opener, self.exact = (np.zeros(2 * len(distinct), dtype=a.dtype) for a in (self.hash, self.kind, self.ends, self.opener, self.exact))
-            for word in distinct:
-                if word not in self.place:
-                    self._learn(word)
-            return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
-
-
-_KNOWN: list[Tokens] = []
-
-
-def _tokens() -> Tokens:
-    if not _KNOWN:
-        _KNOWN.append(Tokens())
-    return _KNOWN[0]
+        if len(self) > _CACHE:
+            self.clear()
+        at = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        if self.fresh:
+            start = len(self) - len(self.fresh)
+            values = zip(*map(self._read, self.fresh), strict=True)
+            for name, column in zip(("hash", "exact", "kind", "ends", "opener"), values, strict=True):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old[:start], np.array(column, dtype=old.dtype)]))
+            self.fresh = []
+        return at
 
 
 @dataclass(frozen=True)
@@ -154,21 +151,15 @@ def _spaced(text: bytes) -> bytes:
     return text if text.isascii() else _UNSPACED.sub(r" \1 ", text.decode("utf-8", "replace")).encode()
 
 
-def templates(texts: list[bytes]) -> tuple[Template, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The texts' tokens, and of each word within sentences its hash and how often it is in lower case and capitalised."""
-    known = _tokens()
+def templates(texts: list[bytes], known: Tokens) -> Template:
+    """The texts' tokens, one text after another."""
     split = [_spaced(text).split() for text in texts]
     lengths = np.array([len(words) for words in split], dtype=np.int64)
     number = np.repeat(np.arange(len(texts)), lengths)
-    # A text with more distinct words than the cache holds makes it grow, so one lookup serves all.
     at = known([word for words in split for word in words])
     kind, ends, value = known.kind[at], known.ends[at], known.hash[at]
     starts = np.ones(len(at), dtype=bool)
     starts[1:] = ends[:-1] | (number[1:] != number[:-1])
-    size = len(known.place)
-    lower, upper = (np.bincount(at[mark], minlength=size) for mark in ((kind == _WORD) & ~starts, (kind == _NAME) & ~starts))
-    seen = np.flatnonzero(lower + upper)
-    words = known.hash[seen], lower[seen], upper[seen]
     begins = (kind == _NAME) & starts
     kind = np.where(begins, _WORD, kind)
     begins &= ~known.opener[at]
@@ -179,7 +170,7 @@ def templates(texts: list[bytes]) -> tuple[Template, tuple[np.ndarray, np.ndarra
     first[1:] = number[1:] != number[:-1]
     begin = np.flatnonzero(first)
     place = np.arange(len(number)) - np.repeat(begin, np.diff(np.append(begin, len(number))))
-    return Template(number, place, value, kind, begins, exact, signs), words
+    return Template(number, place, value, kind, begins, exact, signs)
 
 
 def _signs_before(exact: np.ndarray, kept: np.ndarray) -> np.ndarray:
@@ -266,21 +257,17 @@ def _doubts(template: Template, start: int, width: int, bits: int) -> list[int]
     return template.hash[part][template.first[part]].view(np.int64).tolist() if bits == _BEGUN else None
 
 
-# Rows of width 0 count words within sentences: hash, times in lower case, times capitalised.
-_WINDOWS = "id long, place long, width int, outline long, hash long, slots array<long>, doubts array<long>, readings int, of array<int>, lower long, upper long"
-
-
-_NAMES = tuple(field.split()[0] for field in _WINDOWS.split(", "))
+_WINDOWS = "id long, place long, width int, outline long, hash long, slots array<long>, doubts array<long>, readings int, of array<int>"
 
 
 def _item_windows(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Tokens()
         for table in pieces(batches, "text", _GATHERED):
             ids = table.column("id").to_pylist()
             rows = []
             for number, text in zip(ids, payloads(table.column("text").combine_chunks()), strict=True):
-                template, words = templates([text])
-                yield _word_batch(words)
+                template = templates([text], known)
                 if not len(template.hash):
                     continue
                 width = min(settings.window, len(template.hash))
@@ -297,33 +284,27 @@ def _item_windows(settings: Settings):
 
 
 def _window_batch(rows: list[tuple]) -> pa.RecordBatch:
-    return _batch(dict(zip(_NAMES, zip(*rows, strict=True), strict=False)), len(rows))
-
-
-def _word_batch(words: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
-    value, lower, upper = words
-    return _batch({"width": np.zeros(len(value), dtype=np.int32), "hash": value.view(np.int64), "lower": lower, "upper": upper}, len(value))
-
-
-def _batch(columns: dict, n: int) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "int": pa.int32(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
     fields = [field.split() for field in _WINDOWS.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(columns[name], kinds[k]) if name in columns else pa.nulls(n, kinds[k]) for name, k in fields], list(_NAMES))
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], [name for name, _ in fields])
 
 
-def _document_windows(widths: list[int], bitmap: np.ndarray, settings: Settings):
-    mask = np.uint64((1 << _BITS) - 1)
+def _hit(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & np.uint64((1 << _BITS) - 1)
+    return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
 
+
+def _document_windows(widths: list[int], bitmap: np.ndarray, settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Tokens()
         for table in pieces(batches, "text", _GATHERED):
             ids = table.column("id").to_pylist()
             rows = []
-            whole, words = templates(payloads(table.column("text").combine_chunks()))
-            yield _word_batch(words)
+            whole = templates(payloads(table.column("text").combine_chunks()), known)
             for width, (template, start, bits) in ((w, r) for w in widths for r in readings(whole, w, w < settings.least_tokens)):
                 outline = outlines(template, start, width, bits)
-                at = outline & mask
-                passed = np.flatnonzero((bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1))
+                passed = np.flatnonzero(_hit(bitmap, outline))
                 start, outline = start[passed], outline[passed]
                 found = window_hashes(template, start, width, outline)
                 for s, o, h, b in zip(start.tolist(), outline.view(np.int64).tolist(), found.view(np.int64).tolist(), bits[passed].tolist(), strict=True):
@@ -333,10 +314,42 @@ def _document_windows(widths: list[int], bitmap: np.ndarray, settings: Settings)
     return run
 
 
-def _bitmap(windows: DataFrame) -> np.ndarray:
-    """One bit per value of the outlines' low bits: 2 MB, whatever the benchmark's size."""
-    low = F.col("outline").bitwiseAND((1 << _BITS) - 1)
-    words = windows.groupBy(F.shiftright(low, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(outline & 63 as int))")).alias("bits")).collect()
+def _word_counts(bitmap: np.ndarray):
+    """Of the words that the bitmap lets pass: how often they are in lower case and capitalised within sentences."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total = Tokens(), Counter()
+
+        def out() -> pa.RecordBatch:
+            lower, upper = ([total[value, kind] for value in values] for kind in (_WORD, _NAME))
+            return pa.RecordBatch.from_arrays([pa.array(np.array(values, dtype=np.uint64).view(np.int64)), pa.array(lower, pa.int64()), pa.array(upper, pa.int64())], ["hash", "lower", "upper"])
+
+        for table in pieces(batches, "text", _GATHERED):
+            split = [_spaced(text).split() for text in payloads(table.column("text").combine_chunks())]
+            at = known([word for words in split for word in words])
+            within = np.zeros(len(at), dtype=bool)
+            within[1:] = ~known.ends[at[:-1]]
+            begins = np.cumsum([0, *map(len, split)])[:-1]
+            within[begins[begins < len(at)]] = False
+            asked = _hit(bitmap, known.hash) & ((known.kind == _WORD) | (known.kind == _NAME))
+            chosen = at[asked[at] & within]
+            words, counts = np.unique(chosen, return_counts=True)
+            for word, n in zip(words.tolist(), counts.tolist(), strict=True):
+                total[int(known.hash[word]), int(known.kind[word])] += n
+            if len(total) > 200_000:
+                values = sorted({value for value, _ in total})
+                yield out()
+                total = Counter()
+        values = sorted({value for value, _ in total})
+        yield out()
+
+    return run
+
+
+def _bitmap(frame: DataFrame, column: str) -> np.ndarray:
+    """One bit per value of a column's low bits: 2 MB, whatever the frame's size."""
+    low = F.col(column).bitwiseAND((1 << _BITS) - 1)
+    words = frame.groupBy(F.shiftright(low, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({column} & 63 as int))")).alias("bits")).collect()
     bitmap = np.zeros(1 << (_BITS - 6), dtype=np.uint64)
     for row in words:
         bitmap[row["word"]] = np.uint64(row["bits"] % (1 << 64))
@@ -360,13 +373,16 @@ def _looked_up(own: DataFrame, settings: Settings) -> DataFrame:
     return sized.select("hash", "width", "item", "place").join(places.withColumn("kept", kept).filter("kept").select("item", "place"), ["item", "place"])
 
 
-def _of_names(met: DataFrame, words: DataFrame) -> DataFrame:
-    """Without windows in which a word that starts a sentence stands for another and is no name."""
+def _of_names(met: DataFrame, texts: DataFrame) -> DataFrame:
+    """Without windows in which a word that starts a sentence stands for another and is no name in the texts."""
     doubtful = lambda values, doubts: F.when(F.array_contains(doubts, values), F.array(values)).otherwise(F.array().cast("array<long>"))
     changed = F.filter("pairs", lambda p: p["a"] != p["b"])
     doubts = F.flatten(F.transform(changed, lambda p: F.concat(doubtful(p["a"], F.coalesce("doubts", F.array().cast("array<long>"))), doubtful(p["b"], F.coalesce("found_doubts", F.array().cast("array<long>"))))))
     met = stored(met.withColumn("asked", doubts).drop("doubts", "found_doubts"), "met-windows")
-    asked = met.select(F.explode("asked").alias("hash")).distinct()
+    asked = stored(met.select(F.explode("asked").alias("hash")).distinct(), "asked")
+    if asked.isEmpty():
+        return met
+    words = texts.mapInArrow(_word_counts(_bitmap(asked, "hash")), "hash long, lower long, upper long")
     known = words.join(asked, "hash").groupBy("hash").agg(F.sum("lower").alias("lower"), F.sum("upper").alias("upper")).filter("lower > upper")
     key = ["doc_id", "item", "diagonal", "at", "readings"]
     no_names = met.select(*key, F.explode("asked").alias("hash")).join(known, "hash").select(*[F.col(c).alias(f"no_{c}") for c in key]).distinct()
@@ -381,13 +397,11 @@ def matches(docs: DataFrame, items: DataFrame, settings: Settings = Settings())
     items = items.select(F.col("item_id").cast("long").alias("id"), "text").groupBy("text").agg(F.min(F.struct("id")).alias("least"))
     items = items.select(F.xxhash64("text").alias("item"), "least.id", "text")
     own = items.select(F.col("item").alias("id"), "text").mapInArrow(_item_windows(settings), _WINDOWS)
-    read = stored(own.withColumnRenamed("id", "item"), "benchmark-windows")
-    own, words = read.filter("width > 0"), read.filter("width = 0").select("hash", "lower", "upper")
+    own = stored(own.withColumnRenamed("id", "item"), "benchmark-windows")
     widths = sorted(row["width"] for row in own.select("width").distinct().collect())
-    found = docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(_document_windows(widths, _bitmap(own), settings), _WINDOWS)
-    read = stored(found, "document-windows")
-    words = words.unionByName(read.filter("width = 0").select("hash", "lower", "upper"))
-    found = read.filter("width > 0").select("hash", "width", F.col("id").alias("doc_id"), F.col("place").alias("at"), F.col("slots").alias("values"), F.col("doubts").alias("found_doubts"))
+    found = docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(_document_windows(widths, _bitmap(own, "outline"), settings), _WINDOWS)
+    read = stored(found, "document-windows").dropDuplicates(["id", "width", "place", "readings"])
+    found = read.select("hash", "width", F.col("id").alias("doc_id"), F.col("place").alias("at"), F.col("slots").alias("values"), F.col("doubts").alias("found_doubts"))
 
     # Where one of the windows looked up is met, all windows of the item are compared.
     met = found.join(_looked_up(own, settings), ["hash", "width"]).select("doc_id", "item", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
@@ -395,7 +409,7 @@ def matches(docs: DataFrame, items: DataFrame, settings: Settings = Settings())
     met = wanted.join(found, ["hash", "width", "at"]).filter(F.col("in_doc").eqNullSafe(F.col("doc_id")))
     pairs = F.transform(F.arrays_zip("slots", "values"), lambda p: F.struct(p["slots"].alias("a"), p["values"].alias("b")))
     met = met.select("doc_id", "item", "diagonal", "at", "readings", "of", "doubts", "found_doubts", pairs.alias("pairs"))
-    met = _of_names(met, words)
+    met = _of_names(met, docs.select("text").unionByName(items.select("text")))
     counts = [F.size(F.collect_set(F.when(F.col("readings").bitwiseAND(bit) > 0, F.col("at")))).alias(f"n{bit}") for bit in _READINGS]
     grouped = met.groupBy("doc_id", "item", "diagonal").agg(
         F.size(F.collect_set("at")).alias("n"), *counts, F.max("of").alias("of"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("map")
@@ -414,8 +428,9 @@ def matches(docs: DataFrame, items: DataFrame, settings: Settings = Settings())
 
 def decontaminate(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, contaminated, item_id, n_windows, of_windows, reworded) of every document: its best match."""
-    found = matches(docs, items, settings)
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", text_keys(F.col("text")))
+    found = matches(keyed.select(F.col("key").alias("doc_id"), "text"), items, settings)
     best = found.groupBy("doc_id").agg(F.max(F.struct("n_windows", (-F.col("item_id")).alias("least"), "item_id", "of_windows", "reworded")).alias("m"))
-    best = best.select(F.col("doc_id").alias("found_id"), "m.item_id", "m.n_windows", "m.of_windows", "m.reworded")
-    joined = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(best, F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
+    best = best.select(F.col("doc_id").alias("key"), "m.item_id", "m.n_windows", "m.of_windows", "m.reworded")
+    joined = keyed.select("doc_id", "key").join(best, "key", "left")
     return joined.select("doc_id", F.col("n_windows").isNotNull().alias("contaminated"), "item_id", F.coalesce("n_windows", F.lit(0)).alias("n_windows"), "of_windows", "reworded")

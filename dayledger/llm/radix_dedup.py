@@ -35,11 +35,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh64_intdigest
 
-from dayledger.llm.common import payloads, pieces, stored
+from dayledger.llm.common import payloads, pieces, stored, text_keys
 
 LENGTH = 100
 _GRAM = 32
@@ -265,10 +265,6 @@ def _second_visit(length: int, with_text: bool):
     return run
 
 
-def text_keys(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def _text_key(text: bytes) -> int:
     """What ``text_keys`` gives."""
     return (xxh64_intdigest(text, 42) + (1 << 63)) % (1 << 64) - (1 << 63)

@@ -189,6 +189,17 @@ def test_language_without_labels(docs, empty):
     assert {r["lang_pred"] for r in collected(language.predict(docs, model, ["doc_id"]))} == {"und"}
 
 
+def test_every_label_can_be_learned_and_the_sample_is_bounded(spark):
+    rng = random.Random(8)
+    rows = [(230 * i + n, " ".join(f"{rng.choice('bdfgk')}{chr(0x100 + n)}{chr(0x100 + n)}" for _ in range(12)), f"l{n}") for n in range(230) for i in range(9)]
+    frame = spark.createDataFrame([*rows, *(row for row in rows if row[0] < 50)], "doc_id long, text string, lang string")
+    model = language.train(frame)
+    assert len(model.languages) == 230
+    assert abs(language.sample(frame, "doc_id", language.Settings(rows=500)).count() - 500) < 120
+    twice = collected(language.predict(frame.filter("doc_id < 50"), model, ["doc_id"]))
+    assert len(twice) == 100 and len({(r["doc_id"], r["lang_pred"], r["score"]) for r in twice}) == 50
+
+
 def test_gram_counts_do_not_depend_on_stretches(monkeypatch):
     text = (prose(9, 50) + " ßéλ").encode()
     whole = language.gram_counts(text, 1024)
@@ -241,6 +252,26 @@ def test_names_at_the_start_of_sentences_are_slots(spark):
     assert {r["doc_id"]: (r["item_id"], r["reworded"]) for r in collected(found)} == {0: (0, True), 1: (1, True), 2: (None, None), 3: (None, None), 4: (None, None)}
 
 
+def test_documents_are_told_apart_by_text_and_awkward_ones_match_nothing(spark, docs):
+    item, clean = prose(500, 25), prose(501, 90)
+    items = spark.createDataFrame([(1, item, "x"), (2, None, "x"), (3, "", "x"), (1, item, "x")], "item_id long, text string, doc_id string")
+    rows = spark.createDataFrame([(None, item), (None, clean), (7, item), (7, clean), (7, item), (8, prose(502, 40_000) + " " + item)], "doc_id long, text string")
+    got = [(r["doc_id"], r["contaminated"], r["item_id"]) for r in collected(decontaminate.decontaminate(rows, items))]
+    assert Counter(got) == Counter([(None, True, 1), (None, False, None), (7, True, 1), (7, False, None), (7, True, 1), (8, True, 1)])
+    real = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    got = collected(decontaminate.decontaminate(docs, real))
+    assert sorted(r["doc_id"] for r in got) == sorted(i for i, _ in AWKWARD) and not any(r["contaminated"] for r in got)
+
+
+def test_words_are_read_like_plain_ones():
+    known = decontaminate.Tokens()
+    for word in "Anna, anna Two. KG km: x a. (b) 12,5 don't É é; Dr.! ... u.s. The the".split():
+        value, exact, kind, ends, opener = known._read(word.encode())
+        core = decontaminate._EDGES.sub("", word).lower()
+        assert opener == (core in decontaminate.OPENERS.split()) and ends == (word[-1] in ".!?:" or word[-2:-1] in ".!?")
+        assert (kind == decontaminate._NAME) == (word.strip(",.!()")[:1].isupper() and core not in ("two", "kg"))
+
+
 def test_items_of_numbers_short_items_and_texts_without_blanks_are_found_in_exact_copies(spark):
     items = [(0, "What is 12 + 34 * 5 - 6 / 7?"), (1, "Define entropy."), (2, "中国的首都是哪里请从下面选择"), (3, "12 km = 12000 m, 3 h = 180 min, 5 kg = 5000 g")]
     texts = [
@@ -280,6 +311,13 @@ def test_ids_and_places_equal_the_tokenizers(spark, docs, empty):
     assert packing.pack_documents(empty, tokenizer_path(), 2).count() == 0
 
 
+def test_texts_without_ids_are_dealt_to_all_groups(spark):
+    pieces = spark.range(0, 20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("start"), (1 + F.col("id") % 90).alias("length"), F.lit(1).cast("long").alias("ids_crc32"), F.lit(9).cast("long").alias("doc_tokens"), F.col("id").alias("number"))
+    packed = packing.pack(pieces, capacity=100, group_pieces=1000)
+    sizes = [r["count"] for r in packed.groupBy(F.shiftright("sequence_id", 32)).count().collect()]
+    assert len(sizes) == 20 and sum(sizes) == 20_000 and max(sizes) < 1300
+
+
 def test_the_tournament_packs_like_plain_first_fit():
     rng = random.Random(0)
     lengths = sorted((rng.randint(1, 50) for _ in range(300)), reverse=True)
@@ -516,6 +554,18 @@ def test_stages_keep_the_columns_and_what_is_clean(spark, tmp_path):
     assert {p["doc_id"] for p in packed} == ids[3]
 
 
+def test_stages_of_an_empty_table_and_of_columns_with_the_names_of_their_own(spark, tmp_path):
+    clash = "row key id cut_id cut_text cut_key first_id first_key leak own_key kept_key text_key fp".split()
+    rows = [(i, prose(i, 100), 1, *range(len(clash))) for i in range(4)] + [(9, prose(1, 100), 1, *range(len(clash)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, " + ", ".join(f"{c} long" for c in clash))
+    spark.createDataFrame([(0, prose(500, 25))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        got = stage(spark, frame, str(tmp_path))
+        assert got.columns == frame.columns and {tuple(r)[3:] for r in got.collect()} == {tuple(range(len(clash)))}
+    frame.filter("false").withColumn("lang", F.lit(None).cast("string")).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_stages_keep_different_texts_without_a_doc_id(spark, tmp_path):
     benchmark = prose(500, 25)
     texts = [prose(i, 120) for i in range(700, 706)] + [prose(60, 80) + " " + benchmark + " " + prose(61, 80)]
