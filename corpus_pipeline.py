@@ -5,7 +5,7 @@ Each stage reads the Parquet table that the stage before has written. All but th
 Defined results: null and empty texts are of no language and go in the first stage. Of a near-duplicate
 group the row with the least doc_id stays, rows without one last, of equal ids that with the least hash of its text; rows equal to it
 in both go. Further stages tell rows apart by doc_id and text, so rows without a doc_id are documents like others. A document that loses all its text to the
-third stage stays with an empty one. Extra columns are carried along.
+third stage stays with an empty one. Extra columns are carried along, whatever their names. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.llm import decontaminate, language, packing, radix_dedup, simhash
-from dayledger.llm.common import scratch, table
+from dayledger.llm.common import remove, scratch, table, text_keys
 from dayledger.llm.queries import END_ID, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,28 +27,34 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language.accepted(docs, language.train(docs))
 
 
+def _boxed(docs: DataFrame, *without: str) -> DataFrame:
+    """(row, id, key): the columns in a struct, so that no name clashes, and what tells documents apart."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in without]
+    return docs.select(F.struct(*kept).alias("row"), F.col("doc_id").alias("id"), text_keys(F.col("text")).alias("key"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    key = radix_dedup.text_keys(docs["text"])
-    first = simhash.representatives(docs, key).select(F.col("doc_id").alias("first_id"), F.col("key").alias("first_key"))
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(F.col("first_id")) & (key == F.col("first_key")), "left_semi")
-    return kept.withColumn("kept_key", radix_dedup.text_keys(F.col("text"))).dropDuplicates(["doc_id", "kept_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = _boxed(docs)
+    first = simhash.representatives(docs, text_keys(docs["text"])).select(F.col("doc_id").alias("first_id"), F.col("key").alias("first_key"))
+    kept = rows.join(first, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key")), "left_semi")
+    return kept.dropDuplicates(["id", "key"]).select("row.*")
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that start earlier in the corpus."""
     cut = radix_dedup.remove_repeats(docs, with_text=True).select(F.col("doc_id").alias("cut_id"), F.col("kept").alias("cut_text"), F.col("text_key").alias("cut_key"))
-    rest = docs.withColumn("own_key", radix_dedup.text_keys(F.col("text"))).drop("text", "n_chars")
-    joined = rest.join(cut.dropDuplicates(["cut_id", "cut_key"]), rest["doc_id"].eqNullSafe(F.col("cut_id")) & (F.col("own_key") == F.col("cut_key")))
+    rows = _boxed(docs, "text", "n_chars")
+    joined = rows.join(cut.dropDuplicates(["cut_id", "cut_key"]), F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("key") == F.col("cut_key")))
     changed = {"text": F.col("cut_text"), "n_chars": F.length("cut_text").cast("long")}
-    return joined.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+    return joined.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items."""
-    key = radix_dedup.text_keys(F.col("text"))
-    found = decontaminate.matches(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak_key")).distinct()
-    return docs.join(found, radix_dedup.text_keys(docs["text"]) == F.col("leak_key"), "left_anti")
+    keyed = docs.select(text_keys(F.col("text")).alias("doc_id"), "text")
+    found = decontaminate.matches(keyed, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak")).distinct()
+    return _boxed(docs).join(found, F.col("key") == F.col("leak"), "left_anti").select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,9 +76,12 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn, from documents to packed pieces."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         folder = scratch(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if before:
+            remove(before)
+        before = folder
     return docs
