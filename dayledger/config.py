@@ -23,9 +23,6 @@ class Settings:
     # task's sort, so it does not depend on the size of the data.
     hot_group_rows: int = 1_000_000
 
-    # Threads that read the first line of new files.
-    header_threads: int = 16
-
     @property
     def outage_day(self) -> date:
         return self.first_day + timedelta(days=self.outage_day_index)

@@ -1,25 +1,24 @@
 """Drop files: what is there, which are new, which layout each has.
 
-Only file metadata and one line per new file pass through the driver here; rows
-never do.
+Only file metadata and the beginning of one line per new file pass through the driver
+here; tasks find these lines, rows never leave them.
 """
 
 from __future__ import annotations
 
 import csv
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.config import DEFAULTS, Settings
 from dayledger.functions import text
 from dayledger.sources.schemas import LAYOUTS
 
-# A first line longer than this cannot be one of the accepted headers.
-_LONGEST_HEADER = 1 << 20
+# Characters of a first line that reach the driver. One that is longer is no accepted
+# header, as these have some 150.
+_SHOWN = 10_000
 
 
 @dataclass(frozen=True)
@@ -70,19 +69,59 @@ def unseen(spark: SparkSession, files: list[DropFile], load_log: DataFrame) -> l
     return sorted(found, key=lambda f: f.name)
 
 
-def read_headers(
-    spark: SparkSession, files: list[DropFile], settings: Settings = DEFAULTS
-) -> dict[str, Header]:
-    """First line of each file, classified. Order and case of the columns matter.
+def read_headers(spark: SparkSession, files: list[DropFile]) -> dict[str, Header]:
+    """First line of each file that is not blank, classified. Order and case of the columns matter.
 
-    Read directly rather than with a text scan: Spark would go through every byte of
-    every file to find its first line.
+    The least (block, position) of the lines with content, per file: an aggregate that
+    every task combines, however many blank lines come before and wherever splits are.
     """
     if not files:
         return {}
-    with ThreadPoolExecutor(max_workers=settings.header_threads) as pool:
-        lines = list(pool.map(lambda f: _first_line(spark, f.path), files))
-    return {f.name: _classified(line) for f, line in zip(files, lines)}
+    lines = spark.read.text([f.path for f in files]).select(
+        file_name().alias("file_name"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("position"),
+        F.regexp_replace("value", "^\ufeff+", "").alias("line"),
+    )
+    shown = F.struct("block", "position", F.substring("line", 1, _SHOWN).alias("line"))
+    first = lines.filter(F.col("line").rlike(r"(?U)\S")).groupBy("file_name").agg(F.min(shown).alias("first"))
+    found = {row.file_name: row.line for row in first.select("file_name", "first.line").collect()}
+    return {f.name: _classified(found.get(f.name, "")) for f in files}
+
+
+def file_name() -> Column:
+    """Name of the file a row was read from."""
+    # Spark gives it URI-encoded. There "+" is itself; url_decode would make it a space.
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders in a folder, none if it is not there."""
+    path, fs = _file_system(spark, folder)
+    statuses = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, "*")) or []
+    return sorted(status.getPath().getName() for status in statuses)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    hadoop_path, fs = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, content: str) -> None:
+    """Write a small file that is either there as a whole or not at all."""
+    folder, _, name = path.rpartition("/")
+    draft, fs = _file_system(spark, f"{folder}/.{name}.draft")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(content.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(draft, spark._jvm.org.apache.hadoop.fs.Path(path)):
+        raise OSError(f"{path} could not be published")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -101,26 +140,6 @@ def _classified(line: str) -> Header:
     return Header(columns, matching[0] if matching else None)
 
 
-def _first_line(spark: SparkSession, path: str) -> str:
-    """The first line that is not empty, up to a length no accepted header has."""
-    hadoop_path, fs = _file_system(spark, path)
-    jvm = spark._jvm
-    stream = fs.open(hadoop_path)
-    try:
-        reader = jvm.org.apache.hadoop.util.LineReader(stream)
-        buffer = jvm.org.apache.hadoop.io.Text()
-        consumed = 0
-        while consumed < _LONGEST_HEADER:
-            size = reader.readLine(buffer, _LONGEST_HEADER, _LONGEST_HEADER)
-            line = buffer.toString().lstrip("\ufeff")
-            if size == 0 or line.strip():
-                return line
-            consumed += size
-        return ""
-    finally:
-        stream.close()
-
-
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -72,7 +72,7 @@ def ingest_files(
     if not new:
         return RunSummary(skipped)
     spark = store.spark
-    headers = files.read_headers(spark, new, settings)
+    headers = files.read_headers(spark, new)
     rejected = {f.name: reason for f in new if (reason := _refusal(f, headers[f.name]))}
     readable = [f for f in new if f.name not in rejected]
 
@@ -172,7 +172,7 @@ def _read_layout(spark: SparkSession, paths: list[str], columns: list[str]) -> D
         .csv(paths)
         .withColumns(
             {
-                "_source_file": _file_name(),
+                "_source_file": files.file_name(),
                 "block": F.col("_metadata.file_block_start"),
                 "position": F.monotonically_increasing_id(),
             }
@@ -199,11 +199,6 @@ def _read_layout(spark: SparkSession, paths: list[str], columns: list[str]) -> D
     )
 
 
-def _file_name() -> Column:
-    # Spark gives it URI-encoded. There "+" is itself; url_decode would make it a space.
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-
-
 def _blocks(landed: DataFrame) -> DataFrame:
     return landed.groupBy("_source_file", "block").agg(
         F.count("*").alias("rows"),
@@ -261,7 +256,7 @@ def _quarantine(store: Store, rejected: list[DropFile]) -> None:
         F.col("value").alias("line"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
-        _file_name().alias("file_name"),
+        files.file_name().alias("file_name"),
     )
     store.replace_partitions("quarantine", lines, by=["file_name"], balance=False)
 

@@ -1,8 +1,16 @@
-"""The stored tables: where they are, how they are read and written."""
+"""The stored tables: where they are, how they are read and written.
+
+Raw, quarantine and load log only grow, or repeat a file's partition; what counts in
+them is settled by the load log, written last. All other tables are replaced, in whole or
+by day, and readers must never see half of that. Their rows lie in version folders, and a
+manifest says which version each partition is read from. A replacement writes a new
+version first and its manifest last, so one that dies leaves the table as it was.
+"""
 
 from __future__ import annotations
 
 import atexit
+import json
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -27,6 +35,11 @@ from dayledger.sources.schemas import (
 )
 
 
+# Tables that are replaced.
+VERSIONED = {"staging", "dim_creative", "fct_creative_daily", "check_results", "defect_log"}
+_VERSION, _MANIFESTS = "version", "_manifests"
+
+
 @dataclass(frozen=True)
 class Store:
     """Parquet tables under one root on the cluster's shared storage."""
@@ -38,6 +51,8 @@ class Store:
         return f"{self.root.rstrip('/')}/{table}"
 
     def has(self, table: str) -> bool:
+        if table in VERSIONED:
+            return bool(self._manifests(table))
         return files.exists(self.spark, self.path(table))
 
     def raw(self) -> DataFrame:
@@ -72,19 +87,60 @@ class Store:
 
     def replace(self, table: str, rows: DataFrame, by: list[str] | None = None) -> None:
         """Replace the whole table."""
-        writer = _balanced(rows, by).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*by) if by else writer).parquet(self.path(table))
+        writer = _balanced(rows, by).write
+        version = uuid.uuid4().hex
+        (writer.partitionBy(*by) if by else writer).parquet(self._version(table, version))
+        self._publish(table, self._partitions(table, version, by))
 
     def replace_partitions(self, table: str, rows: DataFrame, by: list[str], balance: bool = True) -> None:
         """Replace the partitions that ``rows`` has; all others stay untouched."""
+        rows = _balanced(rows, by) if balance else rows
+        if table in VERSIONED:
+            version = uuid.uuid4().hex
+            rows.write.partitionBy(*by).parquet(self._version(table, version))
+            self._publish(table, self._manifest(table) | self._partitions(table, version, by))
+            return
         (
-            (_balanced(rows, by) if balance else rows)
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*by)
             .parquet(self.path(table))
         )
 
+    def _version(self, table: str, version: str) -> str:
+        return f"{self.path(table)}/{_VERSION}={version}"
+
+    def _partitions(self, table: str, version: str, by: list[str] | None) -> dict[str, str]:
+        """Partition folders of a version, or the version itself, by the version."""
+        if not by:
+            return {"": version}
+        if len(by) > 1:
+            raise ValueError("a replaced table has one partition column")
+        names = files.names_in(self.spark, self._version(table, version))
+        return {name: version for name in names if name.startswith(f"{by[0]}=")}
+
+    def _manifests(self, table: str) -> list[str]:
+        return [n for n in files.names_in(self.spark, f"{self.path(table)}/{_MANIFESTS}") if n.endswith(".json")]
+
+    def _manifest(self, table: str, back: int = 1) -> dict[str, str]:
+        """Version of each partition, as last published; with ``back`` 2 the time before."""
+        names = self._manifests(table)
+        if len(names) < back:
+            return {}
+        return json.loads(files.read_text(self.spark, f"{self.path(table)}/{_MANIFESTS}/{names[-back]}"))
+
+    def _publish(self, table: str, partitions: dict[str, str]) -> None:
+        names = self._manifests(table)
+        number = int(names[-1].removesuffix(".json")) + 1 if names else 0
+        files.publish_text(self.spark, f"{self.path(table)}/{_MANIFESTS}/{number:012d}.json", json.dumps(partitions))
+        # Queries that run may still read what the manifest before names.
+        kept = {f"{_VERSION}={v}" for v in [*partitions.values(), *self._manifest(table, 2).values()]}
+        for name in files.names_in(self.spark, self.path(table)):
+            if name.startswith(f"{_VERSION}=") and name not in kept:
+                files.remove(self.spark, f"{self.path(table)}/{name}")
+        for name in names[:-1]:
+            files.remove(self.spark, f"{self.path(table)}/{_MANIFESTS}/{name}")
+
     @contextmanager
     def scratch(self) -> Iterator[str]:
         """A folder of this run for intermediate tables, removed when the run is through.
@@ -101,9 +157,15 @@ class Store:
     def _read(self, table: str, schema: T.StructType) -> DataFrame:
         # A given schema keeps partition columns from being guessed, and an absent
         # table is an empty one.
-        if not self.has(table):
+        if table not in VERSIONED:
+            if not self.has(table):
+                return self.spark.createDataFrame([], schema)
+            return self.spark.read.schema(schema).parquet(self.path(table))
+        places = [f"{self._version(table, version)}/{name}".rstrip("/") for name, version in sorted(self._manifest(table).items())]
+        if not places:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        read = self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*places)
+        return read.select(*schema.fieldNames())
 
 
 def scratch_folder(spark: SparkSession, default: str | None = None) -> str:

@@ -213,3 +213,25 @@ def test_a_quoted_line_break_quarantines_its_file_only(store, drops):
     summary = ingest(store, drops)
     assert [o.status for o in summary.outcomes] == ["loaded"] + ["quarantined"] * 3
     assert {r.creative_id for r in store.raw().collect()} == {"ad-9", 'ad-9, "b"'}
+
+
+def test_a_header_may_follow_any_number_of_blank_lines(store, drops, small_blocks):
+    with open(f"{drops}/drop_2026-01-01.csv", "w") as file:
+        file.write((" " * 1023 + "\n") * 30 + "\n" * 500 + EARLY + "\n" + "2026-01-01,cmp,as,cr,video,feed,1,1,1,1\n")
+    store.spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    found = files.read_headers(store.spark, files.list_drops(store.spark, drops))
+    assert found["drop_2026-01-01.csv"].layout == "early"
+
+
+def test_a_file_behind_two_megabytes_of_blank_lines_is_loaded(store, drops):
+    with open(f"{drops}/drop_2026-01-01.csv", "w") as file:
+        file.write("\n" * (2 << 20) + EARLY + "\n" + "2026-01-01,cmp,as,cr,video,feed,1,1,1,1\n")
+    summary = ingest(store, drops)
+    assert (summary.loaded, summary.quarantined, summary.rows_loaded) == (1, 0, 1)
+
+
+def test_an_endless_first_line_is_no_header(store, drops):
+    with open(f"{drops}/drop_2026-01-01.csv", "w") as file:
+        file.write("x" * (3 << 20) + "\n")
+    summary = ingest(store, drops)
+    assert summary.quarantined == 1 and len(store.load_log().first().reason) < 20_000

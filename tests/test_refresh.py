@@ -4,6 +4,7 @@ from datetime import date
 
 import pytest
 from helpers import EARLY, comparable, write_drop, write_drops
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from dayledger.operators import checks
@@ -19,8 +20,9 @@ from dayledger.plans.refresh import (
     run_daily,
 )
 from dayledger.plans.snapshot import write_snapshot
-from dayledger.sources import lineitem
+from dayledger.sources import files, lineitem
 from dayledger.sources.ingest import ingest
+from dayledger.sources.schemas import CHECK_RESULTS
 from dayledger.sources.tables import Store, read_truth
 from dayledger.streaming.arrivals import follow_drops
 
@@ -61,6 +63,40 @@ def test_window_is_recomputed_and_older_days_are_not(store, drops):
     assert staged(store)[("01-12", "cr")] == 1
 
 
+def test_a_replacement_that_dies_leaves_the_table_as_it_was(store, drops, monkeypatch):
+    write_drop(drops, "drop_2026-01-20.csv", EARLY, [row("01-20"), row("01-13"), row("01-02")])
+    ingest(store, drops)
+    refresh_staging(store)
+    refresh_marts(store)
+    before = staged(store), comparable(store.fact()), comparable(store.dimension())
+    write_drop(drops, "drop_2026-01-21.csv", EARLY, [row("01-13", impressions=1), row("01-21", "new")])
+    ingest(store, drops)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:  # after the rows are written, before they are published
+        patch.setattr(files, "publish_text", killed)
+        for replacing in (lambda: refresh_staging(store), lambda: refresh_staging(store, full_refresh=True), lambda: refresh_marts(store)):
+            with pytest.raises(KeyboardInterrupt):
+                replacing()
+            assert (staged(store), comparable(store.fact()), comparable(store.dimension())) == before
+    old = store.staging()
+    refresh_staging(store)
+    assert staged(store) == {("01-20", "cr"): 100, ("01-13", "cr"): 1, ("01-02", "cr"): 100, ("01-21", "new"): 100}
+    assert old.count() == 3  # a reader keeps what it began with
+    # What died is removed; days that were not replaced stay in their version.
+    assert len([n for n in files.names_in(store.spark, store.path("staging")) if n.startswith("version=")]) == 2
+
+
+def test_rows_that_fail_while_written_are_never_published(store):
+    good = store.spark.createDataFrame([("c", "error", 0, "pass")], CHECK_RESULTS)
+    store.replace("check_results", good)
+    with pytest.raises(PySparkException):
+        store.replace("check_results", good.withColumn("check_name", F.raise_error(F.lit("lost")).cast("string")))
+    assert store.check_results().collect() == good.collect()
+
+
 def test_empty_target_gets_a_full_build(store, drops):
     write_drop(drops, "drop_2026-01-01.csv", EARLY, [])
     ingest(store, drops)
