@@ -88,8 +88,13 @@ def sample(labelled: DataFrame, key: str, settings: Settings) -> DataFrame:
     """Rows drawn by hash, about as many from each language, at most ``rows_per_language``, and ``rows`` in all; the same on every run."""
     counts = labelled.groupBy("lang").agg(F.count("*").alias("of_lang"))
     each = min(settings.rows_per_language, settings.rows / max(1, counts.count()))
+    # A list of at most ``rows`` languages goes to all tasks. Languages beyond it are no larger than its last one.
+    large = counts.filter(F.col("of_lang") > each).orderBy(F.desc("of_lang"), "lang").limit(settings.rows)
+    listed = large.agg(F.count("*").alias("n"), F.min("of_lang").alias("least")).first()
+    rest = 1.0 if listed["n"] < settings.rows else each / listed["least"]
     draw = F.pmod(F.xxhash64(F.col(key), F.lit(settings.seed)), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(counts, "lang").filter(draw < F.lit(float(each)) / F.col("of_lang")).drop("of_lang")
+    share = F.coalesce(F.lit(float(each)) / F.col("of_lang"), F.lit(rest))
+    return labelled.join(F.broadcast(large), "lang", "left").filter(draw < share).drop("of_lang")
 
 
 def _features(buckets: int):
