@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.llm import decontaminate, language, packing, radix_dedup, simhash
@@ -27,25 +27,28 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language.accepted(docs, language.train(docs))
 
 
+def _mark(doc_id: Column, key: Column) -> Column:
+    """What tells documents apart, without nulls, so that one shuffle serves an aggregate and a join on it."""
+    return F.struct(F.isnull(doc_id).alias("without"), F.coalesce(doc_id, F.lit(0)).alias("id"), key.alias("key"))
+
+
 def _boxed(docs: DataFrame, *without: str) -> DataFrame:
-    """(row, id, key): the columns in a struct, so that no name clashes, and what tells documents apart."""
+    """(row, key, mark): the columns in a struct, so that no name clashes, the text's key, and what tells documents apart."""
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in without]
-    return docs.select(F.struct(*kept).alias("row"), F.col("doc_id").alias("id"), text_keys(F.col("text")).alias("key"))
+    key = text_keys(F.col("text"))
+    return docs.select(F.struct(*kept).alias("row"), key.alias("key"), _mark(F.col("doc_id"), key).alias("mark"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    rows = _boxed(docs)
-    first = simhash.representatives(docs, text_keys(docs["text"])).select(F.col("doc_id").alias("first_id"), F.col("key").alias("first_key"))
-    kept = rows.join(first, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key")), "left_semi")
-    return kept.dropDuplicates(["id", "key"]).select("row.*")
+    first = simhash.representatives(docs, text_keys(docs["text"])).select(_mark(F.col("doc_id"), F.col("key")).alias("mark"))
+    return _boxed(docs).join(first, "mark", "left_semi").dropDuplicates(["mark"]).select("row.*")
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that start earlier in the corpus."""
-    cut = radix_dedup.remove_repeats(docs, with_text=True).select(F.col("doc_id").alias("cut_id"), F.col("kept").alias("cut_text"), F.col("text_key").alias("cut_key"))
-    rows = _boxed(docs, "text", "n_chars")
-    joined = rows.join(cut.dropDuplicates(["cut_id", "cut_key"]), F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("key") == F.col("cut_key")))
+    cut = radix_dedup.remove_repeats(docs, with_text=True).select(_mark(F.col("doc_id"), F.col("text_key")).alias("mark"), F.col("kept").alias("cut_text"))
+    joined = _boxed(docs, "text", "n_chars").join(cut.dropDuplicates(["mark"]), "mark")
     changed = {"text": F.col("cut_text"), "n_chars": F.length("cut_text").cast("long")}
     return joined.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`") for c in docs.columns])
 
