@@ -40,23 +40,57 @@ _COLUMNS = [
 ]
 
 
-def delivery_defects(raw: DataFrame, kinds: Iterable[str] = (LATE, RESTATED, NEAR)) -> DataFrame:
-    """Late arrivals, restatements and near duplicates, from one summary per key and drop.
+def key_drops(raw: DataFrame) -> DataFrame:
+    """One row per key and drop: the metrics that survive in it, and which of them vary.
 
-    The summary is a hash aggregation over fixed-width buffers; copies of a key inside
-    a drop collapse before the shuffle. What is then ordered per key is its *drops*:
-    bounded by the number of files, however many rows the key has.
+    A hash aggregation over fixed-width buffers; copies of a key inside a drop collapse
+    before the shuffle.
     """
-    first = {name: F.max_by(name, "_row_in_file") for name in METRICS}
+    surviving = {name: F.max_by(name, "_row_in_file") for name in METRICS}
     varied = {
         name: (F.min(name) < F.max(name))
         | ((F.count(name) > 0) & (F.count(name) < F.count("*")))
         for name in METRICS
     }
-    summary = raw.groupBy(*KEY, "_drop_date", "_source_file").agg(
-        *[value.alias(name) for name, value in first.items()],
+    return raw.groupBy(*KEY, "_drop_date", "_source_file").agg(
+        *[value.alias(name) for name, value in surviving.items()],
         *[F.coalesce(v, F.lit(False)).alias(f"{name}_varies") for name, v in varied.items()],
     )
+
+
+def last_delivered(drops: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """The newest drop of every key with its metrics, from ``key_drops`` rows.
+
+    ``before`` is an earlier result, of drops that all come before these.
+    """
+    columns = [*KEY, *METRICS, "_drop_date", "_source_file"]
+    rows = drops.select(*columns)
+    if before is not None:
+        rows = rows.unionByName(before.select(*columns))
+    values = [*METRICS, "_drop_date", "_source_file"]
+    # Structs compare field by field, nulls first: the order that drops have.
+    newest = F.max_by(F.struct(*values), F.struct("_drop_date", "_source_file"))
+    return rows.groupBy(*KEY).agg(newest.alias("newest")).select(*KEY, "newest.*")
+
+
+def delivery_defects(raw: DataFrame, kinds: Iterable[str] = (LATE, RESTATED, NEAR)) -> DataFrame:
+    """Late arrivals, restatements and near duplicates, from one summary per key and drop."""
+    return drop_defects(key_drops(raw), kinds=kinds)
+
+
+def drop_defects(
+    drops: DataFrame, before: DataFrame | None = None, kinds: Iterable[str] = (LATE, RESTATED, NEAR)
+) -> DataFrame:
+    """The same from ``key_drops`` rows; with ``before``, those of later drops only.
+
+    ``before`` holds the ``last_delivered`` rows of all drops that come before these: the
+    one row of a key that a new drop is compared with. What is ordered per key is its
+    *drops*: bounded by the number of files, however many rows the key has.
+    """
+    summary = drops.withColumn("logged", F.lit(False))
+    if before is not None:
+        known = before.select(*KEY, *METRICS, "_drop_date", "_source_file", F.lit(True).alias("logged"))
+        summary = summary.unionByName(known, allowMissingColumns=True)
     history = Window.partitionBy(*KEY).orderBy(F.asc_nulls_first("_drop_date"), "_source_file")
     values = F.struct(*METRICS)
     seen = summary.withColumns(
@@ -91,7 +125,7 @@ def delivery_defects(raw: DataFrame, kinds: Iterable[str] = (LATE, RESTATED, NEA
             ),
         ),
     }
-    return _exploded(seen, [found[kind] for kind in kinds])
+    return _exploded(seen.filter("not logged"), [found[kind] for kind in kinds])
 
 
 def row_defects(
@@ -177,10 +211,18 @@ def observed_layouts(raw: DataFrame) -> DataFrame:
 def defect_log(raw: DataFrame, layouts: DataFrame | None = None) -> DataFrame:
     """All defects of all kinds."""
     layouts = observed_layouts(raw) if layouts is None else layouts
-    log = delivery_defects(raw)
-    for part in (row_defects(raw), exact_duplicates(raw), missing_days(raw), schema_drifts(layouts)):
-        log = log.unionByName(part)
-    return log
+    return new_defects(raw, key_drops(raw)).unionByName(calendar_defects(raw, layouts))
+
+
+def new_defects(raw: DataFrame, drops: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Defects of rows. ``drops`` are the ``key_drops`` of ``raw``; ``before`` as for them."""
+    log = drop_defects(drops, before)
+    return log.unionByName(row_defects(raw)).unionByName(exact_duplicates(raw))
+
+
+def calendar_defects(delivered: DataFrame, layouts: DataFrame) -> DataFrame:
+    """Defects of days; of ``delivered`` only the drop dates are read."""
+    return missing_days(delivered).unionByName(schema_drifts(layouts))
 
 
 def defect_counts(log: DataFrame) -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dayledger.config import DEFAULTS, Settings
-from dayledger.operators import checks, defects
+from dayledger.operators import checks
 from dayledger.operators.dimension import dim_creative
 from dayledger.operators.fact import creative_daily
 from dayledger.operators.latest import latest_deliveries
+from dayledger.plans.defect_log import log_defects
 from dayledger.plans.incremental import stored_lookback_start, within_lookback
 from dayledger.plans.snapshot import write_snapshot
 from dayledger.sources.ingest import LOADED, RunSummary, ingest
@@ -100,16 +101,6 @@ def run_checks(
     return store.check_results()
 
 
-def log_defects(store: Store) -> DataFrame:
-    """Profile the raw table for defects, keep the log, return it.
-
-    Layout changes come from the file headers in the load log, not from the rows.
-    """
-    layouts = store.load_log().filter(F.col("status") == LOADED).select("drop_date", "layout")
-    store.replace("defect_log", defects.defect_log(store.raw(), layouts), by=["defect_type"])
-    return store.defect_log()
-
-
 def run_daily(
     store: Store,
     drops_folder: str,

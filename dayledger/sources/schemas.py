@@ -130,6 +130,22 @@ DEFECT_LOG = T.StructType(
         T.StructField("creative_id", T.StringType()),
         T.StructField("detail", T.MapType(T.StringType(), T.StringType())),
         T.StructField("defect_type", T.StringType()),
+        # The run that found it, or "calendar": days are looked at anew by every run.
+        T.StructField("logged_in", T.StringType()),
+    ]
+)
+
+# What the next run compares new drops with: the newest drop of every key, by event day
+# (parts "day-..."), and the files that earlier runs profiled (parts "run-..."). Both sorts
+# of rows are in one table so that they are published at once.
+LAST_DELIVERED = T.StructType(
+    [T.StructField("date", T.DateType())]
+    + [T.StructField(name, T.StringType()) for name in ("campaign_id", "adset_id", "creative_id")]
+    + [T.StructField(name, T.DoubleType()) for name in METRICS]
+    + [
+        T.StructField("_drop_date", T.DateType()),
+        T.StructField("_source_file", T.StringType()),
+        T.StructField("part", T.StringType()),
     ]
 )
 

@@ -27,6 +27,7 @@ from dayledger.sources.schemas import (
     DEFECT_LOG,
     DIMENSION,
     FACT,
+    LAST_DELIVERED,
     LOAD_LOG,
     QUARANTINE,
     RAW,
@@ -36,7 +37,9 @@ from dayledger.sources.schemas import (
 
 
 # Tables that are replaced.
-VERSIONED = {"staging", "dim_creative", "fct_creative_daily", "check_results", "defect_log"}
+VERSIONED = {
+    "staging", "dim_creative", "fct_creative_daily", "check_results", "defect_log", "last_delivered",
+}
 _VERSION, _MANIFESTS = "version", "_manifests"
 
 
@@ -76,7 +79,14 @@ class Store:
         return self._read("check_results", CHECK_RESULTS)
 
     def defect_log(self) -> DataFrame:
-        return self._read("defect_log", DEFECT_LOG)
+        return self._read("defect_log", DEFECT_LOG).drop("logged_in")
+
+    def last_delivered(self) -> DataFrame:
+        return self._read("last_delivered", LAST_DELIVERED)
+
+    def parts(self, table: str, by: str) -> set[str]:
+        """Values of the partition column of a replaced table, as published."""
+        return {name.removeprefix(f"{by}=") for name in self._manifest(table)}
 
     def quarantine(self) -> DataFrame:
         """Lines of rejected files; ``block, position`` is their order in the file."""
@@ -92,13 +102,20 @@ class Store:
         (writer.partitionBy(*by) if by else writer).parquet(self._version(table, version))
         self._publish(table, self._partitions(table, version, by))
 
-    def replace_partitions(self, table: str, rows: DataFrame, by: list[str], balance: bool = True) -> None:
-        """Replace the partitions that ``rows`` has; all others stay untouched."""
+    def replace_partitions(
+        self, table: str, rows: DataFrame, by: list[str], balance: bool = True, instead_of: str | None = None
+    ) -> None:
+        """Replace the partitions that ``rows`` has; all others stay untouched.
+
+        ``instead_of`` is a partition of a versioned table that goes even if ``rows`` has
+        nothing for it.
+        """
         rows = _balanced(rows, by) if balance else rows
         if table in VERSIONED:
             version = uuid.uuid4().hex
             rows.write.partitionBy(*by).parquet(self._version(table, version))
-            self._publish(table, self._manifest(table) | self._partitions(table, version, by))
+            kept = {n: v for n, v in self._manifest(table).items() if n != f"{by[0]}={instead_of}"}
+            self._publish(table, kept | self._partitions(table, version, by))
             return
         (
             rows.write.mode("overwrite")
