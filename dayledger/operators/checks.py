@@ -1,7 +1,10 @@
-"""Data checks. A check is a DataFrame of violating rows plus a severity."""
+"""Data checks. A check is an entry of a registry: a name, a severity, and its violating rows."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,40 +96,117 @@ def unexpected_in_fact(fact: DataFrame, truth: DataFrame) -> DataFrame:
     return lacking(fact.select(*CREATIVE_DAY), _dated(truth))
 
 
-def check_results(
-    fact: DataFrame, dimension: DataFrame, truth: DataFrame | None = None, settings: Settings = DEFAULTS
+Tables = dict[str, DataFrame]
+
+
+@dataclass(frozen=True)
+class RowCheck:
+    """Rows of a table that meet a condition. All such checks of a table share one scan."""
+
+    name: str
+    table: str
+    violated: Callable[[], Column]
+    severity: str = ERROR
+
+    @property
+    def reads(self) -> tuple[str, ...]:
+        return (self.table,)
+
+
+@dataclass(frozen=True)
+class TableCheck:
+    """Violating rows as a query of their own over the tables it reads."""
+
+    name: str
+    reads: tuple[str, ...]
+    violations: Callable[[Tables, Settings], DataFrame]
+    severity: str = ERROR
+    # Column that says how many failures a violating row stands for; without it, one.
+    weight: str | None = None
+
+
+def _is_null(column: str) -> Callable[[], Column]:
+    return lambda: F.col(column).isNull()
+
+
+REGISTRY: tuple[RowCheck | TableCheck, ...] = (
+    *(RowCheck(f"not_null_fct_{name}", "fact", _is_null(name)) for name in REQUIRED_IN_FACT),
+    RowCheck("clicks_lte_impressions", "fact", m.clicks_exceed_impressions, WARN),
+    RowCheck("not_null_dim_creative_id", "dimension", _is_null("creative_id")),
+    TableCheck(
+        "unique_fct_creative_daily_id", ("fact",), lambda t, _: repeated_values(t["fact"], "creative_daily_id")
+    ),
+    TableCheck("unique_dim_creative_id", ("dimension",), lambda t, _: repeated_values(t["dimension"], "creative_id")),
+    TableCheck(
+        "relationships_fct_creative_id",
+        ("fact", "dimension"),
+        lambda t, _: orphans(t["fact"], t["dimension"], "creative_id"),
+        weight="rows",
+    ),
+    TableCheck(
+        "reconciliation_within_lookback",
+        ("fact", "truth"),
+        lambda t, settings: reconciliation(t["fact"], t["truth"], settings),
+    ),
+)
+
+
+def applicable(tables: Tables, registry: Iterable[RowCheck | TableCheck] = REGISTRY) -> list[RowCheck | TableCheck]:
+    """Checks whose tables are all there, in the registry's order; names have to be distinct."""
+    entries = [check for check in registry if set(check.reads) <= set(tables)]
+    names = [check.name for check in entries]
+    if len(set(names)) < len(names):
+        raise ValueError(f"checks of one name: {sorted({n for n in names if names.count(n) > 1})}")
+    return entries
+
+
+def violations(
+    tables: Tables, registry: Iterable[RowCheck | TableCheck] = REGISTRY, settings: Settings = DEFAULTS
 ) -> DataFrame:
-    """``(check_name, severity, failures, status)``, one row per check.
+    """``(check_name, severity, failures, event_date, creative_id, record)``: violating rows of all checks.
 
-    Row-wise checks share one pass over the fact instead of one pass each.
+    ``record`` is the row as JSON, ``failures`` what it counts for. Day and creative are
+    null where a check's rows have none. Checks whose tables are not given do not run.
     """
-    row_wise = fact.agg(
-        *[F.count_if(F.col(name).isNull()).alias(f"not_null_fct_{name}") for name in REQUIRED_IN_FACT],
-        F.count_if(m.clicks_exceed_impressions()).alias("clicks_lte_impressions"),
-    )
-    results = _unpivoted(row_wise, {"clicks_lte_impressions": WARN})
-    results = results.unionByName(
-        _unpivoted(
-            dimension.agg(F.count_if(F.col("creative_id").isNull()).alias("not_null_dim_creative_id"))
-        )
+    entries = applicable(tables, registry)
+    by_table: dict[str, list[RowCheck]] = {}
+    for check in entries:
+        if isinstance(check, RowCheck):
+            by_table.setdefault(check.table, []).append(check)
+    parts = [_row_violations(tables[name], checks) for name, checks in by_table.items()]
+    for check in entries:
+        if isinstance(check, TableCheck):
+            rows = check.violations(tables, settings)
+            failures = F.lit(1) if check.weight is None else F.col(check.weight)
+            parts.append(_kept(rows, F.lit(check.name), F.lit(check.severity), failures))
+    if not parts:
+        raise ValueError("no check can run on these tables")
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+def results_of(found: DataFrame, entries: Iterable[RowCheck | TableCheck]) -> DataFrame:
+    """``(check_name, severity, failures, status)``, one row per check, from ``violations`` rows."""
+    ran = [F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity")) for c in entries]
+    checks = found.sparkSession.range(1).select(F.inline(F.array(*ran)))
+    counted = found.groupBy("check_name").agg(F.sum("failures").alias("counted"))
+    results = checks.join(counted, "check_name", "left").select(
+        "check_name", "severity", F.coalesce("counted", F.lit(0).cast("bigint")).alias("failures")
     )
-    counted = {
-        "unique_fct_creative_daily_id": _count(repeated_values(fact, "creative_daily_id")),
-        "unique_dim_creative_id": _count(repeated_values(dimension, "creative_id")),
-        "relationships_fct_creative_id": orphans(fact, dimension, "creative_id").agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("failures")
-        ),
-    }
-    if truth is not None:
-        counted["reconciliation_within_lookback"] = _count(reconciliation(fact, truth, settings))
-    for name, failures in counted.items():
-        results = results.unionByName(
-            failures.select(F.lit(name).alias("check_name"), F.lit(ERROR).alias("severity"), "failures")
-        )
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == WARN, "warn")
     return results.withColumn("status", status.otherwise("fail"))
 
 
+def check_results(
+    fact: DataFrame, dimension: DataFrame, truth: DataFrame | None = None, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Results of the registered checks; without ``truth``, of those that do not need it."""
+    tables = {"fact": fact, "dimension": dimension} | ({} if truth is None else {"truth": truth})
+    return results_of(violations(tables, settings=settings), applicable(tables))
+
+
 def raise_on_errors(results: DataFrame) -> None:
     """Stop the run if a check of severity "error" failed; warnings only report."""
     failed = results.filter("status = 'fail'").orderBy("check_name").collect()
@@ -148,18 +228,33 @@ def _uncorrected_defect() -> Column:
     return m.any_metric_missing() | impossible | F.col("had_same_drop_duplicate")
 
 
-def _count(violations: DataFrame) -> DataFrame:
-    return violations.agg(F.count("*").alias("failures"))
-
-
-def _unpivoted(counts: DataFrame, severities: dict[str, str] | None = None) -> DataFrame:
-    severities = severities or {}
+def _row_violations(table: DataFrame, checks: list[RowCheck]) -> DataFrame:
+    violated = F.lit(False)
+    for check in checks:
+        violated = violated | check.violated()
+    # A row that violates nothing, nearly all of them, ends at the filter.
     entries = [
-        F.struct(
-            F.lit(name).alias("check_name"),
-            F.lit(severities.get(name, ERROR)).alias("severity"),
-            F.col(name).alias("failures"),
+        F.when(
+            check.violated(),
+            F.struct(F.lit(check.name).alias("check_name"), F.lit(check.severity).alias("severity")),
         )
-        for name in counts.columns
+        for check in checks
     ]
-    return counts.select(F.inline(F.array(*entries)))
+    broken = table.filter(violated).select(
+        F.explode(F.array_compact(F.array(*entries))).alias("_broken"), F.struct("*").alias("_row")
+    )
+    row = broken.select("_broken", "_row.*")
+    return _kept(row, F.col("_broken.check_name"), F.col("_broken.severity"), F.lit(1))
+
+
+def _kept(rows: DataFrame, name: Column, severity: Column, failures: Column) -> DataFrame:
+    columns = [c for c in rows.columns if c != "_broken"]
+    known = lambda column, kind: F.col(column) if column in columns else F.lit(None).cast(kind)
+    return rows.select(
+        name.alias("check_name"),
+        severity.alias("severity"),
+        failures.cast("bigint").alias("failures"),
+        known("event_date", "date").alias("event_date"),
+        known("creative_id", "string").alias("creative_id"),
+        F.to_json(F.struct(*columns)).alias("record"),
+    )

@@ -433,4 +433,39 @@ ORACLE: dict[str, str] = {
         select="""select date as event_date, count(*) as creative_days
           from (select distinct date, campaign_id, adset_id, creative_id from raw) group by date"""
     ),
+    "check_violations": _with(
+        _MID_HISTORY, _FACT, _RECON,
+        select="""select 'clicks_lte_impressions' as check_name, 'warn' as severity, cast(1 as bigint) as failures,
+            event_date, creative_id, cast(null as varchar) as issue
+          from fact where clicks > impressions
+          union all
+          select 'relationships_fct_creative_id', 'error', count(*), null, creative_id, null
+          from fact where creative_id not in (select creative_id from raw where _drop_date <= date '2026-01-03')
+          group by creative_id
+          union all
+          select 'reconciliation_within_lookback', 'error', 1, event_date, creative_id, issue from recon""",
+    ),
+    "raw_lineage": _with(
+        select="""select * replace (
+            row_number() over (partition by _source_file order by _row_in_file) - 1 as _row_in_file) from raw"""
+    ),
+    "second_run_log": _with(
+        select="""select _source_file as file_name, 'loaded' as status, count(*) as row_count,
+            '' as reason, _drop_date as drop_date,
+            case when _drop_date < date '2026-02-20' then 'early' else 'late' end as layout,
+            min(date) as first_event_date, max(date) as last_event_date
+          from raw group by _source_file, _drop_date"""
+    ),
+    "stored_incremental_staging": _with(
+        _INCREMENTAL,
+        select="""select * from target where event_date < (select start from lookback)
+          union all select * from recomputed""",
+    ),
+    "defect_log_replay": _with(
+        _DEFECTS,
+        select=" union all ".join(
+            f"select defect_type, event_date, drop_date, campaign_id, adset_id, creative_id from {kind}"
+            for kind in ("late", "restated", "exact", "near", "blank", "impossible", "absent", "drift")
+        ),
+    ),
 }

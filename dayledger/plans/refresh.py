@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -93,10 +94,23 @@ def refresh_marts(store: Store, settings: Settings = DEFAULTS, since: date | Non
 
 
 def run_checks(
-    store: Store, truth: DataFrame | None = None, settings: Settings = DEFAULTS
+    store: Store,
+    truth: DataFrame | None = None,
+    settings: Settings = DEFAULTS,
+    registry: Iterable[checks.RowCheck | checks.TableCheck] = checks.REGISTRY,
 ) -> DataFrame:
-    """Run all checks on the stored marts, keep the results, return them."""
-    results = checks.check_results(store.fact(), store.dimension(), truth, settings)
+    """Run all checks on the stored marts, keep violating rows and results, return the results.
+
+    The rows are written once, under the run's name, and counted from there.
+    """
+    tables = {"fact": store.fact(), "dimension": store.dimension()}
+    tables |= {} if truth is None else {"truth": truth}
+    registry = tuple(registry)
+    run = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S.%f}"
+    found = checks.violations(tables, registry, settings).withColumn("run", F.lit(run))
+    store.replace_partitions("check_violations", found, by=["run"])
+    kept = store.check_violations().filter(F.col("run") == run)
+    results = checks.results_of(kept, checks.applicable(tables, registry))
     store.replace("check_results", results.coalesce(1))
     return store.check_results()
 

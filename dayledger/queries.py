@@ -16,9 +16,11 @@ from dayledger.operators import checks, defects, freshness, reports
 from dayledger.operators.dimension import attribute_conflicts, dim_creative, entity_counts
 from dayledger.operators.fact import creative_daily, with_ratios
 from dayledger.operators.latest import latest_deliveries, same_drop_repeats, typed
+from dayledger.plans.defect_log import log_defects
 from dayledger.plans.incremental import lookback_start, merged, within_lookback
+from dayledger.plans.refresh import refresh_staging
 from dayledger.plans.snapshot import snapshot_head, snapshot_lines
-from dayledger.sources import lineitem
+from dayledger.sources import files, lineitem
 from dayledger.sources.ingest import ingest
 from dayledger.sources.schemas import DELIVERED, EARLY_LAYOUT, LATE_LAYOUT
 from dayledger.sources.tables import Store, scratch_folder, settled
@@ -353,6 +355,78 @@ def streamed_creative_days(spark, folder):
     return store.staging().groupBy("event_date").agg(F.count("*").alias("creative_days"))
 
 
+def check_violations(spark, folder):
+    """On mid-history marts with a dimension that is not up to date, so that several checks fail."""
+    raw, staged = _loaded(spark, folder)
+    tables = {
+        "fact": with_ratios(staged),
+        "dimension": dim_creative(latest_deliveries(raw.filter(F.col("_drop_date") <= F.lit(STALE_SINCE)))),
+        "truth": lineitem.truth(spark, folder),
+    }
+    found = checks.violations(tables)
+    return found.select(*found.columns[:-1], F.get_json_object("record", "$.issue").alias("issue"))
+
+
+class _DatedDrops:
+    """Deliveries as one CSV file per drop, named by its date, that arrive step by step."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        root = scratch_folder(spark)
+        self._spark, self._made, self.drops = spark, f"{root}/made", f"{root}/drops"
+        self.store = Store(spark, f"{root}/warehouse")
+        raw = settled(lineitem.deliveries(spark, folder))
+        late = F.col("_drop_date") >= F.lit(_LATE_FROM)
+        self._write(raw.filter(~late), EARLY_LAYOUT)
+        self._write(raw.filter(late).withColumnRenamed("spend", "cost"), LATE_LAYOUT)
+
+    def _write(self, rows: DataFrame, layout: list[str]) -> None:
+        ordered = rows.repartition("_drop_date").sortWithinPartitions("_drop_date", "_row_in_file")
+        # The text source creates the folder that files are then moved to.
+        ordered.select(*layout, "_drop_date").write.mode("append").partitionBy("_drop_date").csv(self._made, header=True)
+        ordered.limit(0).select("campaign_id").write.mode("append").text(self.drops)
+
+    def arrive(self, until: date | None = None) -> None:
+        """Load the files up to a drop date that have not arrived before, or all."""
+        for name in files.names_in(self._spark, self._made):
+            day = name.removeprefix("_drop_date=")
+            if name == day or (until is not None and day > until.isoformat()):
+                continue
+            parts = [n for n in files.names_in(self._spark, f"{self._made}/{name}") if n.startswith("part-")]
+            for part in parts:
+                files.move(self._spark, f"{self._made}/{name}/{part}", f"{self.drops}/drop_{day}.csv")
+        ingest(self.store, self.drops)
+
+
+def raw_lineage(spark, folder):
+    delivered = _DatedDrops(spark, folder)
+    delivered.arrive()
+    return delivered.store.raw().drop("_loaded_at")
+
+
+def second_run_log(spark, folder):
+    delivered = _DatedDrops(spark, folder)
+    delivered.arrive(LOADED_UNTIL)
+    delivered.arrive()
+    return delivered.store.load_log().drop("loaded_at")
+
+
+def stored_incremental_staging(spark, folder):
+    delivered = _DatedDrops(spark, folder)
+    delivered.arrive(LOADED_UNTIL)
+    refresh_staging(delivered.store)
+    delivered.arrive()
+    refresh_staging(delivered.store)
+    return delivered.store.staging()
+
+
+def defect_log_replay(spark, folder):
+    delivered = _DatedDrops(spark, folder)
+    for until in (_LATE_FROM, LOADED_UNTIL, None):
+        delivered.arrive(until)
+        log_defects(delivered.store)
+    return delivered.store.defect_log().drop("detail")
+
+
 REGISTRY: dict[str, Query] = {
     "deliveries": deliveries,
     "staging_dedup": staging_dedup,
@@ -399,4 +473,9 @@ REGISTRY: dict[str, Query] = {
     "ingested_by_layout": ingested_by_layout,
     "quarantined_lines": quarantined_lines,
     "streamed_creative_days": streamed_creative_days,
+    "check_violations": check_violations,
+    "raw_lineage": raw_lineage,
+    "second_run_log": second_run_log,
+    "stored_incremental_staging": stored_incremental_staging,
+    "defect_log_replay": defect_log_replay,
 }

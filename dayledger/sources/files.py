@@ -124,6 +124,12 @@ def publish_text(spark: SparkSession, path: str, content: str) -> None:
         raise OSError(f"{path} could not be published")
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    path, fs = _file_system(spark, source)
+    if not fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not be moved")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path, fs = _file_system(spark, path)
     return fs.exists(hadoop_path)

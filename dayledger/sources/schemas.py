@@ -157,3 +157,16 @@ CHECK_RESULTS = T.StructType(
         T.StructField("status", T.StringType()),
     ]
 )
+
+CHECK_VIOLATIONS = T.StructType(
+    [
+        T.StructField("check_name", T.StringType()),
+        T.StructField("severity", T.StringType()),
+        T.StructField("failures", T.LongType()),
+        T.StructField("event_date", T.DateType()),
+        T.StructField("creative_id", T.StringType()),
+        T.StructField("record", T.StringType()),
+        # When the checks ran; names sort by time.
+        T.StructField("run", T.StringType()),
+    ]
+)

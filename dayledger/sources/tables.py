@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from dayledger.sources import files
 from dayledger.sources.schemas import (
     CHECK_RESULTS,
+    CHECK_VIOLATIONS,
     DEFECT_LOG,
     DIMENSION,
     FACT,
@@ -38,7 +39,8 @@ from dayledger.sources.schemas import (
 
 # Tables that are replaced.
 VERSIONED = {
-    "staging", "dim_creative", "fct_creative_daily", "check_results", "defect_log", "last_delivered",
+    "staging", "dim_creative", "fct_creative_daily", "check_results", "check_violations",
+    "defect_log", "last_delivered",
 }
 _VERSION, _MANIFESTS = "version", "_manifests"
 
@@ -78,6 +80,10 @@ class Store:
     def check_results(self) -> DataFrame:
         return self._read("check_results", CHECK_RESULTS)
 
+    def check_violations(self) -> DataFrame:
+        """Violating rows of all checks and runs."""
+        return self._read("check_violations", CHECK_VIOLATIONS)
+
     def defect_log(self) -> DataFrame:
         return self._read("defect_log", DEFECT_LOG).drop("logged_in")
 

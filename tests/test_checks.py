@@ -1,10 +1,15 @@
+import json
+
 import pytest
 from helpers import day, staged_row, staged_rows
+from pyspark.sql import functions as F
 
 from dayledger.operators import checks, reports
 from dayledger.operators.dimension import dim_creative
-from dayledger.operators.fact import creative_daily
+from dayledger.operators.fact import creative_daily, with_ratios
+from dayledger.plans.refresh import run_checks
 from dayledger.sources.schemas import TRUTH
+from dayledger.sources.tables import Store
 
 
 def truth_row(creative="cr", impressions=2000, clicks=20, spend=2.5, conversions=1, event="01-01"):
@@ -126,3 +131,57 @@ def test_flagged_share(spark):
     fact, _ = marts(spark, rows)
     found = {r.group_size: (r.campaign_days, r.flagged, r.flagged_share) for r in reports.flagged_share(fact).collect()}
     assert found == {5: (1, 1, 0.2), 1: (1, 1, 1.0)}
+
+
+def test_violating_rows_are_kept_whole(spark):
+    fact, dimension = marts(spark, [staged_row("a", impressions=10, clicks=20), staged_row(None), staged_row("b")])
+    tables = {"fact": fact, "dimension": dimension.filter("creative_id = 'a'")}
+    found = {r.check_name: r for r in checks.violations(tables).collect()}
+    assert set(found) == {
+        "clicks_lte_impressions", "not_null_fct_creative_daily_id", "not_null_fct_creative_id",
+        "relationships_fct_creative_id",
+    }
+    clicks = found["clicks_lte_impressions"]
+    assert (clicks.creative_id, clicks.event_date, clicks.failures) == ("a", day("01-01"), 1)
+    assert json.loads(clicks.record)["clicks"] == 20
+    assert json.loads(found["relationships_fct_creative_id"].record) == {"creative_id": "b", "rows": 1}
+
+
+def test_a_check_of_ones_own(spark):
+    fact, _ = marts(spark, [staged_row("a", spend=-1.0), staged_row("b")])
+    own = (
+        checks.RowCheck("spend_not_negative", "fact", lambda: F.col("spend") < 0, checks.WARN),
+        checks.TableCheck("needs_other", ("other",), lambda t, _: t["other"]),
+    )
+    entries = checks.applicable({"fact": fact}, own)
+    rows = checks.results_of(checks.violations({"fact": fact}, own), entries).collect()
+    assert [tuple(r) for r in rows] == [("spend_not_negative", "warn", 1, "warn")]
+    with pytest.raises(ValueError, match="one name"):
+        checks.applicable({"fact": fact}, own[:1] * 2)
+    with pytest.raises(ValueError, match="no check"):
+        checks.violations({"fact": fact}, own[1:])
+
+
+def test_row_checks_of_a_table_share_a_scan(spark, folder):
+    staged_rows(spark, [staged_row("a")]).write.parquet(f"{folder}/staged")
+    fact = with_ratios(spark.read.parquet(f"{folder}/staged"))
+    row_wise = [c for c in checks.REGISTRY if isinstance(c, checks.RowCheck) and c.table == "fact"]
+    assert len(row_wise) == 5
+    plan = checks.violations({"fact": fact}, row_wise)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_stored_violations_keep_every_run(spark, folder):
+    store = Store(spark, f"{folder}/warehouse")
+    dimension = None
+    for clicks in (20, 5, 30):
+        staged = staged_rows(spark, [staged_row("a", impressions=10, clicks=clicks), staged_row("b")])
+        fact, dimension = creative_daily(staged), dim_creative(staged)
+        store.replace("fct_creative_daily", fact, by=["event_date"])
+        store.replace("dim_creative", dimension)
+        results = {r.check_name: r.status for r in run_checks(store).collect()}
+        assert results["clicks_lte_impressions"] == ("warn" if clicks > 10 else "pass")
+        assert len(results) == 9
+    kept = store.check_violations().orderBy("run").collect()
+    assert [json.loads(r.record)["clicks"] for r in kept] == [20, 30]
+    assert len({r.run for r in kept}) == 2
