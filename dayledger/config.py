@@ -19,10 +19,6 @@ class Settings:
     first_day: date = date(2026, 1, 1)
     outage_day_index: int = 70
 
-    # Rows of a campaign-day above which it is not ranked in one task. It bounds a
-    # task's sort, so it does not depend on the size of the data.
-    hot_group_rows: int = 1_000_000
-
     @property
     def outage_day(self) -> date:
         return self.first_day + timedelta(days=self.outage_day_index)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.config import DEFAULTS, Settings
@@ -11,7 +11,6 @@ from dayledger.operators.ranks import ranked_values
 
 GROUP = ["campaign_id", "event_date"]
 _LARGEST_CTR = 16.0
-_KEY = "_campaign_day"
 
 # The names and the order of the published columns.
 FACT_COLUMNS = [
@@ -59,73 +58,37 @@ def with_ratios(staged: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 def creative_daily(staged: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """The fact table from staging rows.
 
-    Campaign-days are small as a rule, and one shuffle by (campaign, day) serves both
-    windows. Those above ``hot_group_rows``, a bound on what one task sorts whatever the
-    size of the data, take another way: their spend comes from a partial aggregation and
-    their ranks from ``ranked_values``. Which way a group takes is part of the plan, and
-    adaptive execution drops the second way where no group needs it.
+    A campaign-day of any size takes the same way and is never gathered in a task. Rows
+    with the same CTR share a rank, so a map-side-combined aggregation keeps one row per
+    campaign-day and CTR, with its spend; these are ranked in value buckets, and one join
+    brings rank and spend of the campaign-day back. The join has one row per key on the
+    right, and adaptive execution can split a skewed partition on either side.
     """
-    hot = hot_groups(staged, settings)
-    keyed = staged.withColumn(_KEY, F.struct(*GROUP))
-    # Both joins and the windows are dealt by one key, so they share a shuffle.
-    small = _rank_in_window(with_ratios(keyed.join(hot, _KEY, "left_anti"), settings))
-    large = _rank_by_value(with_ratios(keyed.join(hot, _KEY, "left_semi"), settings))
-    return _with_flag(small.unionByName(large), settings)
-
-
-def _with_flag(ranked: DataFrame, settings: Settings) -> DataFrame:
-    percentile = F.col("ctr_percentile_in_campaign_day")
-    flagged = F.coalesce(percentile <= F.lit(settings.top_share), F.lit(False))
-    return ranked.select(*FACT_COLUMNS[:-1], flagged.alias("is_top_decile_creative"))
-
-
-def hot_groups(rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Campaign-days too large for one task, as structs: in these, nulls are equal."""
-    sizes = rows.groupBy(F.struct(*GROUP).alias(_KEY)).agg(F.count("*").alias("group_rows"))
-    return sizes.filter(F.col("group_rows") > F.lit(settings.hot_group_rows)).select(_KEY)
-
-
-def _same_group(campaign: str, day: str) -> Column:
-    return F.col("campaign_id").eqNullSafe(F.col(campaign)) & F.col("event_date").eqNullSafe(
-        F.col(day)
-    )
-
-
-def _rank_in_window(rows: DataFrame) -> DataFrame:
-    group = Window.partitionBy(_KEY)
-    ranking = Window.partitionBy(_KEY, "meets_volume_floor").orderBy(F.desc("ctr"))
-    spend = F.sum(m.money("spend")).over(group).cast("double")
-    percentile = F.when(F.col("meets_volume_floor"), F.percent_rank().over(ranking))
-    return rows.select(
-        "*",
-        m.ratio(F.col("spend"), spend).alias("spend_share"),
-        percentile.alias("ctr_percentile_in_campaign_day"),
-    )
-
-
-def _rank_by_value(rows: DataFrame) -> DataFrame:
-    # Rows with the same CTR share a rank, so only distinct values are ordered; heavy
-    # ties collapse on the map side. The join back has one row per value on the right,
-    # a side adaptive execution can replicate to split a skewed left partition.
-    values = (
-        rows.filter("meets_volume_floor").groupBy(*GROUP, "ctr").agg(F.count("*").alias("n"))
+    rows = with_ratios(staged, settings)
+    values = rows.groupBy(*GROUP, "ctr").agg(
+        F.count_if("meets_volume_floor").alias("n"), F.sum(m.money("spend")).alias("spend")
     )
-    ranks = ranked_values(values, GROUP, "ctr", _LARGEST_CTR, descending=True).select(
+    ranks = ranked_values(values, GROUP, "ctr", _LARGEST_CTR, descending=True, sums=["spend"]).select(
         F.col("campaign_id").alias("r_campaign"),
         F.col("event_date").alias("r_day"),
         F.col("ctr").alias("r_ctr"),
         "ahead",
         "total",
+        F.col("spend_in_group").cast("double").alias("group_spend"),
     )
-    spend = rows.groupBy(F.col("campaign_id").alias("s_campaign"), F.col("event_date").alias("s_day"))
-    spend = spend.agg(F.sum(m.money("spend")).cast("double").alias("group_spend"))
+    same = F.lit(True)
+    for name, other in {"campaign_id": "r_campaign", "event_date": "r_day", "ctr": "r_ctr"}.items():
+        same = same & F.col(name).eqNullSafe(F.col(other))
     percent = F.when(F.col("total") > 1, F.col("ahead") / (F.col("total") - 1)).otherwise(0.0)
-    return (
-        rows.join(spend, _same_group("s_campaign", "s_day"))
-        .join(ranks, _same_group("r_campaign", "r_day") & F.col("ctr").eqNullSafe(F.col("r_ctr")), "left")
-        .select(
-            *rows.columns,
-            m.ratio(F.col("spend"), F.col("group_spend")).alias("spend_share"),
-            F.when(F.col("meets_volume_floor"), percent).alias("ctr_percentile_in_campaign_day"),
-        )
+    ranked = rows.join(ranks, same).select(
+        *rows.columns,
+        m.ratio(F.col("spend"), F.col("group_spend")).alias("spend_share"),
+        F.when(F.col("meets_volume_floor"), percent).alias("ctr_percentile_in_campaign_day"),
     )
+    return _with_flag(ranked, settings)
+
+
+def _with_flag(ranked: DataFrame, settings: Settings) -> DataFrame:
+    percentile = F.col("ctr_percentile_in_campaign_day")
+    flagged = F.coalesce(percentile <= F.lit(settings.top_share), F.lit(False))
+    return ranked.select(*FACT_COLUMNS[:-1], flagged.alias("is_top_decile_creative"))

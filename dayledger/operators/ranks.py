@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +18,12 @@ def ranked_values(
     value: str,
     largest: float,
     descending: bool = False,
+    sums: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``ahead`` (rows sorting before this value) and ``total`` (rows in the group).
 
+    Each column of ``sums`` is added up over the group, as ``<name>_in_group``.
+
     ``values`` holds one row per distinct value of a group with its row count ``n``,
     so ties are already collapsed. Values are cut into ordered buckets; rows ahead =
     rows in earlier buckets + rows with an earlier value in the same bucket. The
@@ -35,12 +40,13 @@ def ranked_values(
     group = Window.partitionBy(*(groups or [F.lit(0)]))
     starts = (
         bucketed.groupBy(*groups, "bucket")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n"), *[F.sum(name).alias(name) for name in sums])
         .select(
             *[F.col(name).alias(f"_{name}") for name in groups],
             F.col("bucket").alias("_bucket"),
             _before(group.orderBy("bucket")).alias("ahead_of_bucket"),
             F.sum("n").over(group).alias("total"),
+            *[F.sum(name).over(group).alias(f"{name}_in_group") for name in sums],
         )
     )
     same = F.col("bucket") == F.col("_bucket")
@@ -50,6 +56,7 @@ def ranked_values(
         *values.columns,
         (F.col("ahead_of_bucket") + F.col("ahead_in_bucket")).alias("ahead"),
         "total",
+        *[f"{name}_in_group" for name in sums],
     )
 
 

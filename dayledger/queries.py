@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.config import DEFAULTS
 from dayledger.functions import text
 from dayledger.functions.measures import creative_day_id
 from dayledger.operators import checks, defects, freshness, reports
@@ -37,9 +35,6 @@ STALE_SINCE = date(2026, 1, 3)
 # The drop from which files carry the late layout.
 _LATE_FROM = date(2026, 2, 20)
 
-# Sends every campaign-day through the branch for hot groups.
-_ALL_HOT = replace(DEFAULTS, hot_group_rows=0)
-
 
 def _staged(spark: SparkSession, folder: str) -> DataFrame:
     return latest_deliveries(lineitem.deliveries(spark, folder))
@@ -110,7 +105,8 @@ def ctr_percentile(spark, folder):
 
 
 def ctr_percentile_hot_groups(spark, folder):
-    return creative_daily(_stored_staging(spark, folder), _ALL_HOT).select(
+    """Share, rank and flag as campaign-days of any size get them: there is one way."""
+    return _fact(spark, folder).select(
         "event_date", "campaign_id", "adset_id", "creative_id", "spend_share",
         "ctr_percentile_in_campaign_day", "is_top_decile_creative",
     )

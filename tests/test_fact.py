@@ -1,5 +1,4 @@
 import random
-from dataclasses import replace
 
 import pytest
 from helpers import comparable, staged_row, staged_rows
@@ -8,16 +7,13 @@ from pyspark.sql import functions as F
 
 from dayledger.config import DEFAULTS
 from dayledger.operators.dimension import attribute_conflicts, dim_creative, entity_counts
-from dayledger.operators.fact import creative_daily, hot_groups
+from dayledger.operators.fact import creative_daily, with_ratios
 from dayledger.operators.ranks import exact_percentile, ranked_values
 
-ALL_HOT = replace(DEFAULTS, hot_group_rows=0)
 
-
-@pytest.fixture(params=["windows", "hot groups"])
-def settings(request):
-    """Both ways to rank have to give the same answers."""
-    return DEFAULTS if request.param == "windows" else ALL_HOT
+@pytest.fixture
+def settings():
+    return DEFAULTS
 
 
 def fact(spark, rows, settings):
@@ -120,21 +116,30 @@ def random_staged(seed, size):
     ]
 
 
-@pytest.mark.parametrize("bound", [0, 10, 40])
-def test_hot_branch_equals_windows(spark, bound):
-    staged = staged_rows(spark, random_staged(3, 900))
-    mixed = replace(DEFAULTS, hot_group_rows=bound)
-    assert not hot_groups(staged, mixed).isEmpty()
-    assert comparable(creative_daily(staged, mixed)) == comparable(creative_daily(staged))
+def in_windows(staged):
+    """Share and rank as windows over whole campaign-days give them."""
+    day = Window.partitionBy("campaign_id", "event_date")
+    ranking = Window.partitionBy("campaign_id", "event_date", "meets_volume_floor").orderBy(F.desc("ctr"))
+    spend = F.sum(F.col("spend").cast("decimal(18,2)")).over(day).cast("double")
+    return with_ratios(staged).select(
+        "event_date", "campaign_id", "creative_id",
+        F.when(spend != 0, F.col("spend") / spend).alias("spend_share"),
+        F.when(F.col("meets_volume_floor"), F.percent_rank().over(ranking)).alias("ctr_percentile_in_campaign_day"),
+    )
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_ranks_and_shares_equal_windows(spark, seed):
+    staged = staged_rows(spark, random_staged(seed, 900))
+    expected = in_windows(staged)
+    assert comparable(creative_daily(staged), expected.columns) == comparable(expected, expected.columns)
 
 
-def test_the_bound_of_a_group_does_not_grow_with_the_data(spark):
-    limits = replace(DEFAULTS, hot_group_rows=20)
-    few = staged_rows(spark, [staged_row(f"c{i}", campaign="a") for i in range(21)])
-    many = few.unionByName(staged_rows(spark, [staged_row(f"d{i}", campaign=f"b{i % 90}") for i in range(1800)]))
-    more = many.unionByName(staged_rows(spark, [staged_row(f"e{i}", campaign=f"b{i % 90}") for i in range(90)]))
-    assert [hot_groups(rows, limits).count() for rows in (few, many, more)] == [1, 1, 91]
-    assert comparable(creative_daily(more, limits)) == comparable(creative_daily(more))
+def test_one_campaign_day_and_no_rows(spark):
+    staged = staged_rows(spark, [staged_row(f"c{i}", impressions=1000 + i, clicks=i % 50) for i in range(3000)])
+    expected = in_windows(staged)
+    assert comparable(creative_daily(staged), expected.columns) == comparable(expected, expected.columns)
+    assert creative_daily(staged.filter("false")).isEmpty()
 
 
 def test_ranked_values_equal_plain_ranks(spark):
@@ -167,13 +172,12 @@ def test_exact_percentile_of_nothing(spark):
     assert exact_percentile(spark.createDataFrame([], "v bigint"), "v", 0.1, 1e11).first()[0] is None
 
 
-def test_both_windows_share_one_shuffle(spark):
-    # The plan as it ran: no group is above the bound, so the second way is gone.
+def test_no_task_gathers_a_campaign_day(spark):
+    # Windows run inside a value bucket, or over the buckets of a group; rows take part in neither.
     fact = creative_daily(staged_rows(spark, [staged_row()]))
-    fact.collect()
-    plan = fact._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.count("Window [") == 2
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and all("bucket" in line for line in windows)
 
 
 def test_dimension(spark):
