@@ -172,12 +172,13 @@ def test_exact_percentile_of_nothing(spark):
     assert exact_percentile(spark.createDataFrame([], "v bigint"), "v", 0.1, 1e11).first()[0] is None
 
 
-def test_no_task_gathers_a_campaign_day(spark):
-    # Windows run inside a value bucket, or over the buckets of a group; rows take part in neither.
+def test_windows_see_buckets_and_not_rows(spark):
+    # One inside a value bucket, two over the buckets of a group: all add up counted values.
     fact = creative_daily(staged_rows(spark, [staged_row()]))
     plan = fact._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 2 and all("bucket" in line for line in windows)
+    assert len(windows) == 3 and all("[sum(n#" in line or "sum(spend" in line for line in windows)
+    assert "rank(" not in plan
 
 
 def test_dimension(spark):
