@@ -55,30 +55,44 @@ def reconciliation(
 ) -> DataFrame:
     """Truth rows of the lookback window that the fact lacks or contradicts.
 
-    Rows with a defect that upstream never corrects are not compared. Rows that only
-    the fact has are not reported here; see ``unexpected_in_fact``.
+    A truth row without a fact row of its creative-day is one issue, and so is every pair
+    of a truth row and a fact row that differ. Rows with a defect that upstream never
+    corrects are not compared. Rows that only the fact has are not reported here; see
+    ``unexpected_in_fact``.
+
+    Nothing is joined: both tables are counted by creative-day and values, then by
+    creative-day. Of all pairs of a creative-day, those with equal values agree and the
+    others differ. Each table is read once, and a creative-day of any number of rows is
+    combined before the shuffle.
     """
     newest = fact.agg(F.max("event_date")).scalar()
     start = F.date_sub(newest, settings.lookback_days)
-    expected = _in_cents(_dated(truth).filter(F.col("event_date") >= start)).select(
-        *CREATIVE_DAY, F.struct(*METRICS).alias("expected")
+    expected = _in_cents(_dated(truth).filter(F.col("event_date") >= start))
+    # Without a creative a fact row answers for no truth row.
+    actual = _in_cents(fact.filter((F.col("event_date") >= start) & F.col("creative_id").isNotNull()))
+    values = (
+        _counted(expected, expected=F.lit(1), delivered=F.lit(0), compared=F.lit(0))
+        .unionByName(
+            _counted(
+                actual, expected=F.lit(0), delivered=F.lit(1),
+                compared=F.when(_uncorrected_defect(), 0).otherwise(1),
+            )
+        )
+        .groupBy(*CREATIVE_DAY, *METRICS)
+        .agg(*[F.sum(name).alias(name) for name in _COUNTS])
     )
-    recent = fact.filter(F.col("event_date") >= start)
-    missing = lacking(expected, recent).select(*CREATIVE_DAY, F.lit("missing_from_fct").alias("issue"))
-
-    differs = F.lit(False)
-    for name in METRICS:
-        differs = differs | ~F.col(f"actual.{name}").eqNullSafe(F.col(f"expected.{name}"))
-    actual = _in_cents(recent.filter(~_uncorrected_defect())).select(
-        *CREATIVE_DAY, F.struct(*METRICS).alias("actual")
+    days = values.groupBy(*CREATIVE_DAY).agg(
+        *[F.sum(name).alias(name) for name in _COUNTS],
+        F.sum(F.col("expected") * F.col("compared")).alias("agreeing"),
     )
-    # An inner join, of which adaptive execution can split a skewed key on either side.
-    mismatched = (
-        actual.join(expected, CREATIVE_DAY)
-        .filter(differs)
-        .select(*CREATIVE_DAY, F.lit("value_mismatch").alias("issue"))
+    absent = F.col("delivered") == 0
+    differing = F.col("expected") * F.col("compared") - F.col("agreeing")
+    found = days.select(
+        *CREATIVE_DAY,
+        F.when(absent, "missing_from_fct").otherwise("value_mismatch").alias("issue"),
+        F.when(absent, F.col("expected")).otherwise(differing).alias("times"),
     )
-    return missing.unionByName(mismatched)
+    return _repeated(found.filter("times > 0"), "times")
 
 
 def lacking(rows: DataFrame, fact: DataFrame) -> DataFrame:
@@ -222,6 +236,27 @@ def _in_cents(table: DataFrame) -> DataFrame:
     return table.withColumn("spend", m.rounded(F.col("spend"), 2))
 
 
+_COUNTS = ["expected", "delivered", "compared"]
+
+# Longest array that a row is repeated by; rows that are repeated oftener take several.
+_REPEATS = 10_000
+
+
+def _counted(table: DataFrame, **counts: Column) -> DataFrame:
+    return table.select(
+        *CREATIVE_DAY, *METRICS, *[count.cast("bigint").alias(name) for name, count in counts.items()]
+    )
+
+
+def _repeated(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as many times as its column ``times`` says, without that column."""
+    kept = [F.col(name) for name in rows.columns if name != times]
+    last = F.floor((F.col(times) - 1) / _REPEATS)
+    stretches = rows.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_stretch"))
+    left = F.least(F.lit(_REPEATS), F.col(times) - F.col("_stretch") * _REPEATS).cast("int")
+    return stretches.select(*kept, F.explode(F.array_repeat(F.lit(0), left)).alias("_copy")).drop("_copy")
+
+
 def _uncorrected_defect() -> Column:
     # Never unknown: with no metric missing the comparison has a definite answer.
     impossible = F.coalesce(m.clicks_exceed_impressions(), F.lit(False))

@@ -1,4 +1,6 @@
 import json
+import random
+from collections import Counter
 
 import pytest
 from helpers import day, staged_row, staged_rows
@@ -64,6 +66,54 @@ def test_window_is_inclusive(spark):
     assert issues(spark, staged, expected) == [("edge", "missing_from_fct")]
 
 
+def test_reconciliation_counts_pairs_of_repeated_creative_days(spark):
+    """Against a plain comparison of all truth rows with all fact rows."""
+    draw = random.Random(7)
+    staged = [
+        staged_row(
+            draw.choice(["a", "b", "c", None]), campaign=f"cmp{n}", clicks=draw.choice([20, 21, None]),
+            duplicate=draw.random() < 0.2, event=draw.choice(["01-01", "01-02"]),
+        )
+        for n in range(60)
+    ]
+    expected = [
+        truth_row(draw.choice(["a", "b", "d", None]), clicks=draw.choice([20, 21, 22]), event=draw.choice(["01-01", "01-02"]))
+        for _ in range(40)
+    ]
+    fact = with_ratios(staged_rows(spark, staged))
+    plain = Counter()
+    rows = fact.collect()
+    for want in truth(spark, expected).collect():
+        same_day = [r for r in rows if r.event_date == want.date and r.creative_id == want.creative_id is not None]
+        if not same_day:
+            plain[want.creative_id, want.date, "missing_from_fct"] += 1
+        for row in same_day:
+            if row.clicks is not None and not row.had_same_drop_duplicate and row.clicks != want.clicks:
+                plain[want.creative_id, want.date, "value_mismatch"] += 1
+    found = checks.reconciliation(fact, truth(spark, expected)).collect()
+    assert Counter((r.creative_id, r.event_date, r.issue) for r in found) == plain
+    assert {issue for _, _, issue in plain} == {"missing_from_fct", "value_mismatch"}
+
+
+def test_issues_repeat_beyond_one_array(spark, monkeypatch):
+    monkeypatch.setattr(checks, "_REPEATS", 4)
+    rows = spark.createDataFrame([("a", 1), ("b", 4), ("c", 5), ("d", 13)], "name string, times bigint")
+    assert Counter(r.name for r in checks._repeated(rows, "times").collect()) == {"a": 1, "b": 4, "c": 5, "d": 13}
+
+
+def test_reconciliation_reads_each_table_once_and_joins_nothing(spark, folder):
+    staged_rows(spark, [staged_row("a")]).write.parquet(f"{folder}/staged")
+    truth(spark, [truth_row("a")]).write.parquet(f"{folder}/truth")
+    fact = with_ratios(spark.read.parquet(f"{folder}/staged"))
+    found = checks.reconciliation(fact, spark.read.parquet(f"{folder}/truth"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    scans = [s for s in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in s]
+    # Other scans look up the newest day, of one column, and are one at run time.
+    assert sum("clicks" in s for s in scans) == 2
+    assert all("ReadSchema: struct<event_date:date>" in s for s in scans if "clicks" not in s)
+
+
 def test_unexpected_rows_are_a_check_of_their_own(spark):
     fact, _ = marts(spark, [staged_row("a"), staged_row("b")])
     assert [r.creative_id for r in checks.unexpected_in_fact(fact, truth(spark, [truth_row("a")])).collect()] == ["b"]
