@@ -10,6 +10,8 @@ from datetime import date, timedelta
 class Settings:
     # Event days behind the newest one that an incremental run recomputes.
     lookback_days: int = 7
+    # Files that one batch of the stream of arrivals takes at most.
+    files_per_batch: int = 1000
     # Daily impressions a creative needs before its CTR is ranked.
     impression_floor: int = 1000
     # Percent rank, inclusive, up to which a creative counts as a top performer.

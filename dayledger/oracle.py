@@ -468,4 +468,35 @@ ORACLE: dict[str, str] = {
             for kind in ("late", "restated", "exact", "near", "blank", "impossible", "absent", "drift")
         ),
     ),
+    "streamed_staging": _with(
+        _INCREMENTAL,
+        select="""select * from target where event_date < (select start from lookback)
+          union all select * from recomputed""",
+    ),
+    "freshness_after_loads": _with(
+        _STAGED, _FACT, _CLOCK, _TOP,
+        select="""select today, (select max(event_date) from fact) as latest_available_day,
+            final_day as latest_finalized_day, cast(today - final_day as int) as lag_days,
+            7 as lookback_days, (select count(distinct _source_file) from raw) as loaded_files,
+            cast(1 as bigint) as quarantined_files, 'warn' as files_status,
+            (select count(*) from top) as top_creatives
+          from clock""",
+    ),
+    "header_schema_drift": _defect_query("select * from drift"),
+    "reconciliation_from_file": _with(_MID_HISTORY, _FACT, _RECON, select="select * from recon"),
+    "run_counts": _with(
+        select="""
+          select cast(0 as int) as run, cast(0 as int) as skipped,
+            cast(count(distinct _source_file) as int) as loaded, cast(0 as int) as quarantined,
+            count(*) as rows_loaded, cast(null as date) as start, count(*) as rows_in,
+            count(distinct (date, campaign_id, adset_id, creative_id)) as rows_out
+          from raw where _drop_date <= date '2026-03-25'
+          union all
+          select 1, (select cast(count(distinct _source_file) as int) from raw where _drop_date <= date '2026-03-25'),
+            (select cast(count(distinct _source_file) as int) from raw where _drop_date > date '2026-03-25'), 0,
+            (select count(*) from raw where _drop_date > date '2026-03-25'), since,
+            (select count(*) from raw where date >= since),
+            (select count(distinct (date, campaign_id, adset_id, creative_id)) from raw where date >= since)
+          from (select cast(max(date) - interval 7 day as date) as since from raw where _drop_date <= date '2026-03-25')"""
+    ),
 }

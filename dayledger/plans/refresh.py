@@ -47,7 +47,15 @@ def refresh_staging(
     that arrives later than the window reaches is left to the next full refresh.
     """
     start = None if full_refresh else stored_lookback_start(store.staging(), settings)
-    raw = store.raw() if start is None else raw_since(store, start)
+    return rebuild_staging(store, start)
+
+
+def rebuild_staging(store: Store, start: date | None, undated: bool = False) -> StagingRun:
+    """Recompute staging from ``start`` on, with ``undated`` also its rows without an event day.
+
+    All of it where ``start`` is None.
+    """
+    raw = store.raw() if start is None else raw_since(store, start, undated)
 
     # Counted inside the one pass that does the work.
     read, written = Observation(), Observation()
@@ -60,9 +68,11 @@ def refresh_staging(
     return StagingRun(start, read.get.get("rows", 0), written.get.get("rows", 0))
 
 
-def raw_since(store: Store, start: date) -> DataFrame:
+def raw_since(store: Store, start: date, undated: bool = False) -> DataFrame:
     """Raw rows of event days from ``start`` on, reading only drops that can hold some.
 
+    Rows without an event day, which can be in any drop, are read too on request.
+
     Raw is partitioned by delivery, not by event day. The load log knows the newest
     event day in every file, so the oldest drop worth reading is exact, with no
     assumption on how late rows can be.
@@ -71,17 +81,23 @@ def raw_since(store: Store, start: date) -> DataFrame:
         (F.col("status") == LOADED) & (F.col("last_event_date") >= F.lit(start))
     )
     oldest_drop = relevant.agg(F.min("drop_date")).first()[0]
-    undated = F.col("_drop_date").isNull()
-    drops = undated if oldest_drop is None else undated | (F.col("_drop_date") >= F.lit(oldest_drop))
+    unknown = F.col("_drop_date").isNull()
+    drops = unknown if oldest_drop is None else unknown | (F.col("_drop_date") >= F.lit(oldest_drop))
+    if undated:
+        blank = F.col("date").isNull()
+        return store.raw().filter(blank | (drops & (F.col("date") >= F.lit(start))))
     return within_lookback(store.raw().filter(drops), start)
 
 
-def refresh_marts(store: Store, settings: Settings = DEFAULTS, since: date | None = None) -> None:
+def refresh_marts(
+    store: Store, settings: Settings = DEFAULTS, since: date | None = None, undated: bool = False
+) -> None:
     """Rebuild the dimension and the fact.
 
-    With ``since``, only fact days from there on are rebuilt: no measure of the fact
-    looks across days, and older staging days have not changed. Days that an earlier,
-    interrupted run refreshed in staging only are caught up with.
+    With ``since``, only fact days from there on are rebuilt (and, with ``undated``, rows
+    without a day): no measure of the fact looks across days, and older staging days have
+    not changed. Days that an earlier, interrupted run refreshed in staging only are
+    caught up with.
     """
     staged = store.staging()
     store.replace("dim_creative", dim_creative(staged))
@@ -89,7 +105,8 @@ def refresh_marts(store: Store, settings: Settings = DEFAULTS, since: date | Non
     if since is None or caught_up is None:
         store.replace("fct_creative_daily", creative_daily(staged, settings), by=_BY_DAY)
     else:
-        recent = staged.filter(F.col("event_date") >= F.lit(min(since, caught_up)))
+        rebuilt = F.col("event_date") >= F.lit(min(since, caught_up))
+        recent = staged.filter(rebuilt | F.col("event_date").isNull() if undated else rebuilt)
         store.replace_partitions("fct_creative_daily", creative_daily(recent, settings), by=_BY_DAY)
 
 

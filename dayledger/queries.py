@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dayledger.config import Settings
 from dayledger.functions import text
 from dayledger.functions.measures import creative_day_id
 from dayledger.operators import checks, defects, freshness, reports
@@ -16,12 +17,12 @@ from dayledger.operators.fact import creative_daily, with_ratios
 from dayledger.operators.latest import latest_deliveries, same_drop_repeats, typed
 from dayledger.plans.defect_log import log_defects
 from dayledger.plans.incremental import lookback_start, merged, within_lookback
-from dayledger.plans.refresh import refresh_staging
+from dayledger.plans.refresh import refresh_marts, refresh_staging
 from dayledger.plans.snapshot import snapshot_head, snapshot_lines
 from dayledger.sources import files, lineitem
-from dayledger.sources.ingest import ingest
+from dayledger.sources.ingest import RunSummary, ingest
 from dayledger.sources.schemas import DELIVERED, EARLY_LAYOUT, LATE_LAYOUT
-from dayledger.sources.tables import Store, scratch_folder, settled
+from dayledger.sources.tables import Store, read_truth, scratch_folder, settled
 from dayledger.streaming.arrivals import follow_drops
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -347,7 +348,7 @@ def quarantined_lines(spark, folder):
 
 def streamed_creative_days(spark, folder):
     store, drops = _delivered_files(spark, folder)
-    follow_drops(store, drops, store.path("checkpoint")).awaitTermination()
+    follow_drops(store, drops, store.path("checkpoint"))
     return store.staging().groupBy("event_date").agg(F.count("*").alias("creative_days"))
 
 
@@ -381,8 +382,13 @@ class _DatedDrops:
         ordered.select(*layout, "_drop_date").write.mode("append").partitionBy("_drop_date").csv(self._made, header=True)
         ordered.limit(0).select("campaign_id").write.mode("append").text(self.drops)
 
-    def arrive(self, until: date | None = None) -> None:
+    def arrive(self, until: date | None = None) -> RunSummary:
         """Load the files up to a drop date that have not arrived before, or all."""
+        self.deliver(until)
+        return ingest(self.store, self.drops)
+
+    def deliver(self, until: date | None = None) -> None:
+        """Put the files there without loading them."""
         for name in files.names_in(self._spark, self._made):
             day = name.removeprefix("_drop_date=")
             if name == day or (until is not None and day > until.isoformat()):
@@ -390,7 +396,10 @@ class _DatedDrops:
             parts = [n for n in files.names_in(self._spark, f"{self._made}/{name}") if n.startswith("part-")]
             for part in parts:
                 files.move(self._spark, f"{self._made}/{name}/{part}", f"{self.drops}/drop_{day}.csv")
-        ingest(self.store, self.drops)
+
+    def deliver_foreign(self, rows: DataFrame) -> None:
+        """Put files of a layout there that nobody knows."""
+        rows.write.mode("append").csv(self.drops, header=True)
 
 
 def raw_lineage(spark, folder):
@@ -423,6 +432,63 @@ def defect_log_replay(spark, folder):
     return delivered.store.defect_log().drop("detail")
 
 
+def streamed_staging(spark, folder):
+    """Two arrivals, the first of which the stream takes in several batches."""
+    delivered = _DatedDrops(spark, folder)
+    few = Settings(files_per_batch=50)
+    for until in (LOADED_UNTIL, None):
+        delivered.deliver(until)
+        follow_drops(delivered.store, delivered.drops, delivered.store.path("checkpoint"), few)
+    return delivered.store.staging()
+
+
+def freshness_after_loads(spark, folder):
+    """From the stored tables and the load log, with one file that could not be loaded."""
+    delivered = _DatedDrops(spark, folder)
+    raw = lineitem.deliveries(spark, folder)
+    delivered.deliver_foreign(checks.impossible_clicks(raw).select("creative_id", "clicks").coalesce(1))
+    delivered.arrive()
+    store = delivered.store
+    refresh_staging(store)
+    refresh_marts(store)
+    log = store.load_log()
+    drops = log.filter("row_count > 0").select(F.col("drop_date").alias("_drop_date"))
+    return freshness.freshness(drops, store.fact(), log)
+
+
+def header_schema_drift(spark, folder):
+    """Layout changes as the headers of the files show them."""
+    delivered = _DatedDrops(spark, folder)
+    delivered.arrive()
+    layouts = delivered.store.load_log().select("drop_date", "layout")
+    return _detailed(defects.schema_drifts(layouts), from_layout="string", to_layout="string")
+
+
+def reconciliation_from_file(spark, folder):
+    """Against the correct numbers as a CSV file has them."""
+    path = f"{scratch_folder(spark)}/truth"
+    lineitem.truth(spark, folder).write.csv(path, header=True)
+    _, staged = _loaded(spark, folder)
+    return checks.reconciliation(with_ratios(staged), read_truth(spark, path))
+
+
+def run_counts(spark, folder):
+    """What two runs of ingestion and refresh say about themselves: counts, one row per run."""
+    delivered = _DatedDrops(spark, folder)
+    runs = []
+    for until in (LOADED_UNTIL, None):
+        loads, staging = delivered.arrive(until), refresh_staging(delivered.store)
+        runs.append(
+            (len(runs), loads.skipped, loads.loaded, loads.quarantined, loads.rows_loaded,
+             staging.start, staging.rows_in, staging.rows_out)
+        )
+    return spark.createDataFrame(
+        runs,
+        "run int, skipped int, loaded int, quarantined int, rows_loaded long, "
+        "start date, rows_in long, rows_out long",
+    )
+
+
 REGISTRY: dict[str, Query] = {
     "deliveries": deliveries,
     "staging_dedup": staging_dedup,
@@ -474,4 +540,9 @@ REGISTRY: dict[str, Query] = {
     "second_run_log": second_run_log,
     "stored_incremental_staging": stored_incremental_staging,
     "defect_log_replay": defect_log_replay,
+    "streamed_staging": streamed_staging,
+    "freshness_after_loads": freshness_after_loads,
+    "header_schema_drift": header_schema_drift,
+    "reconciliation_from_file": reconciliation_from_file,
+    "run_counts": run_counts,
 }

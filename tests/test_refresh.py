@@ -4,9 +4,10 @@ from datetime import date
 
 import pytest
 from helpers import EARLY, comparable, write_drop, write_drops
-from pyspark.errors import PySparkException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 
+from dayledger.config import Settings
 from dayledger.operators import checks
 from dayledger.operators.fact import creative_daily
 from dayledger.operators.latest import latest_deliveries
@@ -14,6 +15,7 @@ from dayledger.plans.incremental import stored_lookback_start
 from dayledger.plans.refresh import (
     log_defects,
     raw_since,
+    rebuild_staging,
     refresh_marts,
     refresh_staging,
     run_checks,
@@ -24,9 +26,11 @@ from dayledger.sources import files, lineitem
 from dayledger.sources.ingest import ingest
 from dayledger.sources.schemas import CHECK_RESULTS
 from dayledger.sources.tables import Store, read_truth
+from dayledger.streaming import arrivals
 from dayledger.streaming.arrivals import follow_drops
 
 SMALL = "/root/testdata/sf0.001"
+ONE_FILE = Settings(files_per_batch=1)
 
 
 @pytest.fixture
@@ -235,15 +239,72 @@ def test_replaying_drop_by_drop_equals_one_full_build(spark, store, folder, drop
 def test_stream_equals_batch(spark, store, drops, folder, delivered):
     source, names = delivered
     copied(names[:50], source, drops)
-    follow_drops(store, drops, f"{folder}/checkpoint").awaitTermination()
+    follow_drops(store, drops, f"{folder}/checkpoint")
     assert store.load_log().count() == 50
     copied(names[50:], source, drops)
-    follow_drops(store, drops, f"{folder}/checkpoint").awaitTermination()
+    follow_drops(store, drops, f"{folder}/checkpoint")
     assert store.load_log().count() == len(names)
     expected = creative_daily(latest_deliveries(lineitem.deliveries(spark, SMALL)))
     assert comparable(store.fact()) == comparable(expected)
 
 
+def arrives(drops, name, lines, minute):
+    write_drop(drops, name, EARLY, lines)
+    at = 1_700_000_000 + 60 * minute
+    os.utime(f"{drops}/{name}", (at, at))
+
+
+def first_arrival(store, drops, folder):
+    """A window from the 13th on; then a file far beyond it before one with a late row."""
+    arrives(drops, "drop_2026-01-20.csv", [row("01-20")], 0)
+    follow_drops(store, drops, f"{folder}/checkpoint", ONE_FILE)
+    arrives(drops, "drop_2026-02-10.csv", [row("02-10", "new")], 1)
+    arrives(drops, "drop_2026-01-21.csv", [row("01-14", "late"), row("01-12", "too late")], 2)
+
+
+WITH_LATE_ROW = {("01-20", "cr"): 100, ("02-10", "new"): 100, ("01-14", "late"): 100}
+
+
+def test_batches_of_one_arrival_share_a_window(store, drops, folder):
+    first_arrival(store, drops, folder)
+    query = follow_drops(store, drops, f"{folder}/checkpoint", ONE_FILE)
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 2
+    assert staged(store) == WITH_LATE_ROW
+    assert store.fact().count() == 3
+    assert not os.path.exists(f"{store.path('_arrivals')}/window.json")
+
+
+def test_a_run_after_one_that_died_keeps_its_window(store, drops, folder, monkeypatch):
+    first_arrival(store, drops, folder)
+    rebuilt = []
+
+    def dies_in_the_second_batch(*args, **kwargs):
+        rebuilt.append(args[1])
+        if len(rebuilt) == 2:
+            raise RuntimeError("lost")
+        return rebuild_staging(*args, **kwargs)
+
+    monkeypatch.setattr(arrivals, "rebuild_staging", dies_in_the_second_batch)
+    with pytest.raises(StreamingQueryException):
+        follow_drops(store, drops, f"{folder}/checkpoint", ONE_FILE)
+    # The second batch holds an older day than the window, which bounds it.
+    assert rebuilt == [date(2026, 1, 13)] * 2
+    assert ("01-14", "late") not in staged(store)
+    follow_drops(store, drops, f"{folder}/checkpoint", ONE_FILE)
+    assert staged(store) == WITH_LATE_ROW
+
+
+def test_first_arrival_in_batches_keeps_rows_without_a_day(store, drops, folder):
+    for minute, creative in enumerate("abc"):
+        blank = f",cmp,as,{creative},video,feed,100,5,2.5,1"
+        arrives(drops, f"drop_2026-01-0{minute + 1}.csv", [blank, row(f"01-0{minute + 1}")], minute)
+    follow_drops(store, drops, f"{folder}/checkpoint", ONE_FILE)
+    for table in (store.staging(), store.fact()):
+        blank_days = table.filter("event_date is null").collect()
+        assert sorted(r.creative_id for r in blank_days) == ["a", "b", "c"]
+        assert table.count() == 6
+
+
 def test_daily_run(spark, store, drops):
     lines = [f"2026-01-01,cmp,as,cr_{i:02d},video,feed,2000,{i},2.5,1" for i in range(12)]
     write_drop(drops, "drop_2026-01-01.csv", EARLY, lines)
