@@ -371,10 +371,10 @@ class _DatedDrops:
         root = scratch_folder(spark)
         self._spark, self._made, self.drops = spark, f"{root}/made", f"{root}/drops"
         self.store = Store(spark, f"{root}/warehouse")
-        raw = settled(lineitem.deliveries(spark, folder))
+        self.raw = settled(lineitem.deliveries(spark, folder))
         late = F.col("_drop_date") >= F.lit(_LATE_FROM)
-        self._write(raw.filter(~late), EARLY_LAYOUT)
-        self._write(raw.filter(late).withColumnRenamed("spend", "cost"), LATE_LAYOUT)
+        self._write(self.raw.filter(~late), EARLY_LAYOUT)
+        self._write(self.raw.filter(late).withColumnRenamed("spend", "cost"), LATE_LAYOUT)
 
     def _write(self, rows: DataFrame, layout: list[str]) -> None:
         ordered = rows.repartition("_drop_date").sortWithinPartitions("_drop_date", "_row_in_file")
@@ -398,8 +398,11 @@ class _DatedDrops:
                 files.move(self._spark, f"{self._made}/{name}/{part}", f"{self.drops}/drop_{day}.csv")
 
     def deliver_foreign(self, rows: DataFrame) -> None:
-        """Put files of a layout there that nobody knows."""
-        rows.write.mode("append").csv(self.drops, header=True)
+        """Put one file of a layout there that nobody knows.
+
+        Only its lines reach the task that writes it; ``rows`` are computed before, in many.
+        """
+        rows.repartition(1).write.mode("append").csv(self.drops, header=True)
 
 
 def raw_lineage(spark, folder):
@@ -445,8 +448,7 @@ def streamed_staging(spark, folder):
 def freshness_after_loads(spark, folder):
     """From the stored tables and the load log, with one file that could not be loaded."""
     delivered = _DatedDrops(spark, folder)
-    raw = lineitem.deliveries(spark, folder)
-    delivered.deliver_foreign(checks.impossible_clicks(raw).select("creative_id", "clicks").coalesce(1))
+    delivered.deliver_foreign(checks.impossible_clicks(delivered.raw).select("creative_id", "clicks"))
     delivered.arrive()
     store = delivered.store
     refresh_staging(store)

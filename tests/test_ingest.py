@@ -2,7 +2,9 @@ import os
 
 import pytest
 from helpers import EARLY, LATE, write_drop
+from pyspark.sql import functions as F
 
+from dayledger import queries
 from dayledger.plans.refresh import refresh_staging
 from dayledger.sources import files
 from dayledger.sources.ingest import ingest, run_summary
@@ -235,3 +237,14 @@ def test_an_endless_first_line_is_no_header(store, drops):
         file.write("x" * (3 << 20) + "\n")
     summary = ingest(store, drops)
     assert summary.quarantined == 1 and len(store.load_log().first().reason) < 20_000
+
+
+def test_a_foreign_file_is_one_file_whose_rows_come_from_many_tasks(spark):
+    delivered = queries._DatedDrops(spark, "/root/testdata/sf0.001")
+    before = set(files.names_in(spark, delivered.drops))
+    rows = spark.range(0, 40, 1, 4).select(F.spark_partition_id().cast("string").alias("task"))
+    delivered.deliver_foreign(rows)
+    new = [n for n in files.names_in(spark, delivered.drops) if n not in before and n.endswith(".csv")]
+    lines = [r.value for r in spark.read.text(f"{delivered.drops}/{new[0]}").collect()]
+    assert len(new) == 1 and len(lines) == 41
+    assert set(lines) == {"task", "0", "1", "2", "3"}
