@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.config import DEFAULTS, Settings
@@ -50,7 +50,7 @@ def with_ratios(staged: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
             "cpc": m.cost_per_click(),
             "cpa": m.cost_per_acquisition(),
             "conversion_rate": m.conversion_rate(),
-            "meets_volume_floor": F.col("impressions") >= F.lit(settings.impression_floor),
+            "meets_volume_floor": _meets_floor(settings),
         }
     )
 
@@ -64,11 +64,16 @@ def creative_daily(staged: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     brings rank and spend of the campaign-day back. The join has one row per key on the
     right, and adaptive execution can split a skewed partition on either side.
     """
-    rows = with_ratios(staged, settings)
+    return with_measures(with_ranks(staged, ranks(staged, settings)), settings)
+
+
+def ranks(staged: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """One row per campaign-day and CTR: rows ranked before it, and what the campaign-day has in all."""
+    rows = staged.withColumns({"ctr": m.click_through_rate(), "meets_volume_floor": _meets_floor(settings)})
     values = rows.groupBy(*GROUP, "ctr").agg(
         F.count_if("meets_volume_floor").alias("n"), F.sum(m.money("spend")).alias("spend")
     )
-    ranks = ranked_values(values, GROUP, "ctr", _LARGEST_CTR, descending=True, sums=["spend"]).select(
+    return ranked_values(values, GROUP, "ctr", _LARGEST_CTR, descending=True, sums=["spend"]).select(
         F.col("campaign_id").alias("r_campaign"),
         F.col("event_date").alias("r_day"),
         F.col("ctr").alias("r_ctr"),
@@ -76,16 +81,35 @@ def creative_daily(staged: DataFrame, settings: Settings = DEFAULTS) -> DataFram
         "total",
         F.col("spend_in_group").cast("double").alias("group_spend"),
     )
+
+
+def with_ranks(staged: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Staging rows with the ``ranks`` row of each: the columns from which all others follow.
+
+    What is shuffled are these; keys and ratios, wide as they are, come after.
+    """
+    rows = staged.select(*[name for name in FACT_COLUMNS if name in staged.columns])
     same = F.lit(True)
-    for name, other in {"campaign_id": "r_campaign", "event_date": "r_day", "ctr": "r_ctr"}.items():
-        same = same & F.col(name).eqNullSafe(F.col(other))
+    keys = {"r_campaign": F.col("campaign_id"), "r_day": F.col("event_date"), "r_ctr": m.click_through_rate()}
+    for other, key in keys.items():
+        same = same & key.eqNullSafe(F.col(other))
+    return rows.join(ranks, same).select(*rows.columns, "ahead", "total", "group_spend")
+
+
+def with_measures(ranked: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Fact rows from those of ``with_ranks``: no shuffle."""
     percent = F.when(F.col("total") > 1, F.col("ahead") / (F.col("total") - 1)).otherwise(0.0)
-    ranked = rows.join(ranks, same).select(
-        *rows.columns,
-        m.ratio(F.col("spend"), F.col("group_spend")).alias("spend_share"),
-        F.when(F.col("meets_volume_floor"), percent).alias("ctr_percentile_in_campaign_day"),
+    rows = with_ratios(ranked, settings).withColumns(
+        {
+            "spend_share": m.ratio(F.col("spend"), F.col("group_spend")),
+            "ctr_percentile_in_campaign_day": F.when(F.col("meets_volume_floor"), percent),
+        }
     )
-    return _with_flag(ranked, settings)
+    return _with_flag(rows, settings)
+
+
+def _meets_floor(settings: Settings) -> Column:
+    return F.col("impressions") >= F.lit(settings.impression_floor)
 
 
 def _with_flag(ranked: DataFrame, settings: Settings) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from dayledger.operators import defects
 from dayledger.sources.ingest import LOADED
 from dayledger.sources.schemas import DEFECT_LOG, LAST_DELIVERED
-from dayledger.sources.tables import Store
+from dayledger.sources.tables import COMPACT, Store
 
 _RUN, _DAY, _CALENDAR = "run-", "day-", "calendar"
 
@@ -41,7 +41,7 @@ def log_defects(store: Store, full_refresh: bool = False) -> DataFrame:
     with store.scratch() as folder:
         spark = store.spark
         summary = defects.key_drops(raw)
-        summary.write.parquet(f"{folder}/drops")
+        summary.write.options(**COMPACT).parquet(f"{folder}/drops")
         drops = spark.read.schema(summary.schema).parquet(f"{folder}/drops")
         before = None if anew else _before(store, drops)
 

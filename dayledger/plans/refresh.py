@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from dayledger.config import DEFAULTS, Settings
 from dayledger.operators import checks
 from dayledger.operators.dimension import dim_creative
-from dayledger.operators.fact import creative_daily
+from dayledger.operators.fact import ranks, with_measures, with_ranks
 from dayledger.operators.latest import latest_deliveries
 from dayledger.plans.defect_log import log_defects
 from dayledger.plans.incremental import stored_lookback_start, within_lookback
 from dayledger.plans.snapshot import write_snapshot
 from dayledger.sources.ingest import LOADED, RunSummary, ingest
-from dayledger.sources.tables import Store
+from dayledger.sources.tables import COMPACT, Store
 
 _BY_DAY = ["event_date"]
 
@@ -102,12 +102,18 @@ def refresh_marts(
     staged = store.staging()
     store.replace("dim_creative", dim_creative(staged))
     caught_up = stored_lookback_start(store.fact(), settings)
-    if since is None or caught_up is None:
-        store.replace("fct_creative_daily", creative_daily(staged, settings), by=_BY_DAY)
-    else:
+    whole = since is None or caught_up is None
+    if not whole:
         rebuilt = F.col("event_date") >= F.lit(min(since, caught_up))
-        recent = staged.filter(rebuilt | F.col("event_date").isNull() if undated else rebuilt)
-        store.replace_partitions("fct_creative_daily", creative_daily(recent, settings), by=_BY_DAY)
+        staged = staged.filter(rebuilt | F.col("event_date").isNull() if undated else rebuilt)
+    # ``creative_daily`` in its steps. Ranks are written first: their size is known to the
+    # join then, which sends a small table to all tasks and shuffles rows only for a large one.
+    with store.scratch() as folder:
+        ranked = ranks(staged, settings)
+        ranked.write.options(**COMPACT).parquet(folder)
+        rows = with_ranks(staged, store.spark.read.schema(ranked.schema).parquet(folder))
+        replace = store.replace if whole else store.replace_partitions
+        replace("fct_creative_daily", rows, by=_BY_DAY, then=lambda balanced: with_measures(balanced, settings))
 
 
 def run_checks(

@@ -13,7 +13,7 @@ from dayledger.functions import text
 from dayledger.sources import files
 from dayledger.sources.files import DropFile, Header, NewFile
 from dayledger.sources.schemas import ATTRIBUTES, DELIVERED, LAYOUTS, LOAD_LOG, METRICS, RAW
-from dayledger.sources.tables import Store
+from dayledger.sources.tables import COMPACT, Store
 
 LOADED = "loaded"
 QUARANTINED = "quarantined"
@@ -82,7 +82,7 @@ def ingest_files(
             # The CSV is parsed once. What follows reads the landed copy, in which row
             # positions are data and no longer depend on how a task was run.
             landed_path, blocks_path = f"{scratch}/landed", f"{scratch}/blocks"
-            read_rows(spark, readable, headers).write.parquet(landed_path)
+            read_rows(spark, readable, headers).write.options(**COMPACT).parquet(landed_path)
             landed = spark.read.parquet(landed_path)
             _blocks(landed).write.parquet(blocks_path)
             blocks = spark.read.parquet(blocks_path)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import atexit
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -44,6 +44,11 @@ VERSIONED = {
 }
 _VERSION, _MANIFESTS = "version", "_manifests"
 
+# How tables are written: smaller than by Spark's default codec.
+COMPACT = {"compression": "zstd"}
+
+Step = Callable[[DataFrame], DataFrame]
+
 
 @dataclass(frozen=True)
 class Store:
@@ -99,32 +104,45 @@ class Store:
         return self._read("quarantine", QUARANTINE)
 
     def append(self, table: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(self.path(table))
+        rows.write.options(**COMPACT).mode("append").parquet(self.path(table))
 
-    def replace(self, table: str, rows: DataFrame, by: list[str] | None = None) -> None:
-        """Replace the whole table."""
-        writer = _balanced(rows, by).write
+    def replace(
+        self, table: str, rows: DataFrame, by: list[str] | None = None, then: Step = lambda rows: rows
+    ) -> None:
+        """Replace the whole table.
+
+        ``then`` makes the table's rows from ``rows`` where they are written, so that only
+        ``rows`` are shuffled into its partitions.
+        """
+        writer = then(_balanced(rows, by)).write.options(**COMPACT)
         version = uuid.uuid4().hex
         (writer.partitionBy(*by) if by else writer).parquet(self._version(table, version))
         self._publish(table, self._partitions(table, version, by))
 
     def replace_partitions(
-        self, table: str, rows: DataFrame, by: list[str], balance: bool = True, instead_of: str | None = None
+        self,
+        table: str,
+        rows: DataFrame,
+        by: list[str],
+        balance: bool = True,
+        instead_of: str | None = None,
+        then: Step = lambda rows: rows,
     ) -> None:
         """Replace the partitions that ``rows`` has; all others stay untouched.
 
         ``instead_of`` is a partition of a versioned table that goes even if ``rows`` has
-        nothing for it.
+        nothing for it. ``then`` is as for ``replace``.
         """
-        rows = _balanced(rows, by) if balance else rows
+        rows = then(_balanced(rows, by) if balance else rows)
         if table in VERSIONED:
             version = uuid.uuid4().hex
-            rows.write.partitionBy(*by).parquet(self._version(table, version))
+            rows.write.options(**COMPACT).partitionBy(*by).parquet(self._version(table, version))
             kept = {n: v for n, v in self._manifest(table).items() if n != f"{by[0]}={instead_of}"}
             self._publish(table, kept | self._partitions(table, version, by))
             return
         (
-            rows.write.mode("overwrite")
+            rows.write.options(**COMPACT)
+            .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*by)
             .parquet(self.path(table))
@@ -227,7 +245,7 @@ def settled(rows: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     folder = scratch_folder(spark)
-    rows.write.parquet(folder)
+    rows.write.options(**COMPACT).parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
 
 

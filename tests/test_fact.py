@@ -206,3 +206,9 @@ def test_an_unknown_rate_has_no_text(spark):
 
     rows = spark.createDataFrame([(0.12345,), (None,)], "rate double")
     assert [r[0] for r in rows.select(percent_text(F.col("rate"))).collect()] == ["12.35%", None]
+
+
+def test_keys_and_ratios_are_made_after_the_shuffles(spark):
+    fact = creative_daily(staged_rows(spark, [staged_row()]))
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "md5" in plan and plan.rindex("md5") < plan.index("Exchange")
