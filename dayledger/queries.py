@@ -371,13 +371,16 @@ class _DatedDrops:
         root = scratch_folder(spark)
         self._spark, self._made, self.drops = spark, f"{root}/made", f"{root}/drops"
         self.store = Store(spark, f"{root}/warehouse")
-        self.raw = settled(lineitem.deliveries(spark, folder))
+        copies = settled(lineitem.copies(spark, folder))
+        self.raw = lineitem.described(copies)
         late = F.col("_drop_date") >= F.lit(_LATE_FROM)
-        self._write(self.raw.filter(~late), EARLY_LAYOUT)
-        self._write(self.raw.filter(late).withColumnRenamed("spend", "cost"), LATE_LAYOUT)
+        self._write(copies.filter(~late), EARLY_LAYOUT)
+        self._write(copies.filter(late), LATE_LAYOUT)
 
-    def _write(self, rows: DataFrame, layout: list[str]) -> None:
-        ordered = rows.repartition("_drop_date").sortWithinPartitions("_drop_date", "_row_in_file")
+    def _write(self, copies: DataFrame, layout: list[str]) -> None:
+        # Rows get their texts where they are written; what is dealt by drop and sorted is small.
+        dealt = copies.repartition("_drop_date").sortWithinPartitions("_drop_date", lineitem.place_in_drop())
+        ordered = lineitem.described(dealt).withColumn("cost", F.col("spend"))
         # The text source creates the folder that files are then moved to.
         ordered.select(*layout, "_drop_date").write.mode("append").partitionBy("_drop_date").csv(self._made, header=True)
         ordered.limit(0).select("campaign_id").write.mode("append").text(self.drops)

@@ -1,12 +1,12 @@
 import os
 
 import pytest
-from helpers import EARLY, LATE, write_drop
+from helpers import EARLY, LATE, comparable, write_drop
 from pyspark.sql import functions as F
 
 from dayledger import queries
 from dayledger.plans.refresh import refresh_staging
-from dayledger.sources import files
+from dayledger.sources import files, lineitem
 from dayledger.sources.ingest import ingest, run_summary
 from dayledger.sources.tables import Store
 
@@ -248,3 +248,11 @@ def test_a_foreign_file_is_one_file_whose_rows_come_from_many_tasks(spark):
     lines = [r.value for r in spark.read.text(f"{delivered.drops}/{new[0]}").collect()]
     assert len(new) == 1 and len(lines) == 41
     assert set(lines) == {"task", "0", "1", "2", "3"}
+
+
+def test_drops_are_dealt_without_the_texts_of_their_rows(spark):
+    small = "/root/testdata/sf0.001"
+    copies = lineitem.copies(spark, small)
+    assert not {"campaign_id", "adset_id", "creative_id", "_source_file"} & set(copies.columns)
+    dealt = copies.repartition(3, "_drop_date")
+    assert comparable(lineitem.described(dealt)) == comparable(lineitem.deliveries(spark, small))
