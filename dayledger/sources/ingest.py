@@ -21,6 +21,8 @@ QUARANTINED = "quarantined"
 _EXTRA_FIELD = "_extra_field"
 # Where the CSV reader keeps the line of a row with more or fewer fields.
 _LINE = "_line"
+# Prefix of parsed values beside their texts.
+_PARSED = "_parsed_"
 
 
 @dataclass(frozen=True)
@@ -146,14 +148,20 @@ def numbered(landed: DataFrame, blocks: DataFrame, loaded_at: datetime) -> DataF
             }
         )
         .filter("unreadable_in_file = 0")
-        .select("_source_file", "block", "rows_before", "first_position")
+        .select(
+            "_source_file",
+            "block",
+            "rows_before",
+            "first_position",
+            text.drop_date(F.col("_source_file")).alias("_drop_date"),
+        )
     )
     position = F.col("rows_before") + F.col("position") - F.col("first_position")
     return landed.join(starts, ["_source_file", "block"]).select(
         *[name for name in DELIVERED.fieldNames()],
         position.alias("_row_in_file"),
         F.lit(loaded_at).alias("_loaded_at"),
-        text.drop_date(F.col("_source_file")).alias("_drop_date"),
+        "_drop_date",
         "_source_file",
     ).select(*RAW.fieldNames())
 
@@ -185,13 +193,16 @@ def _read_layout(spark: SparkSession, paths: list[str], columns: list[str]) -> D
 
     numbers = [*METRICS, "video_completion_rate"]
     parsed = {"date": text.day(F.col("date")), **{n: text.number(F.col(n)) for n in numbers}}
+    # Each field is parsed once; whether it could be read is told from its value.
+    values = delivered.withColumns({f"{_PARSED}{name}": value for name, value in parsed.items()})
     unreadable = F.col(_EXTRA_FIELD).isNotNull() | text.has_open_quote(F.col(_LINE))
-    for name, value in parsed.items():
-        unreadable = unreadable | (value.isNull() & text.field(F.col(name)).isNotNull())
-    return delivered.select(
-        parsed["date"].alias("date"),
+    for name in parsed:
+        missing = F.col(f"{_PARSED}{name}").isNull()
+        unreadable = unreadable | (missing & text.field(F.col(name)).isNotNull())
+    return values.select(
+        F.col(f"{_PARSED}date").alias("date"),
         *ATTRIBUTES,
-        *[parsed[n].alias(n) for n in numbers],
+        *[F.col(f"{_PARSED}{n}").alias(n) for n in numbers],
         "_source_file",
         "block",
         "position",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dayledger import queries
 from dayledger.plans.refresh import refresh_staging
 from dayledger.sources import files, lineitem
-from dayledger.sources.ingest import ingest, run_summary
+from dayledger.sources.ingest import ingest, read_rows, run_summary
 from dayledger.sources.tables import Store
 
 EARLY_ROW = "2026-01-01,camp-7,set-3,ad-9,video,main,640,16,8.25,3"
@@ -250,6 +250,15 @@ def test_a_foreign_file_is_one_file_whose_rows_come_from_many_tasks(spark):
     assert set(lines) == {"task", "0", "1", "2", "3"}
 
 
+def test_each_field_is_parsed_once(spark, drops):
+    write_drop(drops, "drop_2026-01-01.csv", EARLY, [EARLY_ROW])
+    found = files.unseen(spark, files.list_drops(spark, drops), spark.createDataFrame([], "file_name string"))
+    rows = read_rows(spark, found, files.read_headers(spark, found))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # Four metrics and the date; the early layout has no rate in its files.
+    assert plan.lower().count("rlike") == 5
+
+
 def test_drops_are_dealt_without_the_texts_of_their_rows(spark):
     small = "/root/testdata/sf0.001"
     copies = lineitem.copies(spark, small)
