@@ -295,7 +295,8 @@ def defect_counts(spark, folder):
 
 def snapshot_document(spark, folder):
     raw = settled(lineitem.deliveries(spark, folder))
-    fact = creative_daily(latest_deliveries(raw))
+    # Rows, ranks, dates and the top list all read staging; it is made once.
+    fact = creative_daily(settled(latest_deliveries(raw)))
     counts = defects.defect_counts(defects.defect_log(raw))
     head = snapshot_head(freshness.freshness(raw, fact, _files(raw)), counts)
     top = freshness.finalized_top_creatives(fact, raw)

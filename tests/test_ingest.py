@@ -8,7 +8,7 @@ from dayledger import queries
 from dayledger.plans.refresh import refresh_staging
 from dayledger.sources import files, lineitem
 from dayledger.sources.ingest import ingest, read_rows, run_summary
-from dayledger.sources.tables import Store
+from dayledger.sources.tables import Store, settled
 
 EARLY_ROW = "2026-01-01,camp-7,set-3,ad-9,video,main,640,16,8.25,3"
 LATE_ROW = "2026-03-01,camp-7,set-3,ad-9,video,main,910,21,13.5,4,0.35"
@@ -265,3 +265,15 @@ def test_drops_are_dealt_without_the_texts_of_their_rows(spark):
     assert not {"campaign_id", "adset_id", "creative_id", "_source_file"} & set(copies.columns)
     dealt = copies.repartition(3, "_drop_date")
     assert comparable(lineitem.described(dealt)) == comparable(lineitem.deliveries(spark, small))
+
+
+def test_the_snapshot_makes_staging_once(spark, monkeypatch):
+    kept = []
+
+    def noted(rows):
+        kept.append(rows.columns)
+        return settled(rows)
+
+    monkeypatch.setattr(queries, "settled", noted)
+    queries.snapshot_document(spark, "/root/testdata/sf0.001")
+    assert any("had_same_drop_duplicate" in columns for columns in kept)
