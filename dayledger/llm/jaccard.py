@@ -19,6 +19,10 @@ most texts have nothing else in their prefix and never reach the join.
    n-gram is compared with one row only (``STARS``), and thousands of near copies become one
    component at the cost of a pair each. Then every row outside the largest component of its n-gram is compared
    with all rows of other components there, in blocks of rows, each in a task of its own.
+6. Texts with n-grams of many rows (``CROWDED``) carry a sketch for that: the parities of how many of the set's n-grams fall on each
+   of some bits. Sketches differ in no more bits than sets in n-grams, so most rows that don't link are told apart without
+   a candidate (bitmap filter). Of each other component a row first meets only the one with the nearest sketch; what is
+   still apart after that meets in full.
 
 Defined results: a null or empty text, or one of blanks, has an empty set and links with nothing, not even with equal ones;
 its component is its own doc_id. A text of fewer words than an n-gram has its whole sequence as the only one. Equal
@@ -50,6 +54,10 @@ PERCENT = 80
 STARS = 2
 #: Rows of one n-gram that are compared in one block.
 BLOCK = 1024
+#: N-grams with more rows than this have sketches of their sets compared before pairs are made.
+CROWDED = 64
+#: Bits of a sketch at most, a power of two.
+SKETCH_BITS = 1 << 17
 _GATHERED = 8 << 20
 _STRETCH = 1 << 20
 _SHARD_GRAMS = 2_000_000
@@ -386,44 +394,96 @@ def _ordered(one: Column, other: Column) -> list[Column]:
     return [F.least(one, other).alias("u"), F.greatest(one, other).alias("v")]
 
 
-def _crossed(percent: int):
-    """Candidates of each block: rows outside the largest component of the n-gram against rows of other components."""
+def sketch(grams: np.ndarray, most: int = SKETCH_BITS) -> bytes:
+    """Parities of how many n-grams fall on each bit; a power of two of bits, four for each n-gram at least, up to a bound."""
+    bits = min(max(64, 1 << (4 * len(grams) - 1).bit_length()), most)
+    return np.packbits(np.bincount(grams & (bits - 1), minlength=bits) & 1, bitorder="little").tobytes()
 
+
+def apart(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """In how many bits a sketch differs from each of others, as rows of 64-bit words; the longer are folded to the shorter."""
+    width = min(one.shape[-1], others.shape[-1])
+    one, others = (np.bitwise_xor.reduce(x.reshape(*x.shape[:-1], -1, width), axis=-2) for x in (one, others))
+    return np.bitwise_count(one ^ others).sum(axis=1, dtype=np.int64)
+
+
+def _sketched(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _table_runs(batches):
-            probe = rows[rows[:, 3] > 0]
-            other = rows[rows[:, 3] == 0]
-            met = []
-            for node, root, n, _, rest in probe.tolist():
-                sizes = n + other[:, 2]
-                fits = (other[:, 1] != root) & (100 * np.minimum(n, other[:, 2]) >= percent * np.maximum(n, other[:, 2]))
-                fits &= np.minimum(rest, other[:, 4]) >= -(-sizes * percent // (100 + percent))
-                near = other[fits, 0]
-                met.append(np.stack([np.minimum(node, near), np.maximum(node, near)]))
-            found = np.unique(np.concatenate([np.zeros((2, 0), dtype=np.int64), *met], axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["u", "v"])
+        for batch in batches:
+            sets = [grams.values.to_numpy(zero_copy_only=False) for grams in batch.column("grams")]
+            made = [pa.array([len(grams) for grams in sets], pa.int64()), pa.array([sketch(grams, most) for grams in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *made], ["node", "shared", "sketch"])
 
     return run
 
 
-def _table_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
-    """Rows sorted by block, as (block, its rows)."""
-    held: list[np.ndarray] = []
+def sketches(nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, shared, sketch) of the texts in crowded n-grams: how many n-grams it shares with others, and their sketch."""
+    crowded = rows.groupBy("gram").agg(F.count("*").alias("size")).filter(F.col("size") > CROWDED)
+    wanted = rows.join(crowded, "gram", "left_semi").select("node").distinct()
+    able = nodes.filter("grams is not null").join(wanted, "node", "left_semi")
+    return able.select("node", "grams").mapInArrow(_sketched(SKETCH_BITS), "node long, shared long, sketch binary")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by block, one table for each."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        table = np.column_stack([batch.column(c).cast(pa.int64()).to_numpy(zero_copy_only=False) for c in ("task", "node", "root", "n", "probe", "rest")])
-        starts = np.flatnonzero(np.diff(table[:, 0], prepend=held[0][0, 0] if held else table[:1, 0] if len(table) else 0))
-        for a, b in zip([0, *starts.tolist()], [*starts.tolist(), len(table)], strict=True):
-            if held and a in starts:
-                yield 0, np.concatenate(held)[:, 1:]
+        tasks = batch.column("task").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(tasks)) + 1).tolist(), len(tasks)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if held and b > a and held[0].column("task")[0].as_py() != tasks[a]:
+                yield pa.Table.from_batches(held)
                 held = []
             if b > a:
-                held.append(table[a:b])
+                held.append(batch.slice(a, b - a))
     if held:
-        yield 0, np.concatenate(held)[:, 1:]
+        yield pa.Table.from_batches(held)
+
+
+def _crossed(percent: int, nearest: bool):
+    """Candidates of each block: rows outside the largest component of the n-gram against rows of other components.
+
+    With ``nearest`` only that with the nearest sketch of each component.
+    """
+
+    def met(rows: pa.Table) -> np.ndarray:
+        node, root, n, rest, shared, probe = (rows.column(c).to_numpy() for c in ("node", "root", "n", "rest", "shared", "probe"))
+        words = [np.frombuffer(x, dtype="<u8") for x in rows.column("sketch").to_pylist()]
+        widths = np.array([len(x) for x in words])
+        widths[probe > 0] = -1
+        others = {int(w): np.flatnonzero(widths == w) for w in np.unique(widths[probe == 0])}
+        stacked = {w: np.stack([words[j] for j in at]) for w, at in others.items()}
+        found = [np.zeros((2, 0), dtype=np.int64)]
+        for i in np.flatnonzero(probe > 0).tolist():
+            near, far = [], []
+            for w, at in others.items():
+                needed = -(-(n[i] + n[at]) * percent // (100 + percent))
+                fits = (root[at] != root[i]) & (100 * np.minimum(n[i], n[at]) >= percent * np.maximum(n[i], n[at])) & (np.minimum(rest[i], rest[at]) >= needed)
+                differ = np.zeros(int(fits.sum()), dtype=np.int64)
+                if w and len(words[i]) and len(differ):
+                    differ = apart(words[i], stacked[w][fits])
+                    close = differ <= (shared[i] + shared[at] - 2 * needed)[fits]
+                    differ, fits[fits] = differ[close], close
+                near.append(at[fits])
+                far.append(differ)
+            at, differ = np.concatenate(near), np.concatenate(far)
+            if nearest:
+                at = at[np.argsort(differ, kind="stable")]
+                at = at[np.unique(root[at], return_index=True)[1]]
+            found.append(np.stack([np.minimum(node[i], node[at]), np.maximum(node[i], node[at])]))
+        return np.unique(np.concatenate(found, axis=1), axis=1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _blocks(batches):
+            found = met(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["u", "v"])
+
+    return run
 
 
-def _crossing(rows: DataFrame, percent: int, block: int) -> DataFrame:
-    """All candidates (u, v) of different components; rows have columns gram, node, n, rest, root."""
+def _crossing(rows: DataFrame, percent: int, block: int, nearest: bool) -> DataFrame:
+    """All candidates (u, v) of different components; rows have columns gram, node, n, rest, root, shared, sketch."""
     spark = rows.sparkSession
     sizes = rows.groupBy("gram", "root").agg(F.count("*").alias("size"))
     sizes = sizes.groupBy("gram").agg(F.sum("size").alias("all"), F.max(F.struct("size", "root")).alias("most")).filter(F.col("all") > F.col("most.size"))
@@ -432,10 +492,10 @@ def _crossing(rows: DataFrame, percent: int, block: int) -> DataFrame:
     place = F.xxhash64("node")
     others = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("outer") - 1))).withColumn("i", F.pmod(place, F.col("inner")).cast("int")).withColumn("probe", F.lit(0))
     probes = rows.filter("root <> major").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("inner") - 1))).withColumn("o", F.pmod(place, F.col("outer")).cast("int")).withColumn("probe", F.lit(1))
-    both = others.unionByName(probes.select(*others.columns)).select(F.xxhash64("gram", "o", "i").alias("task"), "node", "root", "n", "probe", "rest")
+    both = others.unionByName(probes.select(*others.columns)).select(F.xxhash64("gram", "o", "i").alias("task"), "node", "root", "n", "probe", "rest", "shared", "sketch")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = both.repartition(n, "task").sortWithinPartitions("task")
-    return dealt.mapInArrow(_crossed(percent), "u long, v long").distinct()
+    return dealt.mapInArrow(_crossed(percent, nearest), "u long, v long").distinct()
 
 
 def linked(nodes: DataFrame, percent: int = PERCENT, stars: int = STARS, block: int = BLOCK) -> DataFrame:
@@ -469,7 +529,11 @@ def linked(nodes: DataFrame, percent: int = PERCENT, stars: int = STARS, block:
         met = own.join(heads.select("gram", F.col("best.root").alias("major"), "best.head"), "gram").filter("root <> major")
         met = met.withColumn("mine", F.struct("node", "n", "rest")).filter(_possible(percent, "mine", "head"))
         verify(met.select(*_ordered(F.col("node"), F.col("head.node"))).distinct())
-    verify(_crossing(rooted(), percent, block))
+    marks = stored(sketches(nodes, rows), "sketches")
+    if not marks.isEmpty():
+        verify(_crossing(rooted().join(marks, "node"), percent, block, nearest=True))
+    marked = rooted().join(marks, "node", "left").withColumn("shared", F.coalesce("shared", F.lit(0).cast("long"))).withColumn("sketch", F.coalesce("sketch", F.lit(b"")))
+    verify(_crossing(marked, percent, block, nearest=False))
     return roots if roots is not None else rows.select("node", F.col("node").alias("root")).limit(0)
 
 

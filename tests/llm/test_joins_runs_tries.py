@@ -78,6 +78,59 @@ def test_links_equal_a_plain_join(spark, monkeypatch, stars, block):
     assert sorted(got, key=key) == sorted(plain_components(rows), key=key)
 
 
+def near_copies(n):
+    """Copies of one text with one to six other words: many link with none, all share most n-grams."""
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 6)):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_candidates_grow_with_the_rows_of_a_group_not_their_square(spark, monkeypatch):
+    rows = near_copies(200)
+    candidates, verified = [], jaccard.verified
+
+    def counted(pairs, nodes, percent):
+        candidates.append(pairs.count())
+        return verified(pairs, nodes, percent)
+
+    monkeypatch.setattr(jaccard, "verified", counted)
+    got = [tuple(row) for row in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    expected = plain_components(rows)
+    alone = [doc for doc, _, least in expected if doc == least]
+    assert sorted(got) == sorted(expected) and 40 < len(alone) < 160
+    assert sum(candidates) < 8 * len(rows)
+
+
+@pytest.mark.parametrize("crowded,bits", [(0, 1 << 17), (1, 64), (10_000, 1 << 17)])
+def test_links_do_not_depend_on_sketches(spark, monkeypatch, crowded, bits):
+    rows = awkward_rows() + [(doc + 1000, text) for doc, text in near_copies(60)]
+    monkeypatch.setattr(jaccard, "CROWDED", crowded)
+    monkeypatch.setattr(jaccard, "SKETCH_BITS", bits)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(row) for row in jaccard.join(docs, stars=0, block=16).collect()]
+    key = lambda row: str(row)
+    assert sorted(got, key=key) == sorted(plain_components(rows), key=key)
+
+
+def test_sketches_never_differ_more_than_sets():
+    rng = np.random.default_rng(8)
+    for size in (1, 9, 100, 130, 3000, 50_000):
+        a = np.unique(rng.integers(0, 1 << 50, size))
+        for dropped, added in ((0, 0), (size // 9, size // 9), (0, size // 4), (size, size)):
+            b = np.unique(np.concatenate([a[dropped:], rng.integers(0, 1 << 50, added)]))
+            for bits in (64, 1 << 17):
+                one, other = (np.frombuffer(jaccard.sketch(x, bits), dtype="<u8") for x in (a, b))
+                differ = int(jaccard.apart(one, np.stack([other, other]))[0])
+                assert differ <= len(np.setxor1d(a, b)) and differ % 2 == len(np.setxor1d(a, b)) % 2
+    assert len(jaccard.sketch(np.arange(16), 64)) == 8 and len(jaccard.sketch(np.arange(17), 1 << 17)) == 16
+
+
 def test_an_empty_table_links_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.join(docs).collect() == []
