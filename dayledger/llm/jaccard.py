@@ -21,8 +21,8 @@ most texts have nothing else in their prefix and never reach the join.
    with all rows of other components there, in blocks of rows, each in a task of its own.
 6. Texts with n-grams of many rows (``CROWDED``) carry a sketch for that: the parities of how many of the set's n-grams fall on each
    of some bits. Sketches differ in no more bits than sets in n-grams, so most rows that don't link are told apart without
-   a candidate (bitmap filter). Of each other component a row first meets only the one with the nearest sketch; what is
-   still apart after that meets in full.
+   a candidate (bitmap filter). First a row is compared with one block of the others only, and meets the nearest of a few
+   other components (``NEAREST``), which joins most of a group; what is still apart after that meets in full.
 
 Defined results: a null or empty text, or one of blanks, has an empty set and links with nothing, not even with equal ones;
 its component is its own doc_id. A text of fewer words than an n-gram has its whole sequence as the only one. Equal
@@ -56,6 +56,8 @@ STARS = 2
 BLOCK = 1024
 #: N-grams with more rows than this have sketches of their sets compared before pairs are made.
 CROWDED = 64
+#: Components that a row of a crowded n-gram meets before all that is still apart meets.
+NEAREST = 8
 #: Bits of a sketch at most, a power of two.
 SKETCH_BITS = 1 << 17
 _GATHERED = 8 << 20
@@ -441,10 +443,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _crossed(percent: int, nearest: bool):
+def _crossed(percent: int, nearest: int):
     """Candidates of each block: rows outside the largest component of the n-gram against rows of other components.
 
-    With ``nearest`` only that with the nearest sketch of each component.
+    With ``nearest`` only the nearest sketches of so many components.
     """
 
     def met(rows: pa.Table) -> np.ndarray:
@@ -470,7 +472,7 @@ def _crossed(percent: int, nearest: bool):
             at, differ = np.concatenate(near), np.concatenate(far)
             if nearest:
                 at = at[np.argsort(differ, kind="stable")]
-                at = at[np.unique(root[at], return_index=True)[1]]
+                at = at[np.sort(np.unique(root[at], return_index=True)[1])[:nearest]]
             found.append(np.stack([np.minimum(node[i], node[at]), np.maximum(node[i], node[at])]))
         return np.unique(np.concatenate(found, axis=1), axis=1)
 
@@ -482,16 +484,23 @@ def _crossed(percent: int, nearest: bool):
     return run
 
 
-def _crossing(rows: DataFrame, percent: int, block: int, nearest: bool) -> DataFrame:
-    """All candidates (u, v) of different components; rows have columns gram, node, n, rest, root, shared, sketch."""
+def _crossing(rows: DataFrame, percent: int, block: int, nearest: int = 0) -> DataFrame:
+    """All candidates (u, v) of different components; rows have columns gram, node, n, rest, root, shared, sketch.
+
+    With ``nearest`` only so many for each row, from one block of the others.
+    """
     spark = rows.sparkSession
     sizes = rows.groupBy("gram", "root").agg(F.count("*").alias("size"))
     sizes = sizes.groupBy("gram").agg(F.sum("size").alias("all"), F.max(F.struct("size", "root")).alias("most")).filter(F.col("all") > F.col("most.size"))
     cut = lambda n: F.ceil(n / block).cast("int")
     rows = rows.join(sizes.select("gram", F.col("most.root").alias("major"), cut(F.col("all") - F.col("most.size")).alias("outer"), cut(F.col("all")).alias("inner")), "gram")
     place = F.xxhash64("node")
-    others = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("outer") - 1))).withColumn("i", F.pmod(place, F.col("inner")).cast("int")).withColumn("probe", F.lit(0))
-    probes = rows.filter("root <> major").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("inner") - 1))).withColumn("o", F.pmod(place, F.col("outer")).cast("int")).withColumn("probe", F.lit(1))
+    if nearest:
+        outer, inner = F.lit(0), F.pmod(F.xxhash64(F.lit(1), "node"), F.col("inner")).cast("int")
+    else:
+        outer, inner = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("outer", "inner"))
+    others = rows.withColumn("o", outer).withColumn("i", F.pmod(place, F.col("inner")).cast("int")).withColumn("probe", F.lit(0))
+    probes = rows.filter("root <> major").withColumn("i", inner).withColumn("o", F.lit(0) if nearest else F.pmod(place, F.col("outer")).cast("int")).withColumn("probe", F.lit(1))
     both = others.unionByName(probes.select(*others.columns)).select(F.xxhash64("gram", "o", "i").alias("task"), "node", "root", "n", "probe", "rest", "shared", "sketch")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = both.repartition(n, "task").sortWithinPartitions("task")
@@ -531,9 +540,9 @@ def linked(nodes: DataFrame, percent: int = PERCENT, stars: int = STARS, block:
         verify(met.select(*_ordered(F.col("node"), F.col("head.node"))).distinct())
     marks = stored(sketches(nodes, rows), "sketches")
     if not marks.isEmpty():
-        verify(_crossing(rooted().join(marks, "node"), percent, block, nearest=True))
+        verify(_crossing(rooted().join(marks, "node"), percent, block, NEAREST))
     marked = rooted().join(marks, "node", "left").withColumn("shared", F.coalesce("shared", F.lit(0).cast("long"))).withColumn("sketch", F.coalesce("sketch", F.lit(b"")))
-    verify(_crossing(marked, percent, block, nearest=False))
+    verify(_crossing(marked, percent, block))
     return roots if roots is not None else rows.select("node", F.col("node").alias("root")).limit(0)
 
 
