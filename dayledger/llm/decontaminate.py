@@ -68,8 +68,8 @@ _READINGS = _TYPED, _PLAIN, _BEGUN, _EXACT = 1, 2, 4, 8
 _MARKS = " .,;:!?\"'()[]{}`_“”‘’„«»…"  # around a token, without a value
 # Scripts without blanks between words: Thai to Tibetan, Burmese, Khmer, Japanese, Chinese and their marks.
 _UNSPACED = re.compile("([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u2e80-\u30ff\u3400-\u9fff\uf900-\ufaff\uff00-\uffef\U0001b000-\U0001b16f\U00020000-\U0003ffff])")
-_CACHE = 250_000
-_GATHERED = 4 << 20
+_CACHE = 350_000
+_GATHERED = 1 << 20
 _BITS = 24
 
 

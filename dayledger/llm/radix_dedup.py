@@ -46,6 +46,8 @@ _GRAM = 32
 _BLOCK = 8
 _STRETCH = 1 << 20  # windows hashed at a time
 _GATHERED = 16 << 20  # bytes of text that a task settles together
+_READ = 2 << 20  # bytes of text that it holds at a time
+_VISITED = 1 << 10  # documents that a visit holds unpacked
 _NO_DOC = -(1 << 63)
 
 # Rows of a pass: a span that a task has settled; a run whose gram the task saw alone; a run whose
@@ -167,24 +169,40 @@ _FIRST = "route long, kind int, key long, whole long, doc long, at long, span in
 
 
 def _first_pass(length: int):
+    def settled(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        doc, at, span, lead, key, whole = (np.concatenate(columns) for columns in zip(*held, strict=True))
+        held.clear()
+        repeated, probe, known, sign = settle(doc, at, key, whole)
+        mark = _merged(doc[repeated], at[repeated], at[repeated] + span[repeated] + length)
+        rest = np.concatenate([probe, known, sign])
+        kind = np.repeat([_MARK, _PROBE, _KNOWN, _SIGN], [len(mark[0]), len(probe), len(known), len(sign)]).astype(np.int32)
+        route = np.concatenate([mark[0] * 31 + mark[1], key[probe], doc[known] * 0x5851F42D4C957F2D + at[known], key[sign]])
+        zero = np.zeros(len(mark[0]), dtype=np.int64)
+        columns = [route, kind, np.concatenate([zero, key[rest]]), np.concatenate([zero, whole[rest]]), np.concatenate([mark[0], doc[rest]]), np.concatenate([mark[1], at[rest]])]
+        columns += [np.concatenate([mark[2] - mark[1], span[rest]]).astype(np.int32), np.concatenate([zero, lead[rest]]).astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["route", "kind", "key", "whole", "doc", "at", "span", "lead"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in pieces(batches, "text", _GATHERED):
-            ids = _ids(table.column("doc_id").combine_chunks())
-            number, at, span, lead, key, whole = runs(payloads(table.column("text").combine_chunks()), length)
-            doc = ids[number]
-            repeated, probe, known, sign = settle(doc, at, key, whole)
-            mark = _merged(doc[repeated], at[repeated], at[repeated] + span[repeated] + length)
-            rest = np.concatenate([probe, known, sign])
-            kind = np.repeat([_MARK, _PROBE, _KNOWN, _SIGN], [len(mark[0]), len(probe), len(known), len(sign)]).astype(np.int32)
-            route = np.concatenate([mark[0] * 31 + mark[1], key[probe], doc[known] * 0x5851F42D4C957F2D + at[known], key[sign]])
-            zero = np.zeros(len(mark[0]), dtype=np.int64)
-            columns = [route, kind, np.concatenate([zero, key[rest]]), np.concatenate([zero, whole[rest]]), np.concatenate([mark[0], doc[rest]]), np.concatenate([mark[1], at[rest]])]
-            columns += [np.concatenate([mark[2] - mark[1], span[rest]]).astype(np.int32), np.concatenate([zero, lead[rest]]).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["route", "kind", "key", "whole", "doc", "at", "span", "lead"])
+        held, size = [], 0
+        for table in pieces(batches, "text", _READ):
+            ids, texts = _ids(table.column("doc_id").combine_chunks()), payloads(table.column("text").combine_chunks())
+            number, at, span, lead, key, whole = runs(texts, length)
+            held.append((ids[number], at, span.astype(np.int32), lead.astype(np.int32), key, whole))
+            size += sum(map(len, texts))
+            if size >= _GATHERED:
+                yield from _parts(settled(held))
+                size = 0
+        if held:
+            yield from _parts(settled(held))
 
     return run
 
 
+def _parts(batch: pa.RecordBatch, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of a bounded number of rows."""
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def _judged(rows: DataFrame, length: int) -> DataFrame:
     """Rows after a pass's shuffle: spans to remove (``to`` is set), and rows whose group holds different values.
 
@@ -251,16 +269,18 @@ def _second_visit(length: int, with_text: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done: list[tuple] = []
             rows: list[tuple] = []
-            docs, packed = batch.column("doc").to_pylist(), batch.column("packed").to_pylist()
-            for doc, value, spans, undecided in zip(docs, packed, batch.column("spans").to_pylist(), batch.column("runs").to_pylist(), strict=True):
-                text = _unpacked(value)
-                if undecided:
-                    rows += [(doc, *block) for block in _blocks(text, undecided, length)]
-                else:
-                    done.append(_finished(doc, text, spans, with_text))
-            yield _block_batch(rows, done, length)
+            for part in _parts(batch, _VISITED):
+                done: list[tuple] = []
+                docs, packed = part.column("doc").to_pylist(), part.column("packed").to_pylist()
+                for doc, value, spans, undecided in zip(docs, packed, part.column("spans").to_pylist(), part.column("runs").to_pylist(), strict=True):
+                    text = _unpacked(value)
+                    if undecided:
+                        rows += [(doc, *block) for block in _blocks(text, undecided, length)]
+                    else:
+                        done.append(_finished(doc, text, spans, with_text))
+                yield _block_batch([], done, length)
+            yield from _parts(_block_batch(rows, [], length))
 
     return run
 
@@ -298,7 +318,7 @@ def _block_batch(rows: list[tuple], done: list[tuple], length: int) -> pa.Record
 
 def _last_visit(length: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole, _VISITED)):
             done = [_finished(doc, _unpacked(value), spans, with_text) for doc, value, spans in zip(*(batch.column(c).to_pylist() for c in ("doc", "packed", "spans")), strict=True)]
             columns = list(zip(*done, strict=True)) or [()] * 7
             kinds = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.int64()]

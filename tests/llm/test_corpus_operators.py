@@ -6,10 +6,12 @@ import base64
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -577,3 +579,20 @@ def test_stages_keep_different_texts_without_a_doc_id(spark, tmp_path):
         kept = spark.createDataFrame(stage(spark, kept, str(tmp_path)).collect(), frame.schema)
         got = [(r["doc_id"], r["text"]) for r in collected(kept)]
         assert set(got) == expected - ({(None, texts[6])} if stage is corpus_pipeline.drop_contaminated else set()) and len(got) == len(set(got))
+
+
+def test_a_task_holds_a_small_part_of_its_texts():
+    """Peak of what a task allocates over 12 MB of text, without its input: windows of documents, and runs of repeated passages."""
+    rng = np.random.default_rng(5)
+    words = ["".join(map(chr, rng.integers(97, 123, 5))) for _ in range(2000)]
+    texts = [" ".join(words[i] for i in rng.integers(0, 2000, 500)) for _ in range(4000)]
+    bitmap = np.zeros(1 << (decontaminate._BITS - 6), dtype=np.uint64)
+    steps = {"id": (decontaminate._document_windows([8], bitmap, decontaminate.Settings()), 40), "doc_id": (radix_dedup._first_pass(radix_dedup.LENGTH), 65)}
+    for key, (step, most) in steps.items():
+        batch = pa.RecordBatch.from_pydict({key: list(range(len(texts))), "text": texts})
+        tracemalloc.start()
+        for _ in step(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        assert peak < most, (key, peak)
