@@ -110,31 +110,35 @@ def least_overlap(sizes: Column, percent: int) -> Column:
     return F.ceil(sizes * percent / (100 + percent))
 
 
-# Sorted numbers as differences of two bytes; 0xFFFF stands for itself and goes on.
+# Numbers of a few bytes. Sorted ones go as differences of as many bytes as come out shortest, one to four: however sparse they
+# are, none takes more than four. The greatest value stands for itself and goes on; the first byte is the width.
 
 
-def coded(sorted_keys: np.ndarray) -> bytes:
-    steps = np.diff(sorted_keys.astype(np.int64), prepend=0)
-    more, rest = np.divmod(steps, 0xFFFF)
-    out = np.full(len(steps) + int(more.sum()), 0xFFFF, dtype="<u2")
-    out[np.cumsum(more + 1) - 1] = rest
-    return out.tobytes()
+def _narrow(values: np.ndarray, width: int = 5) -> bytes:
+    """The low bytes of each."""
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def decoded(data: bytes) -> np.ndarray:
-    steps = np.frombuffer(data, dtype="<u2")
-    return np.cumsum(steps, dtype=np.int64)[steps != 0xFFFF]
+def _wide(data: bytes, width: int = 5) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(data, dtype=np.uint8).reshape(-1, width)
+    return out.view("<i8").reshape(-1)
 
 
-def _narrow(values: np.ndarray) -> bytes:
-    """The five low bytes of each."""
-    return values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+def coded(sorted_keys: np.ndarray) -> bytes:
+    """Of numbers of 32 bits."""
+    steps = np.diff(sorted_keys.astype(np.int64), prepend=0)
+    sizes = {w: w * (len(steps) + int((steps // ((1 << 8 * w) - 1)).sum())) for w in range(1, 5)}
+    width = min(sizes, key=sizes.get)
+    more, rest = np.divmod(steps, (1 << 8 * width) - 1)
+    out = np.full(sizes[width] // width, (1 << 8 * width) - 1, dtype=np.int64)
+    out[np.cumsum(more + 1) - 1] = rest
+    return bytes([width]) + _narrow(out, width)
 
 
-def _wide(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), dtype=np.uint8)
-    out[:, :5] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 5)
-    return out.view("<i8").reshape(-1)
+def decoded(data: bytes) -> np.ndarray:
+    steps = _wide(data[1:], data[0])
+    return np.cumsum(steps)[steps != (1 << 8 * data[0]) - 1]
 
 
 # Texts
@@ -255,7 +259,7 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _posting_rows(bits: int, salts: dict[int, int]):
-    """For each piece and shard the n-grams text by text, and one row with the texts' keys and sizes."""
+    """For each piece and shard the n-grams with the numbers of their texts, and one row with the texts' keys and sizes."""
 
     def make(nodes: np.ndarray, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -268,8 +272,7 @@ def _posting_rows(bits: int, salts: dict[int, int]):
         local = ((grams >> np.uint64(64 - _LOCAL - bits)) & np.uint64((1 << _LOCAL) - 1)).astype(np.int64)
         shards, starts = np.unique(shard, return_index=True)
         for s, a, b in zip(shards.tolist(), starts.tolist(), [*starts[1:].tolist(), len(grams)], strict=True):
-            counts = np.bincount(owner[a:b], minlength=len(sets)).astype("<u4")
-            yield _batch([(s, 1, piece % salts.get(s, 1), piece, _narrow(local[a:b]), counts.tobytes())])
+            yield _batch([(s, 1, piece % salts.get(s, 1), piece, _narrow(local[a:b]), coded(owner[a:b]))])
 
     return make
 
@@ -286,7 +289,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys, counts = decoded(row["a"]), np.frombuffer(row["b"], dtype="<u4")
             elif len(keys):
                 local = _wide(row["a"])
-                owner = np.repeat(np.arange(len(row["b"]) // 4), np.frombuffer(row["b"], dtype="<u4"))
+                owner = decoded(row["b"])
                 asked = local >> (_LOCAL - 32)
                 at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
                 met = keys[at] == asked

@@ -158,6 +158,20 @@ def test_sorted_keys_survive_coding():
 # Periodic runs
 
 
+def test_rows_of_shards_do_not_swell_with_their_number():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 64, 400, dtype=np.uint64)) for _ in range(500)]
+    nodes, total = np.arange(500), sum(map(len, sets))
+    for bits in (4, 12):
+        for make, most in ((jaccard._count_rows(bits), 4.1), (jaccard._posting_rows(bits, {}), 6.1)):
+            rows = [row for batch in make(nodes, sets) for row in batch.to_pylist() if row["kind"] < 2]
+            size = sum(len(row["a"]) + (len(row["b"]) if row["kind"] else 0) for row in rows) / total
+            assert size < most, (bits, size)
+            owners = sum((np.bincount(jaccard.decoded(row["b"]), minlength=500) for row in rows if row["kind"]), np.zeros(500, dtype=int))
+            assert not owners.any() or owners.tolist() == [len(own) for own in sets]
+
+
+
 def plain_runs(words, exponent=4, least=6):
     found = {}
     for q in range(1, len(words) // exponent + 1):
