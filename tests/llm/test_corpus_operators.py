@@ -13,6 +13,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -443,6 +444,35 @@ def test_runs_do_not_depend_on_stretches(monkeypatch):
     assert cover(radix_dedup.runs([text])) == whole == list(range(len(text) - 99))
 
 
+def test_tasks_are_sent_few_texts_at_once(spark, monkeypatch):
+    name, first_pass, second_visit = "spark.sql.execution.arrow.maxRecordsPerBatch", radix_dedup._first_pass, radix_dedup._second_visit
+
+    def bounded(step):
+        def run(batches):
+            def checked():
+                for batch in batches:
+                    assert batch.num_rows <= 1024
+                    yield batch
+
+            yield from step(checked())
+
+        return run
+
+    monkeypatch.setattr(radix_dedup, "_first_pass", lambda length: bounded(first_pass(length)))
+    monkeypatch.setattr(radix_dedup, "_second_visit", lambda length, with_text: bounded(second_visit(length, with_text)))
+    before = spark.conf.get(name)
+    rows = [(i, f"{i} " + prose(i % 5, 20)) for i in range(4000)]
+    assert removal(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)) == plain_removal([(i, t.encode()) for i, t in rows])
+    assert spark.conf.get(name) == before
+
+
+def test_texts_that_are_no_valid_utf8_keep_their_bytes(spark):
+    shared = bytes(range(256)) * 2
+    rows = [(1, b"a" + shared), (2, shared + b"\xff\xfe"), (3, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text binary").selectExpr("doc_id", "cast(text as string) as text")
+    assert removal(frame) == plain_removal([(i, t or b"") for i, t in rows])
+
+
 # SimHash
 
 
@@ -596,3 +626,22 @@ def test_a_task_holds_a_small_part_of_its_texts():
         peak = tracemalloc.get_traced_memory()[1] / 1e6
         tracemalloc.stop()
         assert peak < most, (key, peak)
+
+
+def test_a_visit_holds_few_blocks_as_objects():
+    """Peak of what a visit allocates over 2 MB of text whose runs are all undecided, without its input."""
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(97, 123, 2000, dtype=np.uint8).tobytes() for _ in range(1000)]
+    found = radix_dedup.runs(texts)
+    undecided = [[] for _ in texts]
+    for number, at, span, lead, key, _ in zip(*(c.tolist() for c in found), strict=True):
+        undecided[number].append({"at": at, "span": span, "lead": lead, "key": key})
+    columns = {"doc": list(range(len(texts))), "packed": [zstandard.compress(t) for t in texts], "spans": [None] * len(texts), "runs": undecided}
+    spans = pa.list_(pa.struct([("at", pa.int64()), ("to", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(v, spans) if k == "spans" else pa.array(v) for k, v in columns.items()], list(columns))
+    del undecided, columns
+    tracemalloc.start()
+    rows = sum(part.num_rows for part in radix_dedup._second_visit(radix_dedup.LENGTH, False)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert rows > 250_000 and peak < 90, (rows, peak)
