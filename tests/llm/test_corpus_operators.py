@@ -355,6 +355,45 @@ def test_top_k_equals_a_plain_sort(spark, bins):
     assert topk.top_k(frame.filter("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def plain_top_k(rows, k):
+    """{query id: [(score, id)]}: the k best of the candidates of all rows with that id."""
+    good = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    best = {}
+    for q, v in (x for x in good if x[0] % 20 == 0):
+        best.setdefault(q, []).extend((-sum(a * b for a, b in zip(v, c, strict=True)), i) for i, c in good if i != q and len(c) == len(v))
+    return {q: [(-s, i) for s, i in sorted(found)[:k]] for q, found in best.items() if found}
+
+
+def ranked_top_k(frame, settings):
+    got = {}
+    for r in sorted(collected(topk.top_k(frame, F.col("vec_id") % 20 == 0, settings)), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    return got
+
+
+def test_top_k_broadcasts_no_copies_of_its_queries(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=64).round(3)]) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    # A copy of the 100 queries has 50 kB, one for each of the 63 blocks 3 MB.
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1m")
+    try:
+        got = ranked_top_k(frame, topk.Settings(candidate_block=32))
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert got == plain_top_k(rows, 20)
+
+
+def test_top_k_of_many_groups_and_slices_and_of_scores_of_all_sizes(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    kinds = [(6, 1), (3, 100), (2, 10**7)]  # lengths, and sizes whose scores 32, 64 and no bits of a float hold exactly
+    rows = [(int(rng.integers(0, 120)), [float(x) for x in (rng.normal(size=kinds[i % 3][0]) * kinds[i % 3][1]).round(2)]) for i in range(160)]
+    rows += [(20 * i, [0.5] * 6) for i in range(8)] + [(500 + i, [0.5] * 6) for i in range(40)]  # ids that repeat, and ties
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(topk, "WORK", 1)
+    assert ranked_top_k(frame, topk.Settings(k=5, query_block=4, candidate_block=16)) == plain_top_k(rows, 5)
+
+
 # WARC
 
 
