@@ -283,7 +283,7 @@ def _tasks(queries: DataFrame, candidates: DataFrame, most_slices: int, most_gro
     size = [F.sum(F.octet_length("ids") + F.octet_length("data")), F.sum("n"), F.sum(F.col("n") * F.col("dim"))]
     (q_bytes, q, _), (c_bytes, _, c_cells) = ([x or 0 for x in side.agg(*size).first()] for side in (queries, candidates))
     tasks = min(TASKS, ceil(q * c_cells / WORK))
-    groups = min(most_groups, max(1, ceil(c_bytes / HELD), ceil(sqrt(tasks * c_bytes / max(1, q_bytes)))))
+    groups = min(most_groups, max(1, ceil(c_bytes / HELD), min(tasks, ceil(sqrt(tasks * c_bytes / max(1, q_bytes))))))
     slices = min(most_slices, max(1, ceil(q_bytes / HELD), ceil(tasks / groups)))
     return slices, min(most_groups, max(groups, ceil(tasks / slices)))
 
